@@ -1,2 +1,118 @@
-QUERIES: dict = {}
-ORACLES: dict = {}
+"""Samples, pages, parameters, user functions and typed cells."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from titlemart.functions import attach_functions, cast_cell, for_each_parameter_set, run_sql
+from titlemart.plans.staging import star_table
+from titlemart.sinks import create_view
+from titlemart.sources import exact_sample, read_page
+
+
+def sample(spark, sf_dir):
+    orders = star_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return exact_sample(orders, "o_orderkey", 1000, seed="7")
+
+
+def page_by_start(spark, sf_dir):
+    orders = star_table(spark, sf_dir, "orders")
+    return read_page(orders, "o_orderkey", 50, ["o_orderkey", "o_custkey"], start_index=1000)
+
+
+def page_by_token(spark, sf_dir):
+    orders = star_table(spark, sf_dir, "orders")
+    return read_page(orders, "o_orderkey", 50, ["o_orderkey", "o_orderdate"], page_token=700)
+
+
+def param_filter(spark, sf_dir):
+    star_table(spark, sf_dir, "orders").createOrReplaceTempView("orders_in")
+    return run_sql(
+        spark,
+        "SELECT o_orderkey, o_totalprice FROM orders_in "
+        "WHERE o_orderstatus = :status AND o_totalprice >= :floor",
+        {"status": "F", "floor": 250000.0},
+    )
+
+
+def param_sets(spark, sf_dir):
+    sets = spark.createDataFrame(
+        [("first", "F", "1-URGENT"), ("second", "O", "5-LOW")],
+        "set_name string, o_orderstatus string, o_orderpriority string",
+    )
+    orders = star_table(spark, sf_dir, "orders")
+    found = for_each_parameter_set(orders, sets, ["o_orderstatus", "o_orderpriority"])
+    return found.select("set_name", "o_orderkey", "o_totalprice")
+
+
+def sql_function(spark, sf_dir):
+    attach_functions(
+        spark, ["net_price(price DOUBLE, off DOUBLE) RETURNS DOUBLE RETURN price * (1 - off)"]
+    )
+    star_table(spark, sf_dir, "lineitem").createOrReplaceTempView("lines_in")
+    return run_sql(
+        spark,
+        "SELECT l_orderkey, l_linenumber, net_price(l_extendedprice, l_discount) AS net FROM lines_in",
+    )
+
+
+def typed_cells(spark, sf_dir):
+    cells = star_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("a"),
+        F.col("o_totalprice").cast("string").alias("b"),
+        (F.col("o_orderstatus") == "F").cast("string").alias("c"),
+        "o_orderpriority",
+    )
+    return cells.select(
+        cast_cell(F.col("a"), "INTEGER").alias("order_id"),
+        cast_cell(F.col("b"), "FLOAT").alias("price"),
+        cast_cell(F.col("c"), "BOOLEAN").alias("finished"),
+        cast_cell(F.col("o_orderpriority"), "STRING").alias("priority"),
+    )
+
+
+def sql_view(spark, sf_dir):
+    star_table(spark, sf_dir, "lineitem").createOrReplaceTempView("lines_in")
+    view = create_view(
+        spark, "flag_counts",
+        "SELECT l_returnflag, count(*) AS n, max(l_shipdate) AS last_ship "
+        "FROM lines_in GROUP BY l_returnflag",
+    )
+    return view.select("l_returnflag", "n", "last_ship")
+
+
+QUERIES = {
+    "exact_n_sample": sample,
+    "paged_read": page_by_start,
+    "paged_read_token": page_by_token,
+    "param_filter": param_filter,
+    "param_sets": param_sets,
+    "sql_function": sql_function,
+    "typed_cells": typed_cells,
+    "sql_view": sql_view,
+}
+
+ORACLES = {
+    "exact_n_sample": """
+SELECT o_orderkey, o_totalprice FROM orders
+ORDER BY md5(CAST(o_orderkey AS VARCHAR) || '7'), o_orderkey LIMIT 1000""",
+    "paged_read": """
+SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 50 OFFSET 1000""",
+    "paged_read_token": """
+SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderkey > 700 ORDER BY o_orderkey LIMIT 50""",
+    "param_filter": """
+SELECT o_orderkey, o_totalprice FROM orders
+WHERE o_orderstatus = 'F' AND o_totalprice >= 250000.0""",
+    "param_sets": """
+SELECT CASE WHEN o_orderstatus = 'F' THEN 'first' ELSE 'second' END AS set_name,
+       o_orderkey, o_totalprice
+FROM orders WHERE (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')
+               OR (o_orderstatus = 'O' AND o_orderpriority = '5-LOW')""",
+    "sql_function": """
+SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS net FROM lineitem""",
+    "typed_cells": """
+SELECT o_orderkey AS order_id, o_totalprice AS price, o_orderstatus = 'F' AS finished,
+       o_orderpriority AS priority FROM orders""",
+    "sql_view": """
+SELECT l_returnflag, count(*) AS n, max(l_shipdate) AS last_ship FROM lineitem GROUP BY 1""",
+}
