@@ -1,2 +1,82 @@
-QUERIES: dict = {}
-ORACLES: dict = {}
+"""Rows of the given tables replayed as files and inserted by a stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from titlemart.plans.staging import star_table
+from titlemart.session import shared_path
+from titlemart.sinks.export import TIME_FORMAT
+from titlemart.streaming import insert_stream, read_inserted, read_rejected
+
+
+def _json(columns) -> Column:
+    return F.to_json(F.struct(*columns), {"timestampNTZFormat": TIME_FORMAT})
+
+
+def _run(spark, df, line, **policy):
+    """Write lines as files, let the stream take them all, return both tables."""
+    source, table, rejected, checkpoint = (
+        shared_path(spark, n) for n in ("incoming", "inserted", "rejected", "progress")
+    )
+    df.select(line.alias("value")).write.text(source)
+    insert_stream(spark, source, table, rejected, df.schema, checkpoint, **policy).awaitTermination()
+    return table, rejected
+
+
+def _events(spark, sf_dir):
+    return star_table(spark, sf_dir, "events").drop("props")
+
+
+def insert(spark, sf_dir):
+    events = _events(spark, sf_dir)
+    table, _ = _run(spark, events, _json(events.columns))
+    return read_inserted(spark, table, events.schema)
+
+
+def _spoilt(events) -> Column:
+    line = _json(events.columns)
+    extra = _json([*events.columns, F.lit(1).alias("zzz")])
+    kind = F.col("event_type")
+    return F.when(kind == "error", F.substring(line, 1, 15)).when(kind == "view", extra).otherwise(line)
+
+
+def skip_invalid(spark, sf_dir):
+    events = _events(spark, sf_dir)
+    table, _ = _run(spark, events, _spoilt(events), skip_invalid_rows=True)
+    return read_inserted(spark, table, events.schema)
+
+
+def skip_invalid_ignore_unknown(spark, sf_dir):
+    events = _events(spark, sf_dir)
+    policy = {"skip_invalid_rows": True, "ignore_unknown_values": True}
+    table, _ = _run(spark, events, _spoilt(events), **policy)
+    return read_inserted(spark, table, events.schema)
+
+
+def rejected_rows(spark, sf_dir):
+    events = _events(spark, sf_dir)
+    _, rejected = _run(spark, events, _spoilt(events), skip_invalid_rows=True)
+    return read_rejected(spark, rejected).groupBy(F.col("_reason").alias("reason")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+QUERIES = {
+    "stream_insert": insert,
+    "stream_insert_skip_invalid": skip_invalid,
+    "stream_insert_ignore_unknown": skip_invalid_ignore_unknown,
+    "stream_rejected": rejected_rows,
+}
+
+_COLUMNS = "SELECT event_id, ts, user_id, event_type, value FROM events"
+
+ORACLES = {
+    "stream_insert": _COLUMNS,
+    "stream_insert_skip_invalid": f"{_COLUMNS} WHERE event_type NOT IN ('error', 'view')",
+    "stream_insert_ignore_unknown": f"{_COLUMNS} WHERE event_type <> 'error'",
+    "stream_rejected": """
+SELECT CASE event_type WHEN 'error' THEN 'malformed' ELSE 'unknown field' END AS reason,
+       count(*) AS n FROM events WHERE event_type IN ('error', 'view') GROUP BY 1""",
+}
