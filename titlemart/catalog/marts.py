@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlemart.catalog.flat import FLAT
-from titlemart.plans import marts
+from titlemart.plans import build_marts, marts
 from titlemart.plans.staging import staged_titles
+from titlemart.session import shared_path
+from titlemart.sinks import read_table
 
 
 def _mart(build, lists: tuple[str, ...] = ()):
@@ -43,6 +47,19 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def all_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build and check all marts; one row per mart with its size."""
+    titles = staged_titles(spark, sf_dir)
+    built = build_marts(spark, titles, shared_path(spark, "marts"))
+    sizes = [
+        read_table(spark, b.path).agg(
+            F.lit(b.name).alias("mart"), F.count(F.lit(1)).alias("n"), F.lit(b.passed).alias("passed")
+        )
+        for b in built
+    ]
+    return reduce(DataFrame.unionByName, sizes)
+
+
 QUERIES = {
     "staging_titles": staging,
     "media_urls": _mart(marts.media),
@@ -62,6 +79,7 @@ QUERIES = {
         "array_join(transform(ph_movie, m -> concat(m.genres, ':', m.n)), ',')",
     ),
     "company_portfolio_dedup": _portfolio(marts.company_portfolio_dedup, None),
+    "build_all_marts": all_marts,
 }
 
 _URL = "'https://image.tmdb.org/t/p/original' ||"
@@ -162,4 +180,26 @@ WHERE c_mktsegment <> 'MACHINERY' GROUP BY c_custkey, c_name, c_nationkey""",
 ), totals AS (""" + _PORTFOLIO.format(movies="", genre="JOIN genre USING (id)") + """
 ) SELECT * FROM totals JOIN listed USING (ph_id)""",
     "company_portfolio_dedup": FLAT + _PORTFOLIO.format(movies="", genre=""),
+    "build_all_marts": FLAT + """
+SELECT 'movies_media' AS mart, count(*) AS n, count(*) = count(DISTINCT id) AS passed FROM title
+UNION ALL
+SELECT 'movies_genres', count(*), count(*) = count(DISTINCT genre_id)
+FROM (SELECT DISTINCT genre_id, genre FROM genre g WHERE EXISTS (
+  SELECT 1 FROM genre h WHERE h.id = g.id AND h.genre_id IS NOT NULL))
+UNION ALL
+SELECT 'movies_collection_lists', count(DISTINCT c_custkey), true
+FROM title WHERE c_mktsegment <> 'MACHINERY'
+UNION ALL
+SELECT m, count(DISTINCT genre), true
+FROM genre, (VALUES ('movies_most_fav_by_genre'), ('movies_popular_movie_by_genre')) v(m) GROUP BY m
+UNION ALL
+SELECT m, count(DISTINCT isoyear(release_date)), true
+FROM title, (VALUES ('movies_most_fav_per_year'), ('movies_popular_released_per_year')) v(m)
+WHERE status = 'Released' GROUP BY m
+UNION ALL
+SELECT 'movies_production_countries', count(DISTINCT (country, country_code)), true FROM country
+UNION ALL
+SELECT 'movies_spoken_language', count(DISTINCT (language, language_code)), true FROM language
+UNION ALL
+SELECT 'production_companies_portofolio', count(DISTINCT company_id), true FROM company""",
 }

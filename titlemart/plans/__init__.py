@@ -1,4 +1,4 @@
-
+from titlemart.plans.build import MARTS, Built, build_marts
 from titlemart.plans.marts import (
     collection_lists,
     company_portfolio,
@@ -15,8 +15,9 @@ from titlemart.plans.marts import (
 from titlemart.plans.staging import staged_titles, titles_from_star
 
 __all__ = [
-
-
+    "MARTS",
+    "Built",
+    "build_marts",
     "collection_lists",
     "company_portfolio",
     "company_portfolio_dedup",

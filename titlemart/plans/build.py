@@ -1 +1,71 @@
 """Build every mart from one staging table, each followed by its check."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, SparkSession
+
+from titlemart.plans import marts
+from titlemart.quality.checks import CheckFailed, check_non_empty, check_unique
+from titlemart.sinks.tables import read_table, write_table
+
+
+class Mart(NamedTuple):
+    build: Callable[[DataFrame], DataFrame]
+    unique_key: str | None = None
+
+
+# Table names and the checks that follow them.
+MARTS = {
+    "movies_media": Mart(marts.media, "movie_id"),
+    "movies_genres": Mart(marts.genres, "id"),
+    "movies_collection_lists": Mart(marts.collection_lists, "collection_id"),
+    "movies_most_fav_by_genre": Mart(marts.fav_by_genre),
+    "movies_most_fav_per_year": Mart(marts.fav_per_year),
+    "movies_popular_movie_by_genre": Mart(marts.popular_by_genre),
+    "movies_popular_released_per_year": Mart(marts.popular_per_year),
+    "movies_production_countries": Mart(marts.production_countries),
+    "movies_spoken_language": Mart(marts.spoken_languages),
+    "production_companies_portofolio": Mart(marts.company_portfolio),
+}
+
+
+class Built(NamedTuple):
+    name: str
+    path: str
+    passed: bool
+    message: str
+
+
+def build_marts(
+    spark: SparkSession,
+    titles: DataFrame,
+    root: str,
+    names: Iterable[str] | None = None,
+    at_once: int = 4,
+) -> list[Built]:
+    """Write the marts below ``root``, replacing those that are there.
+
+    The staging table's key is checked first and stops everything if it fails.
+    Marts do not depend on each other, so several are submitted at a time and
+    share the cluster; a failed check is reported without stopping the others.
+    ``titles`` should be a stored table: every mart scans the columns it needs.
+    """
+    check_unique(titles, "id")
+    chosen = list(names or MARTS)
+
+    def build(name: str) -> Built:
+        mart, path = MARTS[name], f"{root.rstrip('/')}/{name}"
+        write_table(mart.build(titles), path, "WRITE_TRUNCATE")
+        table = read_table(spark, path)
+        try:
+            check_unique(table, mart.unique_key) if mart.unique_key else check_non_empty(table)
+        except CheckFailed as failure:
+            return Built(name, path, False, str(failure))
+        return Built(name, path, True, "")
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(build, chosen))
