@@ -18,8 +18,9 @@ def star_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def titles_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested title per order; its lines give the arrays.
 
-    Lines are combined per order on the map side before the shuffle. The small
-    dimension joins are left to Catalyst, which knows the file sizes.
+    The distinct lines of an order are collected once, combined on the map side
+    before the shuffle; each array is a projection of them. The dimension joins
+    are left to Catalyst, which knows the file sizes.
     """
     table = lambda name: star_table(spark, sf_dir, name)
     place = table("nation").join(
@@ -33,22 +34,10 @@ def titles_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
     )
-    genre = F.struct(
-        F.nullif(F.col("p_size") % 7, F.lit(0)).cast("bigint").alias("id"),
-        F.col("p_type").alias("name"),
-    )
-    company = F.struct(
-        F.col("s_suppkey").alias("id"),
-        F.lit(None).cast("string").alias("logo_path"),
-        F.col("s_name").alias("name"),
-        F.col("n_name").alias("origin_country"),
-    )
-    country = F.struct(
-        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("iso_3166_1"),
-        F.col("n_name").alias("name"),
-    )
-    language = F.struct(
-        F.col("r_regionkey").cast("string").alias("iso_639_1"), F.col("r_name").alias("name")
+    line = F.struct(
+        F.nullif(F.col("p_size") % 7, F.lit(0)).cast("bigint").alias("genre_id"),
+        "p_type", "s_suppkey", "s_name", "n_nationkey", "n_name", "r_regionkey", "r_name",
+        (F.col("s_acctbal") >= 3000).alias("listed"),
     )
     per_order = lines.groupBy("l_orderkey").agg(
         F.max("l_discount").alias("vote_average"),
@@ -56,12 +45,30 @@ def titles_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("l_linenumber").cast("bigint").alias("runtime"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("budget"),
         F.sum(F.floor("l_extendedprice").cast("bigint")).alias("revenue"),
-        F.collect_set(genre).alias("genres"),
-        F.collect_set(F.when(F.col("s_acctbal") >= 3000, company)).alias("production_companies"),
-        F.collect_set(country).alias("production_countries"),
-        F.collect_set(language).alias("spoken_languages"),
+        F.collect_set(line).alias("lines"),
     )
-    arrays = ["genres", "production_companies", "production_countries", "spoken_languages"]
+    entries = {
+        "genres": lambda e: F.struct(e["genre_id"].alias("id"), e["p_type"].alias("name")),
+        "production_companies": lambda e: F.struct(
+            e["s_suppkey"].alias("id"),
+            F.lit(None).cast("string").alias("logo_path"),
+            e["s_name"].alias("name"),
+            e["n_name"].alias("origin_country"),
+        ),
+        "production_countries": lambda e: F.struct(
+            F.concat(F.lit("N"), e["n_nationkey"].cast("string")).alias("iso_3166_1"),
+            e["n_name"].alias("name"),
+        ),
+        "spoken_languages": lambda e: F.struct(
+            e["r_regionkey"].cast("string").alias("iso_639_1"), e["r_name"].alias("name")
+        ),
+    }
+    sources = dict.fromkeys(entries, F.col("lines"))
+    sources["production_companies"] = F.filter("lines", lambda e: e["listed"])
+    arrays = {
+        name: F.coalesce(F.array_distinct(F.transform(sources[name], entry)), F.array())
+        for name, entry in entries.items()
+    }
     key, status = F.col("o_orderkey"), F.col("o_orderstatus")
     customer_id = F.col("c_custkey").cast("string")
     collection = F.struct(
@@ -77,7 +84,7 @@ def titles_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         table("orders")
         .join(per_order, key == F.col("l_orderkey"), "left")
         .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
-        .withColumns({a: F.coalesce(F.col(a), F.array()) for a in arrays})
+        .withColumns(arrays)
         .withColumns(
             {
                 "adult": F.lit(False),
