@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Never occurs in text files; lets a missing CSV field differ from an empty one.
-ABSENT = "\u0001absent\u0001"
+# Never occurs in text files; marks where a record ends.
+END = "\u0001end\u0001"
 CORRUPT = "_corrupt_record"
 
 
@@ -73,21 +73,20 @@ def parse_csv(
 ) -> DataFrame:
     """Read delimited files as text fields, then type and judge each record.
 
-    One spare column tells records with too many fields from those with too
-    few. Files are split over tasks unless quoted newlines are allowed.
+    Files are split over tasks unless quoted newlines are allowed.
     """
-    text = [f"_c{i}" for i in range(len(schema.fields) + 1)]
-    layout = ", ".join(f"{c} string" for c in text)
+    cells = [f"_c{i}" for i in range(len(schema.fields))]
+    layout = ", ".join(f"{c} string" for c in [*cells, CORRUPT])
     options = {
         "sep": field_delimiter,
         "quote": '"' if quote is None else quote,
         "escape": '"' if quote is None else (quote or "\\"),
-        "nullValue": ABSENT,
+        "nullValue": null_marker,
         "emptyValue": "",
         "encoding": encoding,
+        "columnNameOfCorruptRecord": CORRUPT,
     }
-    by_line = skip_leading_rows > 1 and not allow_quoted_newlines
-    if by_line:
+    if skip_leading_rows > 1 and not allow_quoted_newlines:
         lines = spark.read.option("encoding", encoding).text(paths)
         kept = skip_first_rows(lines, skip_leading_rows).where(F.length("value") > 0)
         raw = kept.select(F.from_csv("value", layout, options).alias("r")).select("r.*")
@@ -99,18 +98,23 @@ def parse_csv(
             raw = skip_first_rows(raw, skip_leading_rows)
 
     columns, misfits = [], F.lit(False)
-    for index, field in enumerate(schema.fields):
-        cell = F.col(f"_c{index}")
-        value, misfit = _lenient(F.when(cell != null_marker, cell), field.dataType)
+    for cell, field in zip(cells, schema.fields):
+        value, misfit = _lenient(F.col(cell), field.dataType)
         columns.append(value.alias(field.name))
         misfits = misfits | misfit
-    reason = F.lit(None).cast("string")
-    if not allow_jagged_rows:
-        reason = F.coalesce(reason, F.when(F.col(text[-2]).isNull(), "short row"))
-    if not ignore_unknown_values:
-        reason = F.coalesce(reason, F.when(F.col(text[-1]).isNotNull(), "long row"))
+    # All fields are text, so a record is flagged only for its number of fields.
+    # Spark refuses a read of the flag alone, hence the look at a first cell.
+    odd = F.col(CORRUPT).isNotNull() & F.coalesce(F.col(cells[0]) != END, F.lit(True))
+    # With an end mark behind it, a short record shows the mark in a column.
+    ended = F.from_csv(F.concat(CORRUPT, F.lit(field_delimiter + END)), layout, options)
+    short = F.exists(
+        F.array(ended), lambda e: F.greatest(F.lit(False), *[e[c] == END for c in cells])
+    )
+    reason = F.when(odd & short, F.lit(None if allow_jagged_rows else "short row")).when(
+        odd, F.lit(None if ignore_unknown_values else "long row")
+    )
     reason = F.coalesce(reason, F.when(misfits, "bad value"))
-    record = F.to_json(F.array_compact(F.array(*text)))
+    record = F.coalesce(F.col(CORRUPT), F.to_json(F.array_compact(F.array(*cells))))
     return _judged(raw, columns, reason, record)
 
 
