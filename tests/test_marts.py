@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import random
 from collections import defaultdict
 from itertools import product
@@ -10,9 +11,11 @@ from itertools import product
 import pytest
 
 from titlemart.functions.scalars import IMAGE_PREFIX
-from titlemart.plans import build_marts, marts
+from titlemart.operators import reconcile
+from titlemart.plans import build_marts, load_and_build, marts
 from titlemart.schema import titles_schema
 from titlemart.sinks import read_table
+from titlemart.sources import list_files
 
 
 def title(id, **given):
@@ -260,3 +263,25 @@ def test_build_all(spark, tmp_path):
     assert read_table(spark, built["movies_media"].path).count() == 40
     again = build_marts(spark, titles, str(tmp_path), ["movies_media"])
     assert again[0].passed and read_table(spark, again[0].path).count() == 40
+
+
+def test_files_to_marts(spark, tmp_path):
+    files = tmp_path / "files"
+    files.mkdir()
+    for row in random_titles(4, 30):
+        (files / f"{row['id']}.json").write_text(json.dumps(row, default=str))
+    (tmp_path / "copy").mkdir()
+    (tmp_path / "copy" / "0.json").write_text("{}")
+    offered, copied = (list_files(spark, f"{tmp_path}/{f}/*") for f in ("files", "copy"))
+    assert offered.count() == 30 and reconcile(offered, copied, "name").count() == 29
+
+    root = str(tmp_path / "root")
+    built = load_and_build(spark, f"{files}/*.json", root, n_files=20, seed="x")
+    assert len(built) == 10 and read_table(spark, f"{root}/raw_movies").count() == 20
+    with pytest.raises(ValueError, match="population of 30"):
+        load_and_build(spark, f"{files}/*.json", root, n_files=31)
+    load_and_build(spark, f"{files}/*.json", root)
+    staged = read_table(spark, f"{root}/raw_movies")
+    whole = frame(spark, random_titles(4, 30))
+    assert staged.select("id", "genres.name", "release_date", "popularity").exceptAll(
+        whole.select("id", "genres.name", "release_date", "popularity")).isEmpty()

@@ -201,8 +201,10 @@ def test_load_table(spark, tmp_path):
     assert read_table(spark, table).count() == 4
     required = [{"name": "a", "type": "INT64", "mode": "REQUIRED"},
                 {"name": "b", "type": "STRING"}, {"name": "c", "type": "INT64"}]
-    with pytest.raises(Exception, match="NULL in required column a"):
+    with pytest.raises(BadRecordsError, match="no value for a"):
         load_table(spark, str(tmp_path / "r"), path, required)
+    load_table(spark, str(tmp_path / "r"), path, required, max_bad_records=1)
+    assert read_table(spark, str(tmp_path / "r")).count() == 1
 
 
 def test_external_tables(spark, tmp_path):

@@ -3,7 +3,8 @@ import json
 import pytest
 
 from titlemart.schema import schema_from_fields
-from titlemart.streaming import insert_stream, read_inserted, read_rejected
+from titlemart.sinks import create_empty_table, read_table, write_table
+from titlemart.streaming import insert_stream, read_rejected
 
 GOOD, BAD, EXTRA = {"a": 1, "b": "x"}, '{"a":', {"a": 2, "zzz": 1}
 
@@ -14,7 +15,7 @@ def place(spark, tmp_path):
     (tmp_path / "in").mkdir()
 
     class Place:
-        table, rejected, progress = (str(tmp_path / n) for n in ("t", "r", "c"))
+        table, progress = (str(tmp_path / n) for n in ("t", "c"))
 
         def put(self, name, *rows):
             lines = [r if isinstance(r, str) else json.dumps(r) for r in rows]
@@ -22,15 +23,16 @@ def place(spark, tmp_path):
 
         def run(self, **policy):
             query = insert_stream(
-                spark, str(tmp_path / "in"), self.table, self.rejected, schema, self.progress, **policy)
+                spark, str(tmp_path / "in"), self.table, self.progress, **policy)
             query.awaitTermination()
 
         def rows(self):
-            return sorted(r.a for r in read_inserted(spark, self.table, schema).collect())
+            return sorted(r.a for r in read_table(spark, self.table).collect())
 
         def reasons(self):
-            return sorted(r._reason for r in read_rejected(spark, self.rejected).collect())
+            return sorted(r._reason for r in read_rejected(spark, self.table).collect())
 
+    create_empty_table(spark, Place.table, schema)
     return Place()
 
 
@@ -62,3 +64,31 @@ def test_fail_on_error_then_replay_stores_nothing_twice(place):
         with pytest.raises(Exception, match="1 invalid rows"):
             place.run(skip_invalid_rows=True, fail_on_error=True)
     assert place.rows() == [1] and place.reasons() == ["malformed"]
+
+
+def test_streamed_rows_belong_to_the_table(spark, place):
+    write_table(spark.createDataFrame([(9, "y")], "a long, b string"), place.table)
+    place.put("1", GOOD)
+    place.run()
+    assert place.rows() == [1, 9]
+    with pytest.raises(ValueError, match="already holds rows"):
+        write_table(read_table(spark, place.table), place.table)
+    write_table(read_table(spark, place.table).where("a = 1"), place.table, "WRITE_TRUNCATE")
+    assert place.rows() == [1]
+
+
+def test_streaming_into_days(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = [{"a": i, "d": f"2024-01-0{i}"} for i in (1, 2)] + [{"d": "2024-01-03"}]
+    (tmp_path / "in" / "1").write_text("\n".join(map(json.dumps, lines)))
+    fields = [{"name": "a", "type": "INT64", "mode": "REQUIRED"}, {"name": "d", "type": "DATE"}]
+    table = str(tmp_path / "t")
+    create_empty_table(spark, table, fields, partition_field="d")
+    insert_stream(
+        spark, str(tmp_path / "in"), table, str(tmp_path / "c"), skip_invalid_rows=True
+    ).awaitTermination()
+    assert [r.a for r in read_table(spark, table, day="2024-01-02").collect()] == [2]
+    assert [r._reason for r in read_rejected(spark, table).collect()] == ["no value for a"]
+    seven = read_table(spark, table, day="2024-01-02").selectExpr("a + 5 AS a", "d")
+    write_table(seven, table, "WRITE_TRUNCATE", partition="2024-01-02")
+    assert sorted(r.a for r in read_table(spark, table).collect()) == [1, 7]

@@ -7,22 +7,22 @@ from pyspark.sql import functions as F
 
 from titlemart.plans.staging import star_table
 from titlemart.session import shared_path
+from titlemart.sinks import create_empty_table, read_table
 from titlemart.sinks.export import TIME_FORMAT
-from titlemart.streaming import insert_stream, read_inserted, read_rejected
+from titlemart.streaming import insert_stream, read_rejected
 
 
 def _json(columns) -> Column:
     return F.to_json(F.struct(*columns), {"timestampNTZFormat": TIME_FORMAT})
 
 
-def _run(spark, df, line, **policy):
-    """Write lines as files, let the stream take them all, return both tables."""
-    source, table, rejected, checkpoint = (
-        shared_path(spark, n) for n in ("incoming", "inserted", "rejected", "progress")
-    )
+def _run(spark, df, line, **policy) -> str:
+    """Write lines as files and let the stream put them all into a new table."""
+    source, table, checkpoint = (shared_path(spark, n) for n in ("incoming", "inserted", "progress"))
     df.select(line.alias("value")).write.text(source)
-    insert_stream(spark, source, table, rejected, df.schema, checkpoint, **policy).awaitTermination()
-    return table, rejected
+    create_empty_table(spark, table, df.schema)
+    insert_stream(spark, source, table, checkpoint, **policy).awaitTermination()
+    return table
 
 
 def _events(spark, sf_dir):
@@ -31,8 +31,8 @@ def _events(spark, sf_dir):
 
 def insert(spark, sf_dir):
     events = _events(spark, sf_dir)
-    table, _ = _run(spark, events, _json(events.columns))
-    return read_inserted(spark, table, events.schema)
+    table = _run(spark, events, _json(events.columns))
+    return read_table(spark, table)
 
 
 def _spoilt(events) -> Column:
@@ -44,21 +44,21 @@ def _spoilt(events) -> Column:
 
 def skip_invalid(spark, sf_dir):
     events = _events(spark, sf_dir)
-    table, _ = _run(spark, events, _spoilt(events), skip_invalid_rows=True)
-    return read_inserted(spark, table, events.schema)
+    table = _run(spark, events, _spoilt(events), skip_invalid_rows=True)
+    return read_table(spark, table)
 
 
 def skip_invalid_ignore_unknown(spark, sf_dir):
     events = _events(spark, sf_dir)
     policy = {"skip_invalid_rows": True, "ignore_unknown_values": True}
-    table, _ = _run(spark, events, _spoilt(events), **policy)
-    return read_inserted(spark, table, events.schema)
+    table = _run(spark, events, _spoilt(events), **policy)
+    return read_table(spark, table)
 
 
 def rejected_rows(spark, sf_dir):
     events = _events(spark, sf_dir)
-    _, rejected = _run(spark, events, _spoilt(events), skip_invalid_rows=True)
-    return read_rejected(spark, rejected).groupBy(F.col("_reason").alias("reason")).agg(
+    table = _run(spark, events, _spoilt(events), skip_invalid_rows=True)
+    return read_rejected(spark, table).groupBy(F.col("_reason").alias("reason")).agg(
         F.count(F.lit(1)).alias("n")
     )
 

@@ -1,4 +1,4 @@
-from titlemart.plans.build import MARTS, Built, build_marts
+from titlemart.plans.build import MARTS, Built, build_marts, load_and_build
 from titlemart.plans.marts import (
     collection_lists,
     company_portfolio,
@@ -24,6 +24,7 @@ __all__ = [
     "fav_by_genre",
     "fav_per_year",
     "genres",
+    "load_and_build",
     "media",
     "popular_by_genre",
     "popular_per_year",

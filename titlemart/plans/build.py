@@ -1,4 +1,4 @@
-"""Build every mart from one staging table, each followed by its check."""
+"""From title files to staging table to marts, with a check after every step."""
 
 from __future__ import annotations
 
@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from titlemart.plans import marts
 from titlemart.quality.checks import CheckFailed, check_non_empty, check_unique
+from titlemart.schema import titles_schema
 from titlemart.sinks.tables import read_table, write_table
+from titlemart.sources.load import load_files
+from titlemart.sources.sampling import exact_sample, list_files
 
 
 class Mart(NamedTuple):
@@ -69,3 +72,31 @@ def build_marts(
 
     with ThreadPoolExecutor(at_once) as pool:
         return list(pool.map(build, chosen))
+
+
+def load_and_build(
+    spark: SparkSession,
+    pattern: str,
+    root: str,
+    n_files: int | None = None,
+    seed: str = "0",
+    **load_options,
+) -> list[Built]:
+    """Stage the titles of JSON files and build all marts from them.
+
+    With ``n_files`` a seeded sample of exactly that many files is staged. The
+    files are named to the reader, so their names pass through the driver; their
+    contents do not.
+    """
+    chosen = list_files(spark, pattern).select("path")
+    if n_files is not None:
+        chosen = exact_sample(chosen, "path", n_files, seed)
+        paths = [r.path for r in chosen.toLocalIterator()]
+    else:
+        paths = pattern
+    staging = f"{root.rstrip('/')}/raw_movies"
+    loaded = load_files(
+        spark, paths, titles_schema(), "NEWLINE_DELIMITED_JSON", **load_options
+    )
+    write_table(loaded.rows, staging, "WRITE_TRUNCATE")
+    return build_marts(spark, read_table(spark, staging), root)

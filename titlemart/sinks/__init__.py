@@ -3,6 +3,7 @@ from titlemart.sinks.tables import (
     copy_tables,
     create_empty_table,
     create_view,
+    describe_table,
     read_table,
     table_exists,
     write_table,
@@ -12,6 +13,7 @@ __all__ = [
     "copy_tables",
     "create_empty_table",
     "create_view",
+    "describe_table",
     "export_table",
     "read_table",
     "table_exists",

@@ -2,7 +2,8 @@
 
 A table is a folder. Its schema, with REQUIRED marks and layout, is kept in a
 small side file, so that neither an empty table nor a table with added columns
-needs its data files opened to know its columns.
+needs its data files opened to know its columns. Rows inserted by streams lie in
+a folder inside it, one part per batch, and are read along with the others.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from titlemart.schema import required_columns, schema_from_fields
 
 SIDE_FILE = "_table.json"
 DAY = "_day"
+INSERTED = "_inserted"
+BATCH = "_batch"
 WRITE = ("WRITE_TRUNCATE", "WRITE_APPEND", "WRITE_EMPTY")
 CREATE = ("CREATE_IF_NEEDED", "CREATE_NEVER")
 SCHEMA_UPDATES = ("ALLOW_FIELD_ADDITION", "ALLOW_FIELD_RELAXATION")
@@ -36,11 +39,16 @@ def read_table(
     spark: SparkSession, path: str, day: str | None = None, days: tuple[str, str] | None = None
 ) -> DataFrame:
     """The table's rows; ``day`` or an inclusive range ``days`` prunes partitions."""
-    schema, layout = _describe(spark, path)
-    stored = T.StructType(schema.fields)
+    schema, layout = describe_table(spark, path)
+    stored = T.StructType(list(schema.fields))
     if layout["partition_field"]:
         stored = stored.add(DAY, T.DateType())
     rows = spark.read.schema(stored).parquet(path)
+    fs, folder = _fs(spark, path)
+    if fs.exists(_child(spark, folder, INSERTED)):
+        batches = T.StructType(stored.fields + [T.StructField(BATCH, T.StringType())])
+        inserted = spark.read.schema(batches).parquet(f"{path.rstrip('/')}/{INSERTED}")
+        rows = rows.unionByName(inserted.drop(BATCH))
     if day is not None:
         rows = rows.where(F.col(DAY) == F.lit(day).cast("date"))
     if days is not None:
@@ -78,7 +86,7 @@ def write_table(
         raise ValueError("the first write of a day needs partition_field")
 
     if exists:
-        schema, layout = _describe(spark, path)
+        schema, layout = describe_table(spark, path)
         if partition_field and partition_field != layout["partition_field"]:
             raise ValueError(f"{path} is partitioned by {layout['partition_field']}")
         held = read_table(spark, path, day=partition)
@@ -89,6 +97,8 @@ def write_table(
         else:
             df, schema = _fit(df, schema, options)
         partition_field = partition_field or layout["partition_field"]
+        if partition is not None and not partition_field:
+            raise ValueError(f"{path} is not partitioned by day")
         cluster_fields = list(cluster_fields) or layout["cluster_fields"]
     else:
         schema = df.schema
@@ -106,11 +116,21 @@ def write_table(
         beside = _beside(path)
         rows.drop(DAY).write.parquet(beside)
         _swap(spark, beside, f"{path.rstrip('/')}/{DAY}={partition}")
+        _drop_inserted(spark, path, partition)
     else:
         _writer(rows, partition_field).mode("append").parquet(path)
     _save_description(spark, path, schema, layout)
 
 
+def put_batch(rows: DataFrame, path: str, name: str) -> None:
+    """Add one batch of streamed rows; a batch put twice is stored once."""
+    _, layout = describe_table(rows.sparkSession, path)
+    if layout["partition_field"]:
+        rows = rows.withColumn(DAY, F.to_date(layout["partition_field"]))
+    folder = f"{path.rstrip('/')}/{INSERTED}/{BATCH}={name}"
+    _writer(rows, layout["partition_field"]).mode("overwrite").parquet(folder)
+
+
 def copy_tables(
     spark: SparkSession,
     sources: str | Sequence[str],
@@ -249,7 +269,15 @@ def _swap(spark: SparkSession, beside: str, path: str) -> None:
     fs.delete(old, True)
 
 
-def _describe(spark: SparkSession, path: str) -> tuple[T.StructType, dict]:
+def _drop_inserted(spark: SparkSession, path: str, partition: str) -> None:
+    """Streamed rows of a day go with the rows of that day that were replaced."""
+    fs, parts = _fs(spark, f"{path.rstrip('/')}/{INSERTED}/{BATCH}=*/{DAY}={partition}")
+    for status in fs.globStatus(parts) or []:
+        fs.delete(status.getPath(), True)
+
+
+def describe_table(spark: SparkSession, path: str) -> tuple[T.StructType, dict]:
+    """The table's schema and its partition and cluster columns."""
     if not table_exists(spark, path):
         raise ValueError(f"{path} is not a table")
     fs, folder = _fs(spark, path)

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from titlemart.schema import required_columns
+
 # Never occurs in text files; marks where a record ends.
 END = "\u0001end\u0001"
 CORRUPT = "_corrupt_record"
@@ -54,7 +56,7 @@ def parse_json_lines(
     reason = F.when(~ok & broken, "malformed").when(~ok & misfits, "bad value")
     if not ignore_unknown_values:
         reason = reason.when(F.col("__u"), "unknown field")
-    return _judged(frame, columns, reason, F.col("value"))
+    return _judged(frame, schema, columns, reason, F.col("value"))
 
 
 def parse_csv(
@@ -115,7 +117,7 @@ def parse_csv(
     )
     reason = F.coalesce(reason, F.when(misfits, "bad value"))
     record = F.coalesce(F.col(CORRUPT), F.to_json(F.array_compact(F.array(*cells))))
-    return _judged(raw, columns, reason, record)
+    return _judged(raw, schema, columns, reason, record)
 
 
 def skip_first_rows(rows: DataFrame, n: int) -> DataFrame:
@@ -166,8 +168,15 @@ def _row_skipper(n: int, columns: list[str]) -> Callable:
 
 
 def _judged(
-    frame: DataFrame, columns: Sequence[Column], reason: Column, record: Column
+    frame: DataFrame,
+    schema: T.StructType,
+    columns: Sequence[Column],
+    reason: Column,
+    record: Column,
 ) -> DataFrame:
+    for name in required_columns(schema):
+        empty = columns[schema.names.index(name)].isNull()
+        reason = F.coalesce(reason, F.when(empty, f"no value for {name}"))
     text = F.when(reason.isNotNull(), record)
     return frame.select(*columns, reason.alias("_reason"), text.alias("_record"))
 

@@ -1,14 +1,25 @@
-"""A random sample of exactly n rows."""
+"""Listing files, and a random sample of exactly n rows or files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows are spread over this many hash ranges to find where the n-th row falls.
 RANGES = 65_536
 
 
+def list_files(spark: SparkSession, pattern: str) -> DataFrame:
+    """One row per file: path, name, length, time. Contents are not read."""
+    files = spark.read.format("binaryFile").load(pattern)
+    return files.select(
+        "path",
+        F.element_at(F.split("path", "/"), -1).alias("name"),
+        "length",
+        "modificationTime",
+    )
+
+
 def exact_sample(df: DataFrame, key: str, n: int, seed: str = "0") -> DataFrame:
     """The n rows with the smallest hash of (key, seed); the key must be unique.
 

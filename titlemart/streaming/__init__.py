@@ -1,3 +1,3 @@
-from titlemart.streaming.insert import insert_stream, read_inserted, read_rejected
+from titlemart.streaming.insert import insert_stream, read_rejected
 
-__all__ = ["insert_stream", "read_inserted", "read_rejected"]
+__all__ = ["insert_stream", "read_rejected"]

@@ -4,21 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from titlemart.sinks.tables import BATCH, describe_table, put_batch
 from titlemart.sources.parsing import BadRecordsError, parse_json_lines
 
-BATCH = "_batch"
-REJECTED_SCHEMA = "_reason string, _record string"
+REJECTED_SCHEMA = f"_reason string, _record string, {BATCH} string"
 
 
 def insert_stream(
     spark: SparkSession,
     source: str,
     table: str,
-    rejected: str,
-    schema: T.StructType,
     checkpoint: str,
     *,
     stream: str = "insert",
@@ -30,25 +27,28 @@ def insert_stream(
     """Follow a folder of JSON row files and append its rows to a table.
 
     A batch is accepted or refused as one request: with an invalid row in it
-    nothing of it is stored, unless ``skip_invalid_rows``. Invalid rows go to
-    ``rejected``; with ``fail_on_error`` they also stop the stream. Rows are
-    written under the stream's and batch's name, so a replayed batch replaces
-    its own rows and nothing is stored twice.
+    nothing of it is stored, unless ``skip_invalid_rows``. Invalid rows are kept
+    beside the table (``read_rejected``); with ``fail_on_error`` they also stop
+    the stream. Rows are stored under the stream's and batch's name, so a
+    replayed batch replaces its own rows and nothing is stored twice; streams
+    into one table need names of their own.
     """
+    schema, _ = describe_table(spark, table)
     lines = spark.readStream.option("maxFilesPerTrigger", max_files_per_batch).text(source)
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        name = f"{stream}-{batch_id}"
         parsed = parse_json_lines(batch, schema, ignore_unknown_values).persist()
         try:
-            bad = parsed.where(F.col("_reason").isNotNull())
+            bad = parsed.where(F.col("_reason").isNotNull()).select("_reason", "_record")
             refused = not bad.isEmpty()
             if not refused or skip_invalid_rows:
-                good = parsed.where(F.col("_reason").isNull()).select(*schema.names)
-                _put(good, table, f"{stream}-{batch_id}")
+                put_batch(parsed.where(F.col("_reason").isNull()).select(*schema.names), table, name)
             if refused:
-                _put(bad.select("_reason", "_record"), rejected, f"{stream}-{batch_id}")
+                folder = f"{_rejected(table)}/{BATCH}={name}"
+                bad.write.mode("overwrite").parquet(folder)
                 if fail_on_error:
-                    raise BadRecordsError(f"{bad.count()} invalid rows in batch {batch_id}")
+                    raise BadRecordsError(f"{bad.count()} invalid rows in batch {name}")
         finally:
             parsed.unpersist()
 
@@ -60,20 +60,10 @@ def insert_stream(
     )
 
 
-def read_inserted(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
-    stored = T.StructType(schema.fields + [T.StructField(BATCH, T.StringType())])
-    return spark.read.schema(stored).parquet(table).select(*schema.names)
+def read_rejected(spark: SparkSession, table: str) -> DataFrame:
+    """Rows refused by streams into a table, with reason and batch."""
+    return spark.read.schema(REJECTED_SCHEMA).parquet(_rejected(table))
 
 
-def read_rejected(spark: SparkSession, rejected: str) -> DataFrame:
-    return spark.read.schema(f"{REJECTED_SCHEMA}, {BATCH} string").parquet(rejected)
-
-
-def _put(rows: DataFrame, path: str, name: str) -> None:
-    (
-        rows.withColumn(BATCH, F.lit(name))
-        .write.partitionBy(BATCH)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
+def _rejected(table: str) -> str:
+    return f"{table.rstrip('/')}__rejected"
