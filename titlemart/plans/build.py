@@ -48,7 +48,7 @@ def build_marts(
     titles: DataFrame,
     root: str,
     names: Iterable[str] | None = None,
-    at_once: int = 4,
+    at_once: int = 10,
 ) -> list[Built]:
     """Write the marts below ``root``, replacing those that are there.
 
