@@ -6,7 +6,7 @@ import pytest
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from titlemart.session import local_session  # noqa: E402
+from titlemart.session import clear_shared, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -14,4 +14,5 @@ def spark():
     session = local_session(8, "tests")
     session.sparkContext.setLogLevel("OFF")
     yield session
+    clear_shared(session)
     session.stop()

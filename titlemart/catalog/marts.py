@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from titlemart.catalog.flat import FLAT
 from titlemart.plans import build_marts, marts
-from titlemart.plans.staging import staged_titles
+from titlemart.plans.staging import staged_titles, titles_from_star
 from titlemart.session import shared_path
 from titlemart.sinks import read_table
 
@@ -36,7 +36,7 @@ def _portfolio(build, movies: str | None):
 
 
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staged_titles(spark, sf_dir).select(
+    return titles_from_star(spark, sf_dir).select(
         "id", "title", "status", "release_date", "popularity", "vote_average", "vote_count",
         "runtime", "budget", "revenue", "overview", "video", "poster_path",
         F.size("genres").cast("bigint").alias("n_genres"),

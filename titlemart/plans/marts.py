@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -136,17 +136,34 @@ def company_portfolio(titles: DataFrame, genre_form: str = "list") -> DataFrame:
         "id", "popularity", "revenue", "budget", F.explode("names").alias("genres"),
     )
     per_genre = product.groupBy(*company, "genres").agg(
-        F.count(F.lit(1)).alias("n"), *_sums("id", "popularity", "revenue", "budget")
+        F.count(F.lit(1)).alias("n"),
+        F.count("id").alias("n_id"),
+        F.sum("popularity").alias("score"),
+        F.count("popularity").alias("n_score"),
+        F.sum("revenue").alias("revenue"),
+        F.sum("budget").alias("budget"),
     )
-    entries = F.sort_array(F.collect_list(F.struct("genres", "n")))
-    if genre_form == "list":
-        entries = F.flatten(
-            F.transform(
-                entries,
-                lambda e: F.array_repeat(F.struct(e["genres"].alias("genres")), e["n"].cast("int")),
-            )
+    ordered = (
+        per_genre.groupBy(*company)
+        .agg(
+            F.sort_array(F.collect_list(F.struct("genres", "n"))).alias("ph_movie"),
+            F.sum("n_id").alias("ph_total_movie"),
+            (F.sum("score").cast("double") / F.sum("n_score")).alias(
+                "average_popularity_movie_score"
+            ),
+            F.sum("revenue").alias("ph_total_revenue"),
+            F.sum("budget").alias("ph_total_budget"),
         )
-    return _portfolio(per_genre, company, entries)
+        .orderBy(F.col("average_popularity_movie_score").desc_nulls_last())
+    )
+    if genre_form == "counts":
+        return ordered
+    # Repeats are made after the sort, which so moves each genre once.
+    repeated = F.transform(
+        "ph_movie",
+        lambda e: F.array_repeat(F.struct(e["genres"].alias("genres")), e["n"].cast("int")),
+    )
+    return ordered.withColumn("ph_movie", F.flatten(repeated))
 
 
 def company_portfolio_dedup(titles: DataFrame) -> DataFrame:
@@ -241,29 +258,3 @@ def _with_attributes(
     main = detail.select("movie_id", *attributes).distinct()
     names = distinct_lists(detail, "movie_id", {out: out for out in lists})
     return best.join(main.join(names, "movie_id", "left"), "movie_id", "left")
-
-
-def _sums(key: str, *values: str) -> list[Column]:
-    score, *totals = values
-    return [
-        F.count(key).alias("n_id"),
-        F.sum(score).alias("score"),
-        F.count(score).alias("n_score"),
-        *[F.sum(t).alias(t) for t in totals],
-    ]
-
-
-def _portfolio(per_genre: DataFrame, company: Sequence[str], entries: Column) -> DataFrame:
-    return (
-        per_genre.groupBy(*company)
-        .agg(
-            entries.alias("ph_movie"),
-            F.sum("n_id").alias("ph_total_movie"),
-            (F.sum("score").cast("double") / F.sum("n_score")).alias(
-                "average_popularity_movie_score"
-            ),
-            F.sum("revenue").alias("ph_total_revenue"),
-            F.sum("budget").alias("ph_total_budget"),
-        )
-        .orderBy(F.col("average_popularity_movie_score").desc_nulls_last())
-    )

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlemart.schema import titles_schema
-from titlemart.session import shared_path
+from titlemart.session import shared_dir
 
-_STAGED: dict[tuple[str, str], str] = {}
+_STAGING = threading.Lock()
 
 
 def star_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,9 +116,9 @@ def titles_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staged_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staging table, written once per application and scanned by all marts."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STAGED:
-        path = shared_path(spark, "titles")
-        titles_from_star(spark, sf_dir).write.parquet(path)
-        _STAGED[key] = path
-    return spark.read.schema(titles_schema()).parquet(_STAGED[key])
+    path = f"{shared_dir(spark)}/titles-{hashlib.md5(sf_dir.encode()).hexdigest()[:12]}"
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    with _STAGING:
+        if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+            titles_from_star(spark, sf_dir).write.mode("overwrite").parquet(path)
+    return spark.read.schema(titles_schema()).parquet(path)

@@ -54,3 +54,9 @@ def write_shared(df: DataFrame, label: str) -> DataFrame:
     path = shared_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables, when results are stored."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
