@@ -51,7 +51,9 @@ def test_value(spark):
     check_value(spark.sql("SELECT 5"), 5)
     check_value(spark.sql("SELECT 5.4, 4.6"), 5, tolerance=0.1)
     check_value(spark.sql("SELECT -5.4"), -5, tolerance=0.1)
-    for query, value, tolerance in (("SELECT 5", 6, None), ("SELECT 5.6", 5, 0.1), ("SELECT NULL", 5, 0.1)):
+    check_value(spark.sql("SELECT 5L, 5.0"), "5")
+    check_value(spark.sql("SELECT 'done'"), "done")
+    for query, value, tolerance in (("SELECT 5", 6, None), ("SELECT 'x'", "y", None), ("SELECT 5.6", 5, 0.1), ("SELECT NULL", 5, 0.1)):
         with pytest.raises(CheckFailed):
             check_value(spark.sql(query), value, tolerance)
 

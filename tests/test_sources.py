@@ -235,6 +235,7 @@ def test_external_tables(spark, tmp_path):
 
 def test_exact_sample(spark):
     df = spark.range(5000)
+    assert exact_sample(df.where("id < 0"), "id", 0).count() == 0
     one, again = (sorted(r.id for r in exact_sample(df, "id", 777, "s").collect()) for _ in range(2))
     assert one == again and len(set(one)) == 777
     assert one != sorted(r.id for r in exact_sample(df, "id", 777, "t").collect())
@@ -248,6 +249,9 @@ def test_pages(spark, monkeypatch):
     assert [r.k for r in read_page(df, "k", 3, start_index=10).collect()] == [30, 33, 36]
     assert [r.k for r in read_page(df, "k", 2, ["k"], page_token=36).collect()] == [39, 42]
     assert read_page(df, "k", 5, start_index=999).count() == 1
+    assert read_page(df, "k").count() == 1000
+    wide = df.withColumns({"x": df.k, "y": df.k})
+    assert read_page(wide, "k", 1, "k, y").columns == ["k", "y"]
     monkeypatch.setattr("titlemart.sources.paging.DEEP_START", 100)
     for start in (101, 500, 998, 1500):
         want = [k for k in range(0, 3000, 3)][start:start + 4]

@@ -49,19 +49,28 @@ def check_non_empty(df: DataFrame) -> None:
 
 def check_value(df: DataFrame, pass_value, tolerance: float | None = None) -> None:
     """Every value of the first row equals ``pass_value``, or lies within the
-    relative tolerance of it."""
+    relative tolerance of it. Numbers compare as numbers, all else as text."""
     row = df.first()
     if row is None:
         raise CheckFailed("the query gave no row")
-    if tolerance is None:
+    target = _number(pass_value)
+    if target is None:
         good = all(str(v) == str(pass_value) for v in row)
     else:
-        low, high = sorted(float(pass_value) * (1 + s * tolerance) for s in (-1, 1))
-        good = all(v is not None and low <= float(v) <= high for v in row)
+        low, high = sorted(target * (1 + s * (tolerance or 0)) for s in (-1, 1))
+        numbers = [_number(v) for v in row]
+        good = all(v is not None and low <= v <= high for v in numbers)
     if not good:
         raise CheckFailed(f"{row.asDict()} is not {pass_value} (tolerance {tolerance})")
 
 
+def _number(value) -> float | None:
+    try:
+        return float(value)
+    except (TypeError, ValueError):
+        return None
+
+
 def interval_ratios(
     df: DataFrame,
     metrics: Mapping[str, float],

@@ -16,12 +16,13 @@ DEEP_START = 100_000
 def read_page(
     df: DataFrame,
     key: str,
-    max_results: int,
-    selected_fields: Sequence[str] | None = None,
+    max_results: int | None = None,
+    selected_fields: str | Sequence[str] | None = None,
     page_token: Any = None,
     start_index: int = 0,
 ) -> DataFrame:
-    """One page in order of a unique key.
+    """One page in order of a unique key; ``selected_fields`` may be one text
+    with commas.
 
     ``page_token`` is the last key of the page before; the scan then prunes by
     ``key > token``. ``start_index`` counts rows from the beginning; for a deep
@@ -33,7 +34,11 @@ def read_page(
     skip = start_index
     if start_index > DEEP_START and isinstance(df.schema[key].dataType, T.NumericType):
         df, skip = _seek(df, key, start_index)
-    page = df.orderBy(F.col(key).asc_nulls_first()).offset(skip).limit(max_results)
+    page = df.orderBy(F.col(key).asc_nulls_first()).offset(skip)
+    if max_results is not None:
+        page = page.limit(max_results)
+    if isinstance(selected_fields, str):
+        selected_fields = [f.strip() for f in selected_fields.split(",")]
     return page.select(*(selected_fields or df.columns))
 
 

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Rows are spread over this many hash ranges to find where the n-th row falls.
-RANGES = 65_536
-
 
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:
     """One row per file: path, name, length, time. Contents are not read."""
@@ -23,8 +20,8 @@ def list_files(spark: SparkSession, pattern: str) -> DataFrame:
 def exact_sample(df: DataFrame, key: str, n: int, seed: str = "0") -> DataFrame:
     """The n rows with the smallest hash of (key, seed); the key must be unique.
 
-    A count per hash range (bounded, and combined on the map side) shows in
-    which range the n-th row falls. Lower ranges are taken without any sort;
+    A count per hash range (65,536 of them at most, combined on the map side)
+    shows in which range the n-th row falls. Lower ranges are taken without any sort;
     only the last range is sorted for its first rows. Raises if there are fewer
     than n rows.
     """
@@ -32,16 +29,15 @@ def exact_sample(df: DataFrame, key: str, n: int, seed: str = "0") -> DataFrame:
     marked = df.withColumn("__digest", digest).withColumn(
         "__range", F.conv(F.substring("__digest", 1, 4), 16, 10).cast("int")
     )
-    counts = marked.groupBy("__range").count().collect()
-    total = sum(r["count"] for r in counts)
-    if total < n:
-        raise ValueError(f"sample of {n} rows from a population of {total}")
-    taken, last = 0, -1
-    for r in sorted(counts):
-        last = r["__range"]
-        if taken + r["count"] >= n:
-            break
-        taken += r["count"]
-    inside = marked.where(F.col("__range") < last)
-    edge = marked.where(F.col("__range") == last).orderBy("__digest", key).limit(n - taken)
+    counts = marked.groupBy("__range").count()
+    upto = F.sum("count").over(Window.orderBy("__range"))
+    cut = counts.withColumn("upto", upto).agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("total"),
+        F.coalesce(F.min(F.when(F.col("upto") >= n, F.col("__range"))), F.lit(0)).alias("last"),
+        F.coalesce(F.max(F.when(F.col("upto") < n, F.col("upto"))), F.lit(0)).alias("taken"),
+    ).first()
+    if cut.total < n:
+        raise ValueError(f"sample of {n} rows from a population of {cut.total}")
+    inside = marked.where(F.col("__range") < cut.last)
+    edge = marked.where(F.col("__range") == cut.last).orderBy("__digest", key).limit(n - cut.taken)
     return inside.unionByName(edge).drop("__digest", "__range")
