@@ -217,6 +217,16 @@ def test_portfolio(titles, rows):
         assert sum(m.n for m in counted[r.ph_id].ph_movie) == len(r.ph_movie)
 
 
+def test_long_portfolio_goes_on_in_further_rows(spark):
+    titles = frame(spark, random_titles(6))
+    want = {r.ph_id: r for r in marts.company_portfolio(titles).collect()}
+    got = defaultdict(list)
+    for r in marts.company_portfolio(titles, max_items=7).collect():
+        assert 0 < len(r.ph_movie) <= 7 and r.ph_total_movie == want[r.ph_id].ph_total_movie
+        got[r.ph_id] += r.ph_movie
+    assert got == {k: r.ph_movie for k, r in want.items()}
+
+
 def test_media(titles, rows):
     got = marts.media(titles).collect()
     assert [r.movie_id for r in got] == sorted(r["id"] for r in rows)

@@ -46,6 +46,19 @@ def test_a_batch_with_an_invalid_row_is_refused_whole(place):
     assert place.rows() == [1, 6] and place.reasons() == ["malformed"]
 
 
+def test_stream_that_goes_on(place, spark, tmp_path):
+    place.put("1", GOOD)
+    query = insert_stream(
+        spark, str(tmp_path / "in"), place.table, place.progress, every="0 seconds")
+    try:
+        query.processAllAvailable()
+        place.put("2", {"a": 4})
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert place.rows() == [1, 4]
+
+
 def test_skip_invalid_rows(place):
     place.put("1", GOOD, BAD, EXTRA)
     place.run(skip_invalid_rows=True)

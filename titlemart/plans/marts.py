@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from titlemart.functions.scalars import first_element, image_url, iso_year
-from titlemart.operators.arrays import any_element_has, collect_aligned, distinct_lists, unnest
+from titlemart.operators.arrays import (
+    MAX_LIST_ITEMS,
+    any_element_has,
+    collect_aligned,
+    distinct_lists,
+    unnest,
+)
 from titlemart.operators.topk import top_k_per_group
 from titlemart.session import write_shared
 
@@ -114,14 +120,17 @@ def popular_per_year(titles: DataFrame) -> DataFrame:
     ).orderBy(F.col("year").desc_nulls_last())
 
 
-def company_portfolio(titles: DataFrame, genre_form: str = "list") -> DataFrame:
+def company_portfolio(
+    titles: DataFrame, genre_form: str = "list", max_items: int = MAX_LIST_ITEMS
+) -> DataFrame:
     """Totals and genres per company, over the product companies x genres.
 
     As the product repeats a title once per genre, so do its count, revenue
     and budget. Rows are first combined per company and genre, which leaves a
     hot company as many rows as it has genres; only then are lists made.
-    ``genre_form="counts"`` gives each genre once with its count, for companies
-    whose list with repeats would be too long for one row.
+    A list of more than ``max_items`` genres, repeats included, is continued in
+    further rows with the same totals, so that no task holds it whole.
+    ``genre_form="counts"`` gives each genre once with its count instead.
     """
     if genre_form not in ("list", "counts"):
         raise ValueError("genre_form is 'list' or 'counts'")
@@ -143,10 +152,14 @@ def company_portfolio(titles: DataFrame, genre_form: str = "list") -> DataFrame:
         F.sum("revenue").alias("revenue"),
         F.sum("budget").alias("budget"),
     )
-    ordered = (
-        per_genre.groupBy(*company)
+    before = Window.partitionBy(*company).orderBy("genres").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    portfolio = (
+        per_genre.withColumn("upto", F.sum("n").over(before))
+        .groupBy(*company)
         .agg(
-            F.sort_array(F.collect_list(F.struct("genres", "n"))).alias("ph_movie"),
+            F.sort_array(F.collect_list(F.struct("genres", "n", "upto"))).alias("ph_movie"),
             F.sum("n_id").alias("ph_total_movie"),
             (F.sum("score").cast("double") / F.sum("n_score")).alias(
                 "average_popularity_movie_score"
@@ -154,16 +167,28 @@ def company_portfolio(titles: DataFrame, genre_form: str = "list") -> DataFrame:
             F.sum("revenue").alias("ph_total_revenue"),
             F.sum("budget").alias("ph_total_budget"),
         )
-        .orderBy(F.col("average_popularity_movie_score").desc_nulls_last())
     )
+    order = [F.col("average_popularity_movie_score").desc_nulls_last(), F.col("ph_id")]
     if genre_form == "counts":
-        return ordered
-    # Repeats are made after the sort, which so moves each genre once.
-    repeated = F.transform(
-        "ph_movie",
-        lambda e: F.array_repeat(F.struct(e["genres"].alias("genres")), e["n"].cast("int")),
+        counts = F.transform("ph_movie", lambda e: F.struct(e["genres"], e["n"]))
+        return portfolio.withColumn("ph_movie", counts).orderBy(*order)
+
+    # Repeats are made after the sort, which so moves each genre once per row.
+    last = F.floor((F.element_at("ph_movie", -1)["upto"] - 1) / max_items)
+    rows = portfolio.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    low = F.col("__part") * max_items
+    high = low + max_items
+
+    def repeats(e: Column) -> Column:
+        held = F.least(e["upto"], high) - F.greatest(e["upto"] - e["n"], low)
+        times = F.greatest(held, F.lit(0)).cast("int")
+        return F.array_repeat(F.struct(e["genres"].alias("genres")), times)
+
+    return (
+        rows.orderBy(*order, "__part")
+        .withColumn("ph_movie", F.flatten(F.transform("ph_movie", repeats)))
+        .drop("__part")
     )
-    return ordered.withColumn("ph_movie", F.flatten(repeated))
 
 
 def company_portfolio_dedup(titles: DataFrame) -> DataFrame:
@@ -187,7 +212,7 @@ def company_portfolio_dedup(titles: DataFrame) -> DataFrame:
         F.sum("revenue").alias("ph_total_revenue"),
         F.sum("budget").alias("ph_total_budget"),
     )
-    return totals.orderBy(F.col("average_popularity_movie_score").desc_nulls_last())
+    return totals.orderBy(F.col("average_popularity_movie_score").desc_nulls_last(), "ph_id")
 
 
 _BY_GENRE_LISTS = {"movie_country": COUNTRIES, "ph_name": COMPANIES}

@@ -23,6 +23,7 @@ def insert_stream(
     skip_invalid_rows: bool = False,
     fail_on_error: bool = False,
     max_files_per_batch: int = 1000,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Follow a folder of JSON row files and append its rows to a table.
 
@@ -31,7 +32,8 @@ def insert_stream(
     beside the table (``read_rejected``); with ``fail_on_error`` they also stop
     the stream. Rows are stored under the stream's and batch's name, so a
     replayed batch replaces its own rows and nothing is stored twice; streams
-    into one table need names of their own.
+    into one table need names of their own. Takes what is there and ends, or goes
+    on looking ``every`` so often (as ``"1 minute"``).
     """
     schema, _ = describe_table(spark, table)
     lines = spark.readStream.option("maxFilesPerTrigger", max_files_per_batch).text(source)
@@ -52,12 +54,9 @@ def insert_stream(
         finally:
             parsed.unpersist()
 
-    return (
-        lines.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    writer = lines.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()
 
 
 def read_rejected(spark: SparkSession, table: str) -> DataFrame:
