@@ -101,6 +101,20 @@ def test_json_unknown_nested_field(spark, tmp_path):
     assert load_files(spark, path, schema, JSON, ignore_unknown_values=True).rows.count() == 3
 
 
+def test_json_unknown_field_two_levels_down(spark, tmp_path):
+    inner = {"name": "h", "type": "RECORD", "fields": [{"name": "n", "type": "INT64"}]}
+    schema = schema_from_fields(
+        [{"name": "g", "type": "RECORD", "mode": "REPEATED", "fields": [inner]},
+         {"name": "one", "type": "RECORD", "fields": [{"name": "n", "type": "INT64"}]}])
+    good = ['{"g":[{"h":{"n":1}}]}', '{"g":{"h":{"n":"2"}},"one":{"n":"3"}}', '{"one":null}']
+    bad = ['{"g":[{"h":{"n":1,"x":2}}]}', '{"g":{"h":{"x":2}}}', '{"one":{"n":1,"x":2}}']
+    path = put(tmp_path / "j", "\n".join(good + bad))
+    loaded = load_files(spark, path, schema, JSON, max_bad_records=3)
+    assert {r._record for r in loaded.rejected.collect()} == set(bad)
+    got = {(r.g[0].h.n if r.g else None, r.one.n if r.one else None) for r in loaded.rows.collect()}
+    assert got == {(1, None), (2, 3), (None, None)}
+
+
 CSV = '1|x|3\n2|z\n3|w|4|5\nbad|q|1\n|"quo|ted"|\n'
 
 

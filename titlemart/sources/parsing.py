@@ -42,15 +42,26 @@ def parse_json_lines(
     )
     frame = lines.where(F.length(F.trim("value")) > 0).withColumn("__s", strict)
     ok = F.col("__s").isNotNull() & F.col(f"__s.{CORRUPT}").isNull()
-    if not ignore_unknown_values:
-        frame = frame.withColumn("__u", _unknown_keys(F.col("value"), schema))
     frame = frame.withColumn(
         "__l", F.when(~ok, F.from_json("value", loose_schema, options))
     )
+    # Nested fields of lenient records are parsed here once, then looked at twice.
+    nested = [f for f in schema.fields if _is_nested(f.dataType)]
+    parts = {
+        f.name: (f"__n{i}", F.from_json(F.col(f"__l.`{f.name}`"), _as_text(f.dataType)))
+        for i, f in enumerate(nested)
+    }
+    if parts:
+        frame = frame.withColumns(dict(parts.values()))
+    if not ignore_unknown_values:
+        unknown = F.when(ok, _unknown_in_fitting(F.col("value"), schema, nested))
+        unknown = unknown.otherwise(_unknown_keys(F.col("value"), schema))
+        frame = frame.withColumn("__u", unknown)
     broken = F.col("__l").isNull() | F.col(f"__l.{CORRUPT}").isNotNull()
     columns, misfits = [], F.lit(False)
     for field in schema.fields:
-        value, misfit = _lenient(F.col(f"__l.`{field.name}`"), field.dataType)
+        part = F.col(parts[field.name][0]) if field.name in parts else None
+        value, misfit = _lenient(F.col(f"__l.`{field.name}`"), field.dataType, part)
         columns.append(F.when(ok, F.col(f"__s.`{field.name}`")).otherwise(value).alias(field.name))
         misfits = misfits | misfit
     reason = F.when(~ok & broken, "malformed").when(~ok & misfits, "bad value")
@@ -181,25 +192,25 @@ def _judged(
     return frame.select(*columns, reason.alias("_reason"), text.alias("_record"))
 
 
-def _lenient(text: Column, dtype: T.DataType) -> tuple[Column, Column]:
-    """Typed value of a text, and whether a value was there that does not fit."""
+def _lenient(
+    text: Column, dtype: T.DataType, parsed: Column | None = None
+) -> tuple[Column, Column]:
+    """Typed value of a text, and whether a value was there that does not fit.
+
+    ``parsed`` is the text of a nested value already taken apart.
+    """
     if isinstance(dtype, T.StringType):
         return text, F.lit(False)
-    if isinstance(dtype, T.ArrayType):
-        inner = dtype.elementType
-        if isinstance(inner, T.StructType):
-            items = F.from_json(text, T.ArrayType(_all_text(inner)))
+    if _is_nested(dtype):
+        parts = F.from_json(text, _as_text(dtype)) if parsed is None else parsed
+        unread = text.isNotNull() & parts.isNull()
+        if isinstance(dtype, T.StructType):
+            value, misfit = _lenient_part(parts, dtype)
         else:
-            items = F.from_json(text, T.ArrayType(T.StringType()))
-        value = F.transform(items, lambda e: _lenient_part(e, inner)[0])
-        misfit = (text.isNotNull() & items.isNull()) | F.coalesce(
-            F.exists(items, lambda e: _lenient_part(e, inner)[1]), F.lit(False)
-        )
-        return value, misfit
-    if isinstance(dtype, T.StructType):
-        part = F.from_json(text, _all_text(dtype))
-        value, misfit = _lenient_part(part, dtype)
-        return value, (text.isNotNull() & part.isNull()) | misfit
+            inner = dtype.elementType
+            value = F.transform(parts, lambda e: _lenient_part(e, inner)[0])
+            misfit = F.exists(parts, lambda e: _lenient_part(e, inner)[1])
+        return value, unread | F.coalesce(misfit, F.lit(False))
     filled = F.nullif(F.trim(text), F.lit(""))
     value = filled.try_cast(dtype)
     return value, filled.isNotNull() & value.isNull()
@@ -216,30 +227,84 @@ def _lenient_part(part: Column, dtype: T.DataType) -> tuple[Column, Column]:
     return F.when(part.isNotNull(), F.struct(*values)), misfits
 
 
-def _all_text(dtype: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in dtype.fields])
+def _is_nested(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.ArrayType, T.StructType))
+
+
+def _as_text(dtype: T.DataType) -> T.DataType:
+    """The outer shape of a nested type, with everything inside it as text."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, T.StringType()) for f in dtype.fields])
+    inner = dtype.elementType
+    return T.ArrayType(_as_text(inner) if isinstance(inner, T.StructType) else T.StringType())
+
+
+def _object_type(dtype: T.DataType) -> T.StructType | None:
+    """The struct type of a nested object, or of the objects of an array."""
+    inner = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype
+    return inner if isinstance(inner, T.StructType) else None
+
+
+def _unknown_in_fitting(
+    text: Column, schema: T.StructType, nested: Sequence[T.StructField]
+) -> Column:
+    """Undeclared keys of a record that fits the schema: its arrays are arrays,
+    so one further reading of objects as maps shows all keys inside."""
+    objects = {f.name: _object_type(f.dataType) for f in nested}
+    objects = {name: dtype for name, dtype in objects.items() if dtype is not None}
+    if any(_is_nested(f.dataType) for dtype in objects.values() for f in dtype.fields):
+        return _unknown_keys(text, schema)
+    unknown = _not_among(F.json_object_keys(text), schema)
+    if objects:
+        as_map = T.MapType(T.StringType(), T.StringType())
+        fields = [
+            T.StructField(f.name, T.ArrayType(as_map) if isinstance(f.dataType, T.ArrayType) else as_map)
+            for f in nested if f.name in objects
+        ]
+
+        def inside(maps: Column) -> Column:
+            found = F.lit(False)
+            for field in fields:
+                known = objects[field.name]
+                if isinstance(field.dataType, T.ArrayType):
+                    odd = F.exists(maps[field.name], _has_unknown_key(known))
+                else:
+                    odd = _has_unknown_key(known)(maps[field.name])
+                found = found | F.coalesce(odd, F.lit(False))
+            return found
+
+        maps = F.array(F.from_json(text, T.StructType(fields)))
+        unknown = unknown | F.exists(maps, inside)
+    return F.coalesce(unknown, F.lit(False))
+
+
+def _has_unknown_key(known: T.StructType) -> Callable[[Column], Column]:
+    return lambda entry: _not_among(F.map_keys(entry), known)
+
+
+def _not_among(keys: Column, known: T.StructType) -> Column:
+    return F.size(F.array_except(keys, F.array(*[F.lit(n) for n in known.names]))) > 0
 
 
 def _unknown_keys(text: Column, schema: T.StructType) -> Column:
     """True if the JSON object, or an object inside it, has undeclared keys."""
-    known = F.array(*[F.lit(f.name) for f in schema.fields])
-    unknown = F.size(F.array_except(F.json_object_keys(text), known)) > 0
-    nested = [
-        f for f in schema.fields
-        if isinstance(f.dataType, T.StructType)
-        or (isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType))
-    ]
+    unknown = _not_among(F.json_object_keys(text), schema)
+    nested = [f for f in schema.fields if _object_type(f.dataType) is not None]
     if nested:
-        shallow = F.from_json(text, T.StructType([T.StructField(f.name, T.StringType()) for f in nested]))
+        shallow = F.from_json(text, _as_text(T.StructType(nested)))
         for field in nested:
-            inner = field.dataType
-            if isinstance(inner, T.ArrayType):
-                inner = inner.elementType
-            unknown = unknown | _unknown_inside(shallow[field.name], inner)
+            unknown = unknown | _unknown_inside(shallow[field.name], _object_type(field.dataType))
     return F.coalesce(unknown, F.lit(False))
 
 
 def _unknown_inside(text: Column, dtype: T.StructType) -> Column:
-    listed = F.when(F.startswith(F.ltrim(text), F.lit("{")), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
-    objects = F.from_json(listed, T.ArrayType(T.StringType()))
-    return F.coalesce(F.exists(objects, lambda o: _unknown_keys(o, dtype)), F.lit(False))
+    """The same for a nested text, be it one object or an array of them."""
+    single = F.startswith(F.ltrim(text), F.lit("{"))
+    listed = F.when(single, F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
+    if any(_is_nested(f.dataType) for f in dtype.fields):
+        objects = F.from_json(listed, T.ArrayType(T.StringType()))
+        odd = F.exists(objects, lambda o: _unknown_keys(o, dtype))
+    else:
+        as_map = T.MapType(T.StringType(), T.StringType())
+        odd = F.exists(F.from_json(listed, T.ArrayType(as_map)), _has_unknown_key(dtype))
+    return F.coalesce(odd, F.lit(False))
