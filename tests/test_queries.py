@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as driver
 from oracle import compare, connect
+from titlemart.catalog import all_oracles, all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
