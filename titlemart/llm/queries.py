@@ -87,22 +87,4 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM n WINDOW g AS (PARTITION BY norm)
 """
 
-WINDOW_SQL = r"""
-WITH w AS (
-  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
-), starts AS (
-  SELECT doc_id, unnest(range(len(ws) - 49)) AS i, ws FROM w WHERE len(ws) >= 50
-), windows AS (
-  SELECT doc_id, i, sha256(array_to_string(ws[i + 1 : i + 50], ' ')) AS h FROM starts
-), hits AS (
-  SELECT doc_id, list(i) AS hit FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS low FROM windows) WHERE low < doc_id GROUP BY doc_id
-), covered AS (
-  SELECT w.doc_id, ws, list_distinct(flatten(list_transform(coalesce(hit, []), i -> range(i, i + 50)))) AS gone FROM w LEFT JOIN hits USING (doc_id)
-), kept AS (
-  SELECT doc_id, len(ws) AS n_words, len(gone) AS n_removed,
-         list_transform(list_filter(range(len(ws)), i -> NOT list_contains(gone, i)), i -> ws[i + 1]) AS words FROM covered
-)
-SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(words, ' '), '')) AS kept_sha256 FROM kept
-"""
-
 ORACLES = {"op5_source_mix": mixing.TAKEN_SQL, "op8_exact_dedup": EXACT_SQL}

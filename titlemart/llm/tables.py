@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from titlemart.session import write_shared
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 ROOT = str(Path(__file__).resolve().parents[2])
 
 WHITE_RUN = "[\\x20\\x09-\\x0D]+"
@@ -21,7 +22,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def reachable(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package where it lies (a cluster without it there gets --py-files)."""
+    """Let Python workers import this package where it lies (a cluster without it there gets --py-files).
+
+    Where Arrow batches still have Spark's number of rows, they get fewer: a row is a document.
+    """
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "2000")
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(filter(None, [env.get("PYTHONPATH"), ROOT]))
