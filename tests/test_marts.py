@@ -7,19 +7,23 @@ import json
 import random
 from collections import defaultdict
 from itertools import product
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from titlemart.functions.scalars import IMAGE_PREFIX
 from titlemart.operators import reconcile
 from titlemart.plans import build_marts, load_and_build, marts
-from titlemart.schema import titles_schema
+from titlemart.quality import CheckFailed, check_unique
+from titlemart.schema import TITLES_DDL, titles_schema
+from titlemart.session import shared_dir
 from titlemart.sinks import read_table
 from titlemart.sources import list_files
 
 
 def title(id, **given):
-    row = dict.fromkeys(titles_schema().names)
+    row = dict.fromkeys(line.split()[0] for line in TITLES_DDL.strip().splitlines())
     row.update(
         id=id, title=f"T{id}", status="Released", popularity=1.0, vote_average=1.0, vote_count=3,
         release_date=dt.date(2016, 1, 2), revenue=10, budget=5, video=False,
@@ -217,14 +221,25 @@ def test_portfolio(titles, rows):
         assert sum(m.n for m in counted[r.ph_id].ph_movie) == len(r.ph_movie)
 
 
-def test_long_portfolio_goes_on_in_further_rows(spark):
-    titles = frame(spark, random_titles(6))
-    want = {r.ph_id: r for r in marts.company_portfolio(titles).collect()}
-    got = defaultdict(list)
-    for r in marts.company_portfolio(titles, max_items=7).collect():
-        assert 0 < len(r.ph_movie) <= 7 and r.ph_total_movie == want[r.ph_id].ph_total_movie
-        got[r.ph_id] += r.ph_movie
-    assert got == {k: r.ph_movie for k, r in want.items()}
+def test_a_large_collection_and_company_are_one_row(spark):
+    """600,000 titles of one collection and one company: one row each, and totals counted once."""
+    from titlemart.schema import TITLES_DDL, titles_schema
+
+    n = 600_000
+    shape = {f.name: f.dataType for f in titles_schema().fields}
+    given = {
+        "id": F.col("id"), "title": F.lit("t"), "popularity": F.lit(1.0), "revenue": F.lit(2), "budget": F.lit(3),
+        "belongs_to_collection": F.array(F.struct(F.lit(5).alias("id"), F.lit("c").alias("name"), F.lit("/p").alias("poster_path"), F.lit("/b").alias("backdrop_path"))),
+        "genres": F.array(F.struct(F.lit(1).alias("id"), F.lit("g").alias("name"))),
+        "production_companies": F.array(F.struct(F.lit(7).alias("id"), F.lit("l").alias("logo_path"), F.lit("co").alias("name"), F.lit("x").alias("origin_country"))),
+    }
+    titles = spark.range(n).select(*[given.get(c, F.lit(None)).cast(t).alias(c) for c, t in shape.items()])
+    lists = marts.collection_lists(titles).select("collection_id", F.size("movie_id").alias("n"))
+    check_unique(lists, "collection_id")
+    assert lists.first().n == n and marts.collection_lists(titles, "rows").count() == n
+    portfolio = marts.company_portfolio(titles).select(F.size("ph_movie").alias("n"), "ph_total_movie").collect()
+    assert [tuple(r) for r in portfolio] == [(n, n)]
+    assert [r.ph_total_movie for r in marts.company_portfolio(titles, "rows").collect()] == [n]
 
 
 def test_media(titles, rows):
@@ -265,9 +280,18 @@ def test_same_collection_with_two_posters_gives_two_rows(spark):
     assert len(marts.collection_lists(titles).collect()) == 2
 
 
+def scratch(spark):
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    return set(folder.iterdir()) if folder.exists() else set()
+
+
 def test_build_all(spark, tmp_path):
     titles = frame(spark, random_titles(3, 40))
+    before = scratch(spark)
     built = {b.name: b for b in build_marts(spark, titles, str(tmp_path))}
+    assert scratch(spark) == before
+    with pytest.raises(CheckFailed, match="movies_spoken_language"):
+        build_marts(spark, titles, str(tmp_path), ["movies_media", "movies_spoken_language"], raise_on_failure=True)
     assert len(built) == 10 and built["movies_media"].passed
     assert not built["movies_spoken_language"].passed  # no languages in these titles
     assert read_table(spark, built["movies_media"].path).count() == 40
@@ -286,11 +310,13 @@ def test_files_to_marts(spark, tmp_path):
     assert offered.count() == 30 and reconcile(offered, copied, "name").count() == 29
 
     root = str(tmp_path / "root")
-    built = load_and_build(spark, f"{files}/*.json", root, n_files=20, seed="x")
-    assert len(built) == 10 and read_table(spark, f"{root}/raw_movies").count() == 20
+    with pytest.raises(CheckFailed, match="movies_spoken_language"):  # no languages in these titles
+        load_and_build(spark, f"{files}/*.json", root, n_files=20, seed="x")
+    assert read_table(spark, f"{root}/raw_movies").count() == 20
     with pytest.raises(ValueError, match="population of 30"):
         load_and_build(spark, f"{files}/*.json", root, n_files=31)
-    load_and_build(spark, f"{files}/*.json", root)
+    with pytest.raises(CheckFailed, match="movies_spoken_language"):
+        load_and_build(spark, f"{files}/*.json", root)
     staged = read_table(spark, f"{root}/raw_movies")
     whole = frame(spark, random_titles(4, 30))
     assert staged.select("id", "genres.name", "release_date", "popularity").exceptAll(

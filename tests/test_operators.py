@@ -15,6 +15,7 @@ from titlemart.operators import (
     top_k_per_group,
     unnest_product,
 )
+from titlemart.operators.topk import GROUP_LIMIT
 from titlemart.plans import marts
 from titlemart.plans.staging import staged_titles
 
@@ -35,7 +36,7 @@ def scored(spark):
     return rows, spark.createDataFrame(rows, "g string, v double, id long").repartition(8)
 
 
-@pytest.mark.parametrize("k", [1, 3, 100, 1500])
+@pytest.mark.parametrize("k", [1, 3, 100, 1000])
 def test_top_k(scored, k):
     rows, df = scored
     groups = defaultdict(list)
@@ -64,18 +65,33 @@ def test_distinct_lists_equal_the_exploded_product(spark):
     assert exploded.exceptAll(lists).isEmpty() and lists.exceptAll(exploded).isEmpty()
 
 
-def test_hot_group_is_spread_but_whole(spark):
+def test_aligned_lists_and_rows_of_a_hot_group(spark):
     rows = [(None if i % 2 else 1, i, None if i % 3 else f"t{i}") for i in range(400)] + [(2, 1, "x")]
     df = spark.createDataFrame(rows, "k long, id long, name string")
-    result = collect_aligned(df, ["k"], {"ids": "id", "names": "name"}, max_items=50).collect()
-    per_key = defaultdict(list)
-    for r in result:
-        assert len(r.ids) == len(r.names) <= 50 and r.ids == sorted(r.ids)
-        per_key[r.k] += list(zip(r.ids, r.names))
-    assert len(result) > 3 and len([r for r in result if r.k == 2]) == 1
-    assert sorted((k, *p) for k, ps in per_key.items() if k for p in ps) == sorted(
-        r for r in rows if r[0])
-    assert sorted(per_key[None]) == sorted(r[1:] for r in rows if r[0] is None)
+    result = {r.k: r for r in collect_aligned(df, ["k"], {"ids": "id", "names": "name"}).collect()}
+    assert len(result) == 3
+    for k, r in result.items():
+        assert list(zip(r.ids, r.names)) == sorted(((i, n) for g, i, n in rows if g == k), key=lambda p: p[0])
+    long = collect_aligned(df, ["k"], {"the_id": "id", "the_name": "name"}, "rows")
+    assert long.columns == ["k", "the_id", "the_name"] and "Exchange" not in plan(long)
+    assert sorted(map(tuple, long.collect()), key=repr) == sorted(rows, key=repr)
+    with pytest.raises(ValueError):
+        collect_aligned(df, ["k"], {"ids": "id"}, "lists")
+
+
+def test_large_k_is_limited_on_the_map_side_or_refused(spark):
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("g"), (F.col("id") % 997).alias("v"), "id")
+    spark.conf.set(GROUP_LIMIT, "1000")
+    with pytest.raises(ValueError, match="at least 5000"):
+        top_k_per_group(rows, ["g"], "v", ["id"], 5000)
+    spark.conf.set(GROUP_LIMIT, "5000")
+    try:
+        best = top_k_per_group(rows, ["g"], "v", ["id"], 5000)
+        text = plan(best)
+        assert text.count("WindowGroupLimit") == 2 and "Partial" in text and text.count("Exchange") == 1
+        assert best.where("g = 'hot'").count() == 5000
+    finally:
+        spark.conf.unset(GROUP_LIMIT)
 
 
 def test_reconcile(spark):

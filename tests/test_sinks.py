@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from titlemart.schema import schema_from_fields
+from titlemart.sinks.tables import describe_table
 from titlemart.sinks import (
     copy_tables,
     create_empty_table,
@@ -121,6 +122,38 @@ def test_schema_updates(spark, path):
         [(1, None, None), (1, "x", 2.5), (None, "x", None)], key=repr)
 
 
+def test_a_field_added_inside_records(spark, path):
+    old = spark.createDataFrame([(1, (2,), [(3,)])], "a long, s struct<x: long>, l array<struct<x: long>>")
+    new = spark.createDataFrame([(4, (5, "y"), [(6, "z")]), (7, None, None)], "a long, s struct<x: long, y: string>, l array<struct<x: long, y: string>>")
+    write_table(old, path)
+    with pytest.raises(ValueError, match="not in the table"):
+        write_table(new, path, "WRITE_APPEND")
+    write_table(new, path, "WRITE_APPEND", schema_update_options=["ALLOW_FIELD_ADDITION"])
+    write_table(old, path, "WRITE_APPEND")
+    rows = sorted(read_table(spark, path).collect(), key=lambda r: r.a)
+    assert [r.a for r in rows] == [1, 1, 4, 7] and rows[2].s.y == "y" and rows[2].l[0].y == "z"
+    assert rows[0].s.y is None and rows[0].l[0].x == 3 and rows[3].s is None
+
+
+def test_clusters_beside_a_map(spark, path):
+    df = spark.range(50).select((F.col("id") % 3).alias("k"), F.create_map(F.lit("a"), "id").alias("m"))
+    write_table(df, path, cluster_fields=["k"])
+    assert read_table(spark, path).count() == 50
+
+
+def test_copy_keeps_the_layout(spark, tmp_path):
+    one, two, other, both = (str(tmp_path / n) for n in ("one", "two", "other", "both"))
+    write_table(days(spark, (1, "2024-01-01"), (2, "2024-01-02")), one, partition_field="d", cluster_fields=["a"])
+    copy_tables(spark, one, two)
+    assert describe_table(spark, two)[1] == {"partition_field": "d", "cluster_fields": ["a"]}
+    assert got(spark, two, day="2024-01-02") == [2]
+    copy_tables(spark, one, two, "WRITE_APPEND")
+    assert got(spark, two) == [1, 1, 2, 2]
+    write_table(days(spark, (3, "2024-01-03")), other)
+    copy_tables(spark, [one, other], both)
+    assert describe_table(spark, both)[1]["partition_field"] is None and got(spark, both) == [1, 2, 3]
+
+
 def test_copy_keeps_repeats(spark, tmp_path):
     one, two, both = (str(tmp_path / n) for n in ("one", "two", "both"))
     write_table(nums(spark, 1, 2), one)

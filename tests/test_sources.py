@@ -5,6 +5,7 @@ import gzip
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from titlemart.schema import required_columns, schema_from_fields, schema_from_json, titles_schema
 from titlemart.sinks import read_table
@@ -206,6 +207,75 @@ def test_parquet_with_schema(spark, tmp_path):
     assert rows(load_files(spark, path, three(), "PARQUET", ignore_unknown_values=True)) == [(1, None, None)]
 
 
+def test_autodetect_with_policies(spark, tmp_path):
+    lines = put(tmp_path / "j", '{"a":1,"b":"x"}\n{"a":2,"b":\n{"a":3}\n')
+    loaded = load_files(spark, lines, None, JSON, autodetect=True, max_bad_records=1)
+    assert loaded.rows.columns == ["a", "b"] and rows(loaded) == [(1, "x"), (3, None)]
+    view = create_external_table(spark, "detected_json", lines, JSON, autodetect=True, max_bad_records=1)
+    assert view.count() == 2
+    headed = put(tmp_path / "c", "title line\nn,d\n1,2\n3,x\n")
+    loaded = load_files(spark, headed, autodetect=True, skip_leading_rows=2)
+    assert loaded.rows.schema.simpleString() == "struct<n:int,d:string>" and rows(loaded) == [(1, "2"), (3, "x")]
+    view = create_external_table(spark, "detected_csv", headed, "CSV", autodetect=True, skip_leading_rows=2)
+    assert sorted(map(tuple, view.collect())) == [(1, "2"), (3, "x")]
+
+
+def test_external_paths_and_short_rows(spark, tmp_path):
+    one, two = put(tmp_path / "a", "1|x|3\n2|y\n"), put(tmp_path / "b", "4|z|5\n")
+    view = create_external_table(
+        spark, "several", [one, two], "CSV", three(), field_delimiter="|", allow_jagged_rows=True)
+    assert sorted(map(tuple, view.collect()), key=repr) == [(1, "x", 3), (2, "y", None), (4, "z", 5)]
+    for name in "pq":
+        spark.createDataFrame([(1, name)], "a long, b string").write.parquet(str(tmp_path / name))
+    assert create_external_table(
+        spark, "several_parquet", [str(tmp_path / n) for n in "pq"], "PARQUET", autodetect=True).count() == 2
+
+
+def test_parquet_budget_and_required(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.createDataFrame([("1", "x"), ("no", "y"), (None, "z")], "a string, b string").write.parquet(path)
+    required = [{"name": "a", "type": "INT64", "mode": "REQUIRED"}, {"name": "b", "type": "STRING"}]
+    with pytest.raises(BadRecordsError, match="2 bad records, 1 allowed"):
+        load_files(spark, path, required, "PARQUET", max_bad_records=1)
+    loaded = load_files(spark, path, required, "PARQUET", max_bad_records=2)
+    assert rows(loaded) == [(1, "x")] and reasons(loaded) == ["bad value", "no value for a"]
+
+
+def test_a_load_leaves_nothing_behind(spark, tmp_path):
+    from pathlib import Path
+
+    from titlemart.session import scratch_scope, shared_dir
+
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    inside = lambda: set(folder.iterdir()) if folder.exists() else set()
+    path, table, before = put(tmp_path / "c", "1,x,3\nbad,y,4\n"), str(tmp_path / "out" / "t"), inside()
+    with pytest.raises(BadRecordsError):
+        load_table(spark, table, path, three())
+    assert not (tmp_path / "out").exists() or not list((tmp_path / "out").iterdir())
+    loaded = load_table(spark, table, path, three(), max_bad_records=1)
+    assert (loaded.rejected_count, loaded.n_files, reasons(loaded)) == (1, 1, ["bad value"])
+    assert {p.name for p in (tmp_path / "out").iterdir()} == {"t", "t__load_rejected"}
+    with scratch_scope(spark):
+        assert load_files(spark, path, three(), max_bad_records=1).rows.count() == 1
+    assert inside() == before
+
+
+def test_load_into_days_and_clusters(spark, tmp_path):
+    schema = schema_from_fields([{"name": "a", "type": "INT64"}, {"name": "d", "type": "DATE"}])
+    table = str(tmp_path / "t")
+    first = put(tmp_path / "one", "1,2024-01-01\n2,2024-01-02\nx,2024-01-02\n")
+    options = {"partition_field": "d", "cluster_fields": ["a"], "max_bad_records": 1}
+    load_table(spark, table, first, schema, **options)
+    load_table(spark, table, first, schema, write_disposition="WRITE_APPEND", **options)
+    assert sorted(r.a for r in read_table(spark, table, day="2024-01-02").collect()) == [2, 2]
+    day = put(tmp_path / "two", "7,2024-01-02\n")
+    load_table(spark, table, day, schema, write_disposition="WRITE_TRUNCATE", partition="2024-01-02")
+    assert sorted(r.a for r in read_table(spark, table).collect()) == [1, 1, 7]
+    with pytest.raises(Exception, match="row outside day"):
+        load_table(spark, table, day, schema, write_disposition="WRITE_TRUNCATE", partition="2024-01-01")
+    assert sorted(r.a for r in read_table(spark, table).collect()) == [1, 1, 7]
+
+
 def test_load_table(spark, tmp_path):
     path, table = put(tmp_path / "c", "1,x,3\n,y,4\n"), str(tmp_path / "t")
     load_table(spark, table, path, three())
@@ -256,9 +326,12 @@ def test_exact_sample(spark):
     assert exact_sample(df, "id", 5000).count() == 5000 and exact_sample(df, "id", 0).count() == 0
     with pytest.raises(ValueError):
         exact_sample(df, "id", 5001)
+    half = df.limit(100).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("id"))
+    for n in (1, 49, 50, 51, 80, 100):
+        assert exact_sample(half, "id", n).count() == n
 
 
-def test_pages(spark, monkeypatch):
+def test_pages(spark):
     df = spark.range(0, 3000, 3).withColumnRenamed("id", "k").repartition(8)
     assert [r.k for r in read_page(df, "k", 3, start_index=10).collect()] == [30, 33, 36]
     assert [r.k for r in read_page(df, "k", 2, ["k"], page_token=36).collect()] == [39, 42]
@@ -266,7 +339,19 @@ def test_pages(spark, monkeypatch):
     assert read_page(df, "k").count() == 1000
     wide = df.withColumns({"x": df.k, "y": df.k})
     assert read_page(wide, "k", 1, "k, y").columns == ["k", "y"]
-    monkeypatch.setattr("titlemart.sources.paging.DEEP_START", 100)
-    for start in (101, 500, 998, 1500):
+    for start in (1, 101, 500, 998, 1500):
         want = [k for k in range(0, 3000, 3)][start:start + 4]
         assert [r.k for r in read_page(df, "k", 4, start_index=start).collect()] == want
+    text = df.select(F.col("k").cast("string").alias("k")).unionByName(spark.createDataFrame([(None,)], "k string"))
+    places = [None, *sorted(str(k) for k in range(0, 3000, 3))]
+    for start in (0, 1, 2, 333, 1000):
+        assert [r.k for r in read_page(text, "k", 3, start_index=start).collect()] == places[start:start + 3]
+        assert [r.k for r in read_page(text, "k", start_index=start).collect()] == places[start:]
+
+
+def test_pages_have_no_step_of_one_task(spark):
+    df = spark.range(0, 50_000).select(F.md5(F.col("id").cast("string")).alias("k")).repartition(8)
+    plan = lambda page: page._jdf.queryExecution().executedPlan().toString()
+    rest = plan(read_page(df, "k", start_index=40_000))
+    assert "SinglePartition" not in rest and "CollectLimit" not in rest and "offset" not in rest.lower()
+    assert "TakeOrderedAndProject(limit=50," in plan(read_page(df, "k", 50, start_index=40_000))

@@ -14,7 +14,10 @@ def place(spark, tmp_path):
     schema = schema_from_fields([{"name": "a", "type": "INT64"}, {"name": "b", "type": "STRING"}])
     (tmp_path / "in").mkdir()
 
+    session = spark
+
     class Place:
+        spark = session
         table, progress = (str(tmp_path / n) for n in ("t", "c"))
 
         def put(self, name, *rows):
@@ -36,14 +39,35 @@ def place(spark, tmp_path):
     return Place()
 
 
-def test_a_batch_with_an_invalid_row_is_refused_whole(place):
+def test_a_file_with_an_invalid_row_is_refused_whole(place):
     place.put("1", GOOD)
     place.run()
     place.put("2", {"a": 5}, BAD)
     place.run()
     place.put("3", {"a": 6})
     place.run()
-    assert place.rows() == [1, 6] and place.reasons() == ["malformed"]
+    assert place.rows() == [1, 6] and place.reasons() == ["malformed", "refused with its request"]
+    kept = {r._record for r in read_rejected(place.spark, place.table).collect()}
+    assert kept == {BAD, json.dumps({"a": 5})}
+
+
+@pytest.mark.parametrize("files", [1, 1000])
+def test_a_request_is_a_file_whatever_the_batch(place, files):
+    place.put("1", GOOD)
+    place.put("2", {"a": 2}, BAD)
+    place.put("3", {"a": 3})
+    place.run(max_files_per_batch=files)
+    assert place.rows() == [1, 3] and place.reasons() == ["malformed", "refused with its request"]
+
+
+def test_streams_and_checkpoints_share_a_table(place, spark, tmp_path):
+    place.put("1", GOOD)
+    place.run()
+    (tmp_path / "in2").mkdir()
+    (tmp_path / "in2" / "x").write_text(json.dumps({"a": 2}))
+    insert_stream(spark, str(tmp_path / "in2"), place.table, str(tmp_path / "c2")).awaitTermination()
+    assert place.rows() == [1, 2]
+    assert read_rejected(spark, place.table).isEmpty()
 
 
 def test_stream_that_goes_on(place, spark, tmp_path):
@@ -74,7 +98,7 @@ def test_ignore_unknown_values(place):
 def test_fail_on_error_then_replay_stores_nothing_twice(place):
     place.put("1", GOOD, BAD)
     for _ in range(2):  # the failed batch is replayed by the second run
-        with pytest.raises(Exception, match="1 invalid rows"):
+        with pytest.raises(Exception, match="1 rows refused"):
             place.run(skip_invalid_rows=True, fail_on_error=True)
     assert place.rows() == [1] and place.reasons() == ["malformed"]
 

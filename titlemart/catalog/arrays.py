@@ -19,6 +19,7 @@ from titlemart.operators import (
     unnest_product,
     unnest_structs,
 )
+from titlemart.operators.topk import GROUP_LIMIT
 from titlemart.plans.staging import staged_titles, star_table
 
 LISTS = {
@@ -112,6 +113,22 @@ def aligned_lists(spark, sf_dir):
     )
 
 
+def aligned_rows(spark, sf_dir):
+    orders = star_table(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("status")
+    )
+    return collect_aligned(orders, ["o_custkey"], {"order_id": "o_orderkey", "state": "status"}, "rows")
+
+
+def top_k_5000(spark, sf_dir):
+    """More per group than Spark limits on the map side unless it is told to."""
+    spark.conf.set(GROUP_LIMIT, "5000")
+    lines = star_table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice"
+    )
+    return top_k_per_group(lines, ["l_returnflag"], "l_extendedprice", ["l_orderkey", "l_linenumber"], k=5000)
+
+
 def iso_year_counts(spark, sf_dir):
     return staged_titles(spark, sf_dir).groupBy(iso_year(F.col("release_date")).alias("year")).agg(
         F.count(F.lit(1)).alias("n"), F.count("vote_average").alias("n_rated")
@@ -146,7 +163,11 @@ def recon_full_outer(spark, sf_dir):
 
 
 def recon_counts(spark, sf_dir):
-    return same_count(star_table(spark, sf_dir, "orders"), staged_titles(spark, sf_dir))
+    """Orders against titles, which agree, and against orders with lines, which do not."""
+    orders, lines = (star_table(spark, sf_dir, n) for n in ("orders", "lineitem"))
+    with_lines = orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"], "left_semi")
+    titles = same_count(orders, staged_titles(spark, sf_dir)).withColumn("target", F.lit("titles"))
+    return titles.unionByName(same_count(orders, with_lines).withColumn("target", F.lit("orders with lines")))
 
 
 QUERIES = {
@@ -161,6 +182,8 @@ QUERIES = {
     "distinct_values_keep_nulls": distinct_values_keep_nulls,
     "distinct_lists": distinct_lists_per_title,
     "aligned_lists": aligned_lists,
+    "aligned_rows": aligned_rows,
+    "top_k_5000": top_k_5000,
     "iso_year_counts": iso_year_counts,
     "genre_totals": genre_totals,
     "left_join_attrs": left_join_attrs,
@@ -234,6 +257,15 @@ SELECT coalesce(o_orderkey, l_orderkey) AS order_id,
 FROM (SELECT o_orderkey, count(*) AS n FROM orders GROUP BY 1) o
 FULL JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) l ON o_orderkey = l_orderkey
 WHERE o_orderkey IS NULL OR l_orderkey IS NULL""",
+    "aligned_rows": """
+SELECT o_custkey, o_orderkey AS order_id, nullif(o_orderstatus, 'P') AS state FROM orders""",
+    "top_k_5000": """
+SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_returnflag
+  ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey DESC, l_linenumber DESC) <= 5000""",
     "recon_counts": """
-SELECT count(*) AS source_rows, count(*) AS target_rows, true AS agree FROM orders""",
+SELECT count(*) AS source_rows, count(*) AS target_rows, true AS agree, 'titles' AS target FROM orders
+UNION ALL
+SELECT count(*), count(*) FILTER (l), count(*) = count(*) FILTER (l), 'orders with lines'
+FROM (SELECT o_orderkey IN (SELECT l_orderkey FROM lineitem) AS l FROM orders)""",
 }

@@ -12,6 +12,7 @@ from titlemart.sinks import export_table
 from titlemart.sources import create_external_table, load_files
 
 STATUS = "o_orderstatus"
+JSON = "NEWLINE_DELIMITED_JSON"
 
 
 def _files(df: DataFrame, export_format: str, **options) -> str:
@@ -43,6 +44,83 @@ def json_autodetect(spark, sf_dir):
     return load_files(spark, path, None, "NEWLINE_DELIMITED_JSON", autodetect=True).rows
 
 
+def json_load_field_list(spark, sf_dir):
+    """The schema as a list of fields, as it comes in files."""
+    fields = [
+        {"name": "o_orderkey", "type": "INTEGER", "mode": "REQUIRED"},
+        {"name": "o_orderstatus", "type": "STRING"},
+        {"name": "o_totalprice", "type": "FLOAT"},
+        {"name": "o_orderdate", "type": "DATETIME", "mode": "NULLABLE"},
+    ]
+    orders = star_table(spark, sf_dir, "orders").select(*[f["name"] for f in fields])
+    return load_files(spark, _files(orders, JSON), fields, JSON).rows
+
+
+def json_autodetect_budget(spark, sf_dir):
+    """Broken lines among those the schema is detected from."""
+    customers = star_table(spark, sf_dir, "customer")
+    line = F.to_json(F.struct(*customers.columns))
+    broken = F.when(F.col("c_custkey") % 7 == 0, F.substring(line, 1, 12)).otherwise(line)
+    return load_files(
+        spark, _lines(customers, broken), None, JSON, autodetect=True, max_bad_records=customers.count()
+    ).rows
+
+
+def csv_autodetect_skip_rows(spark, sf_dir):
+    return load_files(spark, _titled(spark, sf_dir), None, "CSV", autodetect=True, skip_leading_rows=2).rows
+
+
+def _headed(df: DataFrame, head: str, separator: str) -> str:
+    """CSV files of ``df``, with the lines of ``head`` on top of each."""
+    path = shared_path(df.sparkSession, "headed")
+
+    def headed(batches):
+        import pandas as pd
+
+        for number, batch in enumerate(batches):
+            if number == 0:
+                yield pd.DataFrame({"value": [head]})
+            yield batch
+
+    line = F.concat_ws(separator, *[F.col(c).cast("string") for c in df.columns])
+    df.select(line.alias("value")).mapInPandas(headed, "value string").write.text(path)
+    return path
+
+
+def _titled(spark, sf_dir) -> str:
+    """Suppliers below a title line and a header."""
+    suppliers = star_table(spark, sf_dir, "supplier")
+    return _headed(suppliers, "All suppliers\n" + ",".join(suppliers.columns), ",")
+
+
+def external_csv_autodetect_skip(spark, sf_dir):
+    return create_external_table(
+        spark, "suppliers_outside", _titled(spark, sf_dir), "CSV", autodetect=True, skip_leading_rows=2
+    )
+
+
+def external_csv_jagged(spark, sf_dir):
+    """Two folders as one table, with short rows allowed."""
+    orders, path = _jagged(spark, sf_dir)
+    _, other = _jagged(spark, sf_dir)
+    table = create_external_table(
+        spark, "orders_jagged", [path, other], "CSV", orders.schema, field_delimiter="|", allow_jagged_rows=True
+    )
+    return table.groupBy(*orders.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def parquet_required(spark, sf_dir):
+    """A Parquet column made REQUIRED and whole-numbered; what does not fit is refused."""
+    orders = star_table(spark, sf_dir, "orders")
+    kept = F.when(F.col(STATUS) != "P", F.when(F.col(STATUS) == "O", "x").otherwise(F.col("o_custkey").cast("string")))
+    path = shared_path(spark, "typed")
+    orders.select("o_orderkey", kept.alias("o_custkey")).write.parquet(path)
+    fields = [{"name": "o_orderkey", "type": "INTEGER"}, {"name": "o_custkey", "type": "INTEGER", "mode": "REQUIRED"}]
+    loaded = load_files(spark, path, fields, "PARQUET", max_bad_records=orders.count())
+    good = loaded.rows.agg(F.lit("good").alias("reason"), F.count(F.lit(1)).alias("n"))
+    return good.unionByName(loaded.rejected.groupBy(F.col("_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n")))
+
+
 def json_lenient_titles(spark, sf_dir):
     """Titles as files give them: numbers in quotes, empty dates, one object for
     an array of one."""
@@ -114,12 +192,12 @@ def csv_autodetect(spark, sf_dir):
 
 
 def csv_quoted_newlines(spark, sf_dir):
-    documents = star_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    documents = star_table(spark, sf_dir, "documents")
     path = _files(documents, "CSV", print_header=False)
     rows = load_files(
         spark, path, documents.schema, "CSV", allow_quoted_newlines=True
     ).rows
-    return rows.select("doc_id", "lang", F.md5("text").alias("text_md5"))
+    return rows.withColumn("text", F.md5("text"))
 
 
 def _jagged(spark, sf_dir):
@@ -147,19 +225,7 @@ def csv_jagged_refused(spark, sf_dir):
 def csv_skip_rows(spark, sf_dir):
     """Three leading rows in every file, put there by each writing task."""
     orders = star_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", STATUS)
-    path = shared_path(spark, "headed")
-    head = "\n".join(["h1", "h2|x", "o_orderkey|o_custkey|o_orderstatus"])
-
-    def headed(batches):
-        import pandas as pd
-
-        for number, batch in enumerate(batches):
-            if number == 0:
-                yield pd.DataFrame({"value": [head]})
-            yield batch
-
-    lines = orders.select(_csv_line(*orders.columns).alias("value"))
-    lines.mapInPandas(headed, "value string").write.text(path)
+    path = _headed(orders, "\n".join(["h1", "h2|x", "o_orderkey|o_custkey|o_orderstatus"]), "|")
     return load_files(
         spark, path, orders.schema, "CSV", field_delimiter="|", skip_leading_rows=3
     ).rows
@@ -199,6 +265,12 @@ def external_parquet(spark, sf_dir):
 QUERIES = {
     "json_load": json_load,
     "json_autodetect": json_autodetect,
+    "json_load_field_list": json_load_field_list,
+    "json_autodetect_budget": json_autodetect_budget,
+    "csv_autodetect_skip_rows": csv_autodetect_skip_rows,
+    "external_csv_autodetect_skip": external_csv_autodetect_skip,
+    "external_csv_jagged": external_csv_jagged,
+    "parquet_required": parquet_required,
     "json_lenient_titles": json_lenient_titles,
     "bad_record_budget": bad_record_budget,
     "unknown_fields_strict": unknown_fields_strict,
@@ -220,6 +292,20 @@ ORACLES = {
     "json_autodetect": """
 SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment
 FROM customer""",
+    "json_load_field_list": "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders",
+    "json_autodetect_budget": """
+SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment
+FROM customer WHERE c_custkey % 7 <> 0""",
+    "csv_autodetect_skip_rows": """
+SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""",
+    "external_csv_autodetect_skip": """
+SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""",
+    "external_csv_jagged": """
+SELECT o_orderkey, o_custkey, nullif(o_orderstatus, 'P') AS o_orderstatus, 2 * count(*) AS n
+FROM orders GROUP BY ALL""",
+    "parquet_required": """
+SELECT CASE o_orderstatus WHEN 'P' THEN 'no value for o_custkey' WHEN 'O' THEN 'bad value' ELSE 'good' END
+         AS reason, count(*) AS n FROM orders GROUP BY 1""",
     "json_lenient_titles": """
 WITH line AS (
   SELECT l_orderkey, count(DISTINCT (coalesce(nullif(p_size % 7, 0), -1), p_type)) AS n_genres,
@@ -241,7 +327,7 @@ SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'""",
     "csv_load": "SELECT * FROM lineitem",
     "csv_autodetect": """
 SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""",
-    "csv_quoted_newlines": "SELECT doc_id, lang, md5(text) AS text_md5 FROM documents",
+    "csv_quoted_newlines": "SELECT doc_id, md5(text) AS text, lang, source, n_chars FROM documents",
     "csv_jagged": """
 SELECT o_orderkey, o_custkey, nullif(o_orderstatus, 'P') AS o_orderstatus FROM orders""",
     "csv_jagged_refused": """

@@ -77,9 +77,10 @@ def value(spark, sf_dir):
 
 
 def interval(spark, sf_dir):
-    events = star_table(spark, sf_dir, "events").withColumn("ds", F.to_date("ts"))
-    passed = _passes(check_interval, events, METRICS, "2024-01-15")
-    return interval_ratios(events, METRICS, "2024-01-15").withColumn("all_passed", F.lit(passed))
+    events = star_table(spark, sf_dir, "events")
+    passed = _passes(check_interval, events, METRICS, "2024-01-15", date_filter_column="ts")
+    ratios = interval_ratios(events, METRICS, "2024-01-15", "ts")
+    return ratios.withColumn("all_passed", F.lit(passed))
 
 
 QUERIES = {

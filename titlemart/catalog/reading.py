@@ -15,6 +15,29 @@ def sample(spark, sf_dir):
     return exact_sample(orders, "o_orderkey", 1000, seed="7")
 
 
+def sample_null_keys(spark, sf_dir):
+    """A key that half of the rows lack: so many that some of those must be taken."""
+    orders = star_table(spark, sf_dir, "orders")
+    halved = orders.withColumn("key", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey")))
+    n = orders.count() * 4 // 5
+    found = exact_sample(halved.select("key"), "key", n, seed="7")
+    return found.agg(F.count("*").alias("n"), F.count_distinct("key").alias("n_keys"))
+
+
+def page_deep_text(spark, sf_dir):
+    """A page far into a table ordered by a text key."""
+    orders = star_table(spark, sf_dir, "orders").select(
+        F.md5(F.col("o_orderkey").cast("string")).alias("code"), "o_custkey"
+    )
+    return read_page(orders, "code", 50, start_index=1234)
+
+
+def page_rest(spark, sf_dir):
+    """Everything from a place on."""
+    orders = star_table(spark, sf_dir, "orders")
+    return read_page(orders, "o_orderkey", None, ["o_orderkey", "o_custkey"], start_index=700)
+
+
 def page_by_start(spark, sf_dir):
     orders = star_table(spark, sf_dir, "orders")
     return read_page(orders, "o_orderkey", 50, ["o_orderkey", "o_custkey"], start_index=1000)
@@ -68,6 +91,7 @@ def typed_cells(spark, sf_dir):
         cast_cell(F.col("b"), "FLOAT").alias("price"),
         cast_cell(F.col("c"), "BOOLEAN").alias("finished"),
         cast_cell(F.col("o_orderpriority"), "STRING").alias("priority"),
+        cast_cell(F.col("a"), "TIMESTAMP").alias("seconds"),
     )
 
 
@@ -83,7 +107,10 @@ def sql_view(spark, sf_dir):
 
 QUERIES = {
     "exact_n_sample": sample,
+    "exact_n_sample_null_keys": sample_null_keys,
     "paged_read": page_by_start,
+    "paged_read_deep_text": page_deep_text,
+    "paged_read_rest": page_rest,
     "paged_read_token": page_by_token,
     "param_filter": param_filter,
     "param_sets": param_sets,
@@ -96,6 +123,14 @@ ORACLES = {
     "exact_n_sample": """
 SELECT o_orderkey, o_totalprice FROM orders
 ORDER BY md5(CAST(o_orderkey AS VARCHAR) || '7'), o_orderkey LIMIT 1000""",
+    "exact_n_sample_null_keys": """
+WITH k AS (SELECT CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END AS key FROM orders),
+r AS (SELECT key FROM k ORDER BY md5(coalesce(CAST(key AS VARCHAR), '') || '7'), key NULLS FIRST
+      LIMIT (SELECT count(*) * 4 // 5 FROM orders))
+SELECT count(*) AS n, count(DISTINCT key) AS n_keys FROM r""",
+    "paged_read_deep_text": """
+SELECT md5(CAST(o_orderkey AS VARCHAR)) AS code, o_custkey FROM orders ORDER BY code LIMIT 50 OFFSET 1234""",
+    "paged_read_rest": "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey OFFSET 700",
     "paged_read": """
 SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 50 OFFSET 1000""",
     "paged_read_token": """
@@ -112,7 +147,7 @@ FROM orders WHERE (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')
 SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS net FROM lineitem""",
     "typed_cells": """
 SELECT o_orderkey AS order_id, o_totalprice AS price, o_orderstatus = 'F' AS finished,
-       o_orderpriority AS priority FROM orders""",
+       o_orderpriority AS priority, CAST(o_orderkey AS DOUBLE) AS seconds FROM orders""",
     "sql_view": """
 SELECT l_returnflag, count(*) AS n, max(l_shipdate) AS last_ship FROM lineitem GROUP BY 1""",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ def _run(spark, df, line, **policy) -> str:
 
 
 def _events(spark, sf_dir):
-    return star_table(spark, sf_dir, "events").drop("props")
+    return star_table(spark, sf_dir, "events")
 
 
 def insert(spark, sf_dir):
@@ -55,6 +56,43 @@ def skip_invalid_ignore_unknown(spark, sf_dir):
     return read_table(spark, table)
 
 
+def _by_request(spark, sf_dir, **policy) -> tuple[str, bool]:
+    """One file per event type; that of errors holds a broken line for every even id."""
+    source, table, checkpoint = (shared_path(spark, n) for n in ("incoming", "inserted", "progress"))
+    events = _events(spark, sf_dir)
+    line = _json(events.columns)
+    broken = (F.col("event_type") == "error") & (F.col("event_id") % 2 == 0)
+    lines = events.select(F.when(broken, F.substring(line, 1, 15)).otherwise(line).alias("value"), "event_type")
+    lines.repartition("event_type").write.partitionBy("event_type").text(source)
+    create_empty_table(spark, table, events.schema)
+    query = insert_stream(spark, f"{source}/*", table, checkpoint, **policy)
+    try:
+        query.awaitTermination()
+    except StreamingQueryException:
+        return table, True
+    return table, False
+
+
+def refused_request(spark, sf_dir):
+    table, _ = _by_request(spark, sf_dir, max_files_per_batch=2)
+    return read_table(spark, table)
+
+
+def refused_request_rows(spark, sf_dir):
+    table, _ = _by_request(spark, sf_dir)
+    return read_rejected(spark, table).groupBy(F.col("_reason").alias("reason")).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("_file").alias("n_files")
+    )
+
+
+def fail_on_error(spark, sf_dir):
+    """The stream stops, with the good files of its batch stored and the bad one kept aside."""
+    table, stopped = _by_request(spark, sf_dir, fail_on_error=True)
+    return read_table(spark, table).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.lit(stopped).alias("stopped")
+    )
+
+
 def rejected_rows(spark, sf_dir):
     events = _events(spark, sf_dir)
     table = _run(spark, events, _spoilt(events), skip_invalid_rows=True)
@@ -68,14 +106,23 @@ QUERIES = {
     "stream_insert_skip_invalid": skip_invalid,
     "stream_insert_ignore_unknown": skip_invalid_ignore_unknown,
     "stream_rejected": rejected_rows,
+    "stream_insert_refused": refused_request,
+    "stream_refused_rows": refused_request_rows,
+    "stream_fail_on_error": fail_on_error,
 }
 
-_COLUMNS = "SELECT event_id, ts, user_id, event_type, value FROM events"
+_COLUMNS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 
 ORACLES = {
     "stream_insert": _COLUMNS,
     "stream_insert_skip_invalid": f"{_COLUMNS} WHERE event_type NOT IN ('error', 'view')",
     "stream_insert_ignore_unknown": f"{_COLUMNS} WHERE event_type <> 'error'",
+    "stream_insert_refused": f"{_COLUMNS} WHERE event_type <> 'error'",
+    "stream_refused_rows": """
+SELECT CASE event_id % 2 WHEN 0 THEN 'malformed' ELSE 'refused with its request' END AS reason,
+       count(*) AS n, CAST(1 AS BIGINT) AS n_files FROM events WHERE event_type = 'error' GROUP BY 1""",
+    "stream_fail_on_error": """
+SELECT event_type, count(*) AS n, true AS stopped FROM events WHERE event_type <> 'error' GROUP BY 1""",
     "stream_rejected": """
 SELECT CASE event_type WHEN 'error' THEN 'malformed' ELSE 'unknown field' END AS reason,
        count(*) AS n FROM events WHERE event_type IN ('error', 'view') GROUP BY 1""",

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from titlemart.plans.staging import staged_titles, star_table
 from titlemart.session import shared_path
 from titlemart.sinks import copy_tables, create_empty_table, export_table, read_table, write_table
+from titlemart.sinks.tables import describe_table, table_exists
 
 
 def _orders(spark, sf_dir):
@@ -77,6 +78,40 @@ def copy_union(spark, sf_dir):
     return read_table(spark, both)
 
 
+def copy_partitioned(spark, sf_dir):
+    """A copy keeps days and clusters: one of its days is read back, and its layout."""
+    first, second = (shared_path(spark, "table") for _ in range(2))
+    events = star_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    write_table(events, first, partition_field="ts", cluster_fields=["user_id"])
+    copy_tables(spark, first, second)
+    layout = describe_table(spark, second)[1]
+    return read_table(spark, second, day="2024-01-15").withColumns(
+        {"by_day": F.lit(layout["partition_field"]), "by": F.lit(",".join(layout["cluster_fields"]))}
+    )
+
+
+def relax_required(spark, sf_dir):
+    """A required column becomes optional, so that rows without it may be added."""
+    path = shared_path(spark, "table")
+    orders = _orders(spark, sf_dir)
+    required = orders.withColumn("o_totalprice", F.col("o_totalprice").alias("o_totalprice", metadata={"mode": "REQUIRED"}))
+    write_table(required, path)
+    write_table(orders.drop("o_totalprice"), path, "WRITE_APPEND", schema_update_options=["ALLOW_FIELD_RELAXATION"])
+    return read_table(spark, path)
+
+
+def create_never(spark, sf_dir):
+    """A table that is not there may not be made; no rows are written."""
+    path = shared_path(spark, "table")
+    orders = _orders(spark, sf_dir)
+    try:
+        write_table(orders, path, create_disposition="CREATE_NEVER")
+        refused = False
+    except ValueError:
+        refused = True
+    return orders.agg(F.count("*").alias("n"), F.lit(refused).alias("refused"), F.lit(table_exists(spark, path)).alias("made"))
+
+
 def export_csv(spark, sf_dir):
     """Nested titles to CSV; arrays become JSON text."""
     path = shared_path(spark, "export")
@@ -109,6 +144,9 @@ QUERIES = {
     "partition_range": partition_range,
     "cluster_write": cluster_write,
     "copy_union": copy_union,
+    "copy_partitioned": copy_partitioned,
+    "relax_required": relax_required,
+    "create_never_refused": create_never,
     "export_csv": export_csv,
     "export_json": export_json,
     "export_parquet": export_parquet,
@@ -135,6 +173,12 @@ SELECT l_suppkey, count(*) AS n, max(l_shipdate) AS last_ship
 FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1""",
     "copy_union": f"""
 {_ORDERS} WHERE o_orderstatus = 'F' UNION ALL {_ORDERS} WHERE o_orderstatus <> 'O'""",
+    "copy_partitioned": """
+SELECT event_id, ts, user_id, 'ts' AS by_day, 'user_id' AS "by" FROM events
+WHERE CAST(ts AS DATE) = DATE '2024-01-15'""",
+    "relax_required": f"""
+{_ORDERS} UNION ALL SELECT o_orderkey, o_orderstatus, NULL, o_orderdate FROM orders""",
+    "create_never_refused": "SELECT count(*) AS n, true AS refused, false AS made FROM orders",
     "export_csv": """
 SELECT o_orderkey AS id, 'T' || o_orderkey AS title, CAST(o_orderdate AS DATE) AS release_date,
        count(DISTINCT n_regionkey) AS n_languages

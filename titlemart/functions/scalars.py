@@ -36,7 +36,7 @@ def cast_cell(cell: Column, kind: str) -> Column:
     if kind in ("FLOAT", "TIMESTAMP"):
         return cell.cast("double")
     if kind == "BOOLEAN":
-        complaint = F.concat(cell, F.lit(" must have value 'true' or 'false'"))
+        complaint = F.concat(F.lit("not a boolean cell: "), cell)
         return (
             F.when(cell.isNull(), F.lit(None).cast("boolean"))
             .when(cell.isin("true", "false"), cell == "true")

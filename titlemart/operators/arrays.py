@@ -7,11 +7,6 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlemart.session import write_shared
-
-# An output list above this many items is spread over several rows.
-MAX_LIST_ITEMS = 500_000
-
 
 def any_element_has(array: str, field: str) -> Column:
     """True if any element of the row's own array has a non-null field."""
@@ -80,35 +75,22 @@ def distinct_lists(df: DataFrame, key: str, arrays: Mapping[str, str]) -> DataFr
 
 
 def collect_aligned(
-    df: DataFrame,
-    keys: Sequence[str],
-    items: Mapping[str, str],
-    max_items: int = MAX_LIST_ITEMS,
+    df: DataFrame, keys: Sequence[str], items: Mapping[str, str], form: str = "list"
 ) -> DataFrame:
     """Several lists per group, aligned by position and sorted by the first.
 
-    ``items`` maps output list columns to value columns. All lists come from
-    one list of structs, so NULLs keep their place. A group of more than
-    ``max_items`` rows is spread by hash over several rows with the same keys,
-    so that no task ever holds a whole hot group; together they are whole.
+    ``items`` maps output columns to value columns. All lists come from one list of
+    structs, so NULLs keep their place. The caller chooses the form: ``"list"`` gives
+    one row per group, whose lists are one row's value and have to fit in a task;
+    ``"rows"`` gives a row per member, without any list or shuffle, for groups of any size.
     """
-    rows = write_shared(df.select(*keys, *items.values()), "members")
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = write_shared(sizes.where(F.col("__n") > max_items), "hot-groups")
-    group_by = list(keys)
-    if not hot.isEmpty():
-        hot = hot.select(*[F.col(k).alias(f"__{k}") for k in keys], "__n")
-        match = [rows[k].eqNullSafe(hot[f"__{k}"]) for k in keys]
-        parts = F.ceil(F.col("__n") * 2 / max_items)
-        spread = F.pmod(F.xxhash64(*items.values()), parts)
-        rows = rows.join(hot, match, "left").withColumn(
-            "__part", F.coalesce(spread, F.lit(0))
-        )
-        group_by.append("__part")
+    if form not in ("list", "rows"):
+        raise ValueError("form is 'list' or 'rows'")
+    if form == "rows":
+        return df.select(*keys, *[F.col(c).alias(out) for out, c in items.items()])
     entries = F.collect_list(F.struct(*[F.col(c).alias(o) for o, c in items.items()]))
-    grouped = rows.groupBy(*group_by).agg(F.sort_array(entries).alias("__e"))
-    lists = [F.col(f"__e.{out}").alias(out) for out in items]
-    return grouped.select(*keys, *lists)
+    grouped = df.groupBy(*keys).agg(F.sort_array(entries).alias("__e"))
+    return grouped.select(*keys, *[F.col(f"__e.{out}").alias(out) for out in items])
 
 
 def _all_filled(arrays: Sequence[str]) -> Column:

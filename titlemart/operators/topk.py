@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Above this k a hot group is first trimmed in several salted parts.
-SALT_ABOVE_K = 64
-SALT_PARTS = 64
+# Fixed value: Spark's setting for the largest k that is limited on the map side.
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def top_k_per_group(
@@ -25,19 +24,13 @@ def top_k_per_group(
 
     The ``row_number() <= k`` form lets Spark limit every group on the map side
     already, so a group that holds a third of all rows shuffles at most k rows
-    per task. For large k that is still much for one reducer, hence the salted
-    first round; the partition number as salt parts even exact copies.
+    per task. Spark does so up to a k that it is told; a larger one is refused here
+    rather than run without that limit.
     """
+    allowed = int(df.sparkSession.conf.get(GROUP_LIMIT))
+    if k > allowed:
+        raise ValueError(f"set {GROUP_LIMIT} to at least {k}; it is {allowed}")
     order = [F.col(c).desc_nulls_last() for c in (by, *tie_break)]
-    if k > SALT_ABOVE_K:
-        salt = F.pmod(F.spark_partition_id(), F.lit(SALT_PARTS))
-        salted = Window.partitionBy(*keys, "__salt").orderBy(*order)
-        df = (
-            df.withColumn("__salt", salt)
-            .withColumn("__rn", F.row_number().over(salted))
-            .where(F.col("__rn") <= k)
-            .drop("__salt", "__rn")
-        )
     name = rank or "__rank"
     window = Window.partitionBy(*keys).orderBy(*order)
     best = df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= k)

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from titlemart.plans import marts
 from titlemart.quality.checks import CheckFailed, check_non_empty, check_unique
 from titlemart.schema import titles_schema
+from titlemart.session import scratch_scope
 from titlemart.sinks.tables import read_table, write_table
-from titlemart.sources.load import load_files
+from titlemart.sources.load import load_table
 from titlemart.sources.sampling import exact_sample, list_files
 
 
@@ -49,12 +50,14 @@ def build_marts(
     root: str,
     names: Iterable[str] | None = None,
     at_once: int = 10,
+    raise_on_failure: bool = False,
 ) -> list[Built]:
     """Write the marts below ``root``, replacing those that are there.
 
     The staging table's key is checked first and stops everything if it fails.
     Marts do not depend on each other, so several are submitted at a time and
-    share the cluster; a failed check is reported without stopping the others.
+    share the cluster; a failed check does not stop the others. It is reported, or raised
+    once all are written with ``raise_on_failure``. A mart's intermediate tables go when it is written.
     ``titles`` should be a stored table: every mart scans the columns it needs.
     """
     check_unique(titles, "id")
@@ -62,7 +65,8 @@ def build_marts(
 
     def build(name: str) -> Built:
         mart, path = MARTS[name], f"{root.rstrip('/')}/{name}"
-        write_table(mart.build(titles), path, "WRITE_TRUNCATE")
+        with scratch_scope(spark):
+            write_table(mart.build(titles), path, "WRITE_TRUNCATE")
         table = read_table(spark, path)
         try:
             check_unique(table, mart.unique_key) if mart.unique_key else check_non_empty(table)
@@ -71,7 +75,11 @@ def build_marts(
         return Built(name, path, True, "")
 
     with ThreadPoolExecutor(at_once) as pool:
-        return list(pool.map(build, chosen))
+        built = list(pool.map(build, chosen))
+    failed = [f"{b.name}: {b.message}" for b in built if not b.passed]
+    if failed and raise_on_failure:
+        raise CheckFailed("; ".join(failed))
+    return built
 
 
 def load_and_build(
@@ -86,17 +94,21 @@ def load_and_build(
 
     With ``n_files`` a seeded sample of exactly that many files is staged. The
     files are named to the reader, so their names pass through the driver; their
-    contents do not.
+    contents do not. Raises if the load did not read as many files as were chosen, or
+    if a mart fails its check.
     """
     chosen = list_files(spark, pattern).select("path")
     if n_files is not None:
         chosen = exact_sample(chosen, "path", n_files, seed)
         paths = [r.path for r in chosen.toLocalIterator()]
+        expected = len(paths)
     else:
-        paths = pattern
+        paths, expected = pattern, chosen.count()
     staging = f"{root.rstrip('/')}/raw_movies"
-    loaded = load_files(
-        spark, paths, titles_schema(), "NEWLINE_DELIMITED_JSON", **load_options
+    loaded = load_table(
+        spark, staging, paths, titles_schema(), "NEWLINE_DELIMITED_JSON",
+        write_disposition="WRITE_TRUNCATE", **load_options,
     )
-    write_table(loaded.rows, staging, "WRITE_TRUNCATE")
-    return build_marts(spark, read_table(spark, staging), root)
+    if loaded.n_files != expected:
+        raise CheckFailed(f"{expected} files chosen, {loaded.n_files} loaded")
+    return build_marts(spark, read_table(spark, staging), root, raise_on_failure=True)

@@ -8,13 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from titlemart.functions.scalars import first_element, image_url, iso_year
-from titlemart.operators.arrays import (
-    MAX_LIST_ITEMS,
-    any_element_has,
-    collect_aligned,
-    distinct_lists,
-    unnest,
-)
+from titlemart.operators.arrays import any_element_has, collect_aligned, unnest
 from titlemart.operators.topk import top_k_per_group
 from titlemart.session import write_shared
 
@@ -54,8 +48,11 @@ def spoken_languages(titles: DataFrame) -> DataFrame:
     return _dimension(titles, "spoken_languages", "iso_639_1", columns)
 
 
-def collection_lists(titles: DataFrame) -> DataFrame:
-    """Collections with the ids and names of their titles, aligned, in id order."""
+def collection_lists(titles: DataFrame, form: str = "list") -> DataFrame:
+    """Collections with the ids and names of their titles, aligned, in id order.
+
+    ``form="rows"`` gives a row per collection and title instead of lists.
+    """
     members = unnest(
         titles, "belongs_to_collection", "c", [F.col("id").alias("movie_id")]
     ).select(
@@ -71,6 +68,7 @@ def collection_lists(titles: DataFrame) -> DataFrame:
         members.join(names, "movie_id", "left"),
         keys,
         {"movie_id": "movie_id", "movie_title": "title"},
+        form,
     )
     return lists.select(*keys[:2], "movie_id", "movie_title", *keys[2:])
 
@@ -120,20 +118,19 @@ def popular_per_year(titles: DataFrame) -> DataFrame:
     ).orderBy(F.col("year").desc_nulls_last())
 
 
-def company_portfolio(
-    titles: DataFrame, genre_form: str = "list", max_items: int = MAX_LIST_ITEMS
-) -> DataFrame:
+def company_portfolio(titles: DataFrame, genre_form: str = "list") -> DataFrame:
     """Totals and genres per company, over the product companies x genres.
 
     As the product repeats a title once per genre, so do its count, revenue
     and budget. Rows are first combined per company and genre, which leaves a
-    hot company as many rows as it has genres; only then are lists made.
-    A list of more than ``max_items`` genres, repeats included, is continued in
-    further rows with the same totals, so that no task holds it whole.
-    ``genre_form="counts"`` gives each genre once with its count instead.
+    hot company as many rows as it has genres; only then are lists made. The
+    caller chooses the form of ``ph_movie``: ``"list"`` repeats a genre once per title,
+    which is one row's value and has to fit in a task; ``"counts"`` gives each genre once
+    with its count, at any size; ``"rows"`` gives a row per company and genre, with
+    the totals of that genre.
     """
-    if genre_form not in ("list", "counts"):
-        raise ValueError("genre_form is 'list' or 'counts'")
+    if genre_form not in ("list", "counts", "rows"):
+        raise ValueError("genre_form is 'list', 'counts' or 'rows'")
     company = ["ph_id", "ph_name", "ph_country"]
     product = titles.select(
         "id", "popularity", "revenue", "budget",
@@ -152,43 +149,29 @@ def company_portfolio(
         F.sum("revenue").alias("revenue"),
         F.sum("budget").alias("budget"),
     )
-    before = Window.partitionBy(*company).orderBy("genres").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    portfolio = (
-        per_genre.withColumn("upto", F.sum("n").over(before))
-        .groupBy(*company)
-        .agg(
-            F.sort_array(F.collect_list(F.struct("genres", "n", "upto"))).alias("ph_movie"),
-            F.sum("n_id").alias("ph_total_movie"),
-            (F.sum("score").cast("double") / F.sum("n_score")).alias(
-                "average_popularity_movie_score"
-            ),
-            F.sum("revenue").alias("ph_total_revenue"),
-            F.sum("budget").alias("ph_total_budget"),
+    if genre_form == "rows":
+        return per_genre.select(
+            *company, "genres", F.col("n_id").alias("ph_total_movie"),
+            F.col("revenue").alias("ph_total_revenue"), F.col("budget").alias("ph_total_budget"),
         )
+    portfolio = per_genre.groupBy(*company).agg(
+        F.sort_array(F.collect_list(F.struct("genres", "n"))).alias("ph_movie"),
+        F.sum("n_id").alias("ph_total_movie"),
+        (F.sum("score").cast("double") / F.sum("n_score")).alias("average_popularity_movie_score"),
+        F.sum("revenue").alias("ph_total_revenue"),
+        F.sum("budget").alias("ph_total_budget"),
+    )
+    ordered = portfolio.orderBy(
+        F.col("average_popularity_movie_score").desc_nulls_last(), F.col("ph_id")
     )
-    order = [F.col("average_popularity_movie_score").desc_nulls_last(), F.col("ph_id")]
     if genre_form == "counts":
-        counts = F.transform("ph_movie", lambda e: F.struct(e["genres"], e["n"]))
-        return portfolio.withColumn("ph_movie", counts).orderBy(*order)
+        return ordered
 
     # Repeats are made after the sort, which so moves each genre once per row.
-    last = F.floor((F.element_at("ph_movie", -1)["upto"] - 1) / max_items)
-    rows = portfolio.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    low = F.col("__part") * max_items
-    high = low + max_items
-
     def repeats(e: Column) -> Column:
-        held = F.least(e["upto"], high) - F.greatest(e["upto"] - e["n"], low)
-        times = F.greatest(held, F.lit(0)).cast("int")
-        return F.array_repeat(F.struct(e["genres"].alias("genres")), times)
-
-    return (
-        rows.orderBy(*order, "__part")
-        .withColumn("ph_movie", F.flatten(F.transform("ph_movie", repeats)))
-        .drop("__part")
-    )
+        return F.array_repeat(F.struct(e["genres"].alias("genres")), e["n"].cast("int"))
+
+    return ordered.withColumn("ph_movie", F.flatten(F.transform("ph_movie", repeats)))
 
 
 def company_portfolio_dedup(titles: DataFrame) -> DataFrame:
@@ -270,16 +253,25 @@ def _with_attributes(
     Winners come first and attributes are fetched for them only: the wide scan
     is cut by a semi-join on the winners' ids. The winners are a written table,
     so Catalyst knows their size and broadcasts them when small, or shuffles.
-    An id with several distinct attribute rows gives several result rows.
+    An id with several distinct attribute rows gives several result rows. Their
+    attributes and lists come out of one aggregation per id; a list counts the
+    rows in which no list is empty, as the product of the arrays does.
     """
     best = write_shared(best, "winners")
     ids = best.select(F.col("movie_id").alias("__id")).where(F.col("__id").isNotNull())
-    detail = titles.join(ids, F.col("id") == F.col("__id"), "left_semi").select(
-        F.col("id").alias("movie_id"),
-        *[c.alias(out) for out, c in attributes.items()],
-        *[F.col(path).alias(out) for out, path in lists.items()],
+    filled = F.lit(True)
+    for path in lists.values():
+        filled = filled & (F.size(F.col(path)) > 0)
+
+    def names(path: str) -> Column:
+        wrapped = F.transform(F.col(path), lambda v: F.struct(v.alias("v")))
+        distinct = F.array_distinct(F.flatten(F.collect_set(F.when(filled, wrapped))))
+        return F.when(F.max(filled), F.sort_array(F.transform(distinct, lambda s: s["v"])))
+
+    detail = titles.join(ids, F.col("id") == F.col("__id"), "left_semi")
+    found = detail.groupBy(F.col("id").alias("movie_id")).agg(
+        F.collect_set(F.struct(*[c.alias(out) for out, c in attributes.items()])).alias("__rows"),
+        *[names(path).alias(out) for out, path in lists.items()],
     )
-    detail = write_shared(detail, "winner-rows")
-    main = detail.select("movie_id", *attributes).distinct()
-    names = distinct_lists(detail, "movie_id", {out: out for out in lists})
-    return best.join(main.join(names, "movie_id", "left"), "movie_id", "left")
+    found = found.select("movie_id", F.explode("__rows").alias("__row"), *lists)
+    return best.join(found.select("movie_id", "__row.*", *lists), "movie_id", "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -81,14 +81,21 @@ def interval_ratios(
     """One row per metric: its value on a day and ``days_back`` earlier, and the
     larger over the smaller. ``metrics`` maps aggregate expressions to limits.
 
-    Both days come out of one pruned scan with one grouped aggregation.
+    The column holds dates or times. Both days come out of one scan with one grouped
+    aggregation; the days are ranges of the stored column, which reach the files.
     """
     now = date.fromisoformat(str(day))
     then = now - timedelta(days=abs(days_back))
     names = [f"m{i}" for i in range(len(metrics))]
+    kind = df.schema[date_filter_column].dataType
+
+    def within(first: date) -> Column:
+        low, high = (F.lit(d).cast(kind) for d in (first, first + timedelta(days=1)))
+        return (F.col(date_filter_column) >= low) & (F.col(date_filter_column) < high)
+
     per_day = (
-        df.where(F.col(date_filter_column).isin(now, then))
-        .groupBy((F.col(date_filter_column) == F.lit(now)).alias("is_now"))
+        df.where(within(now) | within(then))
+        .groupBy(within(now).alias("is_now"))
         .agg(*[F.expr(m).cast("double").alias(n) for m, n in zip(metrics, names)])
     )
     entries = [

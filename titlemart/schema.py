@@ -17,55 +17,45 @@ SCALAR_TYPES = {
     "INTEGER": T.LongType(),
     "FLOAT64": T.DoubleType(),
     "FLOAT": T.DoubleType(),
+    "NUMERIC": T.DecimalType(38, 9),
+    "BYTES": T.BinaryType(),
     "DATE": T.DateType(),
     "TIMESTAMP": T.TimestampType(),
     "DATETIME": T.TimestampNTZType(),
 }
 
-_FLAG, _TEXT, _WHOLE = T.BooleanType(), T.StringType(), T.LongType()
-_REAL, _DAY = T.DoubleType(), T.DateType()
-
-
-def _records(**fields: T.DataType) -> T.ArrayType:
-    return T.ArrayType(T.StructType([T.StructField(n, t) for n, t in fields.items()]))
-
-
 # The columns of the staging table.
-TITLES_COLUMNS = {
-    "adult": _FLAG,
-    "backdrop_path": _TEXT,
-    "belongs_to_collection": _records(
-        id=_WHOLE, name=_TEXT, poster_path=_TEXT, backdrop_path=_TEXT
-    ),
-    "budget": _WHOLE,
-    "genres": _records(id=_WHOLE, name=_TEXT),
-    "homepage": _TEXT,
-    "id": _WHOLE,
-    "imdb_id": _TEXT,
-    "original_language": _TEXT,
-    "original_title": _TEXT,
-    "overview": _TEXT,
-    "popularity": _REAL,
-    "poster_path": _TEXT,
-    "production_companies": _records(
-        id=_WHOLE, logo_path=_TEXT, name=_TEXT, origin_country=_TEXT
-    ),
-    "production_countries": _records(iso_3166_1=_TEXT, name=_TEXT),
-    "release_date": _DAY,
-    "revenue": _WHOLE,
-    "runtime": _WHOLE,
-    "spoken_languages": _records(iso_639_1=_TEXT, name=_TEXT),
-    "status": _TEXT,
-    "tagline": _TEXT,
-    "title": _TEXT,
-    "video": _FLAG,
-    "vote_average": _REAL,
-    "vote_count": _WHOLE,
-}
+TITLES_DDL = """
+    adult boolean,
+    backdrop_path string,
+    belongs_to_collection array<struct<id: bigint, name: string, poster_path: string, backdrop_path: string>>,
+    budget bigint,
+    genres array<struct<id: bigint, name: string>>,
+    homepage string,
+    id bigint,
+    imdb_id string,
+    original_language string,
+    original_title string,
+    overview string,
+    popularity double,
+    poster_path string,
+    production_companies array<struct<id: bigint, logo_path: string, name: string, origin_country: string>>,
+    production_countries array<struct<iso_3166_1: string, name: string>>,
+    release_date date,
+    revenue bigint,
+    runtime bigint,
+    spoken_languages array<struct<iso_639_1: string, name: string>>,
+    status string,
+    tagline string,
+    title string,
+    video boolean,
+    vote_average double,
+    vote_count bigint
+"""
 
 
 def titles_schema() -> T.StructType:
-    return T.StructType([T.StructField(n, t) for n, t in TITLES_COLUMNS.items()])
+    return T.StructType.fromDDL(TITLES_DDL)
 
 
 def schema_from_fields(fields: Iterable[Mapping]) -> T.StructType:
@@ -81,6 +71,10 @@ def schema_from_json(path: str | Path) -> T.StructType:
     return schema_from_fields(json.loads(Path(path).read_text()))
 
 
+class BadRecordsError(ValueError):
+    """More records were rejected than the budget allows."""
+
+
 def required_columns(schema: T.StructType) -> list[str]:
     return [f.name for f in schema.fields if f.metadata.get("mode") == "REQUIRED"]
 

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def local_session(cores: str | int = "*", app: str = "titlemart") -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     return (
@@ -40,7 +46,32 @@ def shared_dir(spark: SparkSession) -> str:
 
 def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    made = _scratch.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside go when the scope ends, and none before.
+
+    What is read from them has to be stored or collected inside. Scopes nest.
+    """
+    made: list[str] = []
+    token = _scratch.set(made)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in made:
+            delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_shared(df: DataFrame, label: str) -> DataFrame:
@@ -58,5 +89,4 @@ def write_shared(df: DataFrame, label: str) -> DataFrame:
 
 def clear_shared(spark: SparkSession) -> None:
     """Remove this application's intermediate tables, when results are stored."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    delete_folder(spark, shared_dir(spark))

@@ -13,17 +13,21 @@ import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from titlemart.schema import required_columns, schema_from_fields
+from titlemart.schema import BadRecordsError, required_columns, schema_from_fields
+from titlemart.session import delete_folder
 
 SIDE_FILE = "_table.json"
 DAY = "_day"
 INSERTED = "_inserted"
 BATCH = "_batch"
+BAD = "_bad"
+REFUSED = "_reason string, _record string"
 WRITE = ("WRITE_TRUNCATE", "WRITE_APPEND", "WRITE_EMPTY")
 CREATE = ("CREATE_IF_NEEDED", "CREATE_NEVER")
 SCHEMA_UPDATES = ("ALLOW_FIELD_ADDITION", "ALLOW_FIELD_RELAXATION")
@@ -74,6 +78,91 @@ def write_table(
     to or required to be absent. ``cluster_fields`` stores rows sorted by up to
     four columns.
     """
+    write = _planned(
+        df, path, write_disposition, create_disposition, schema_update_options,
+        partition_field, partition, cluster_fields,
+    )
+    rows = _guarded(df.select(*write.columns), write, partition)
+    rows = _arranged(rows, write.partition_field, write.cluster_fields)
+    if not write.replaces:
+        _writer(rows, write.partition_field).mode("append").parquet(path)
+        _save_description(df.sparkSession, path, write)
+        return
+    beside = _beside(path)
+    _writer(rows, write.partition_field).parquet(beside)
+    _put(df.sparkSession, beside, path, write, partition)
+
+
+def write_parsed(
+    parsed: DataFrame, path: str, schema: T.StructType, max_bad_records: int = 0, **options
+) -> tuple[int, str]:
+    """Store the good rows of a parsed frame (``schema``, ``_reason``, ``_record``), written once.
+
+    Good and bad records are written side by side, next to the table. If more are
+    bad than allowed, that folder goes and the table stays as it was; otherwise the good files are
+    moved into the table, and the bad ones to a folder of their own. Returns
+    how many were bad, and that folder.
+    """
+    spark = parsed.sparkSession
+    partition = options.get("partition")
+    marked = [F.col(f.name).alias(f.name, metadata=f.metadata) for f in schema.fields]
+    write = _planned(parsed.select(*marked), path, **options)
+    good = F.col("_reason").isNull()
+    rows = parsed.select(*write.columns, "_reason", "_record", (~good).alias(BAD))
+    rows = _arranged(_guarded(rows, write, partition, good), write.partition_field, write.cluster_fields)
+    parts = [BAD, DAY] if write.partition_field else [BAD]
+    beside = _beside(path)
+    try:
+        rows.write.partitionBy(*parts).parquet(beside)
+        refused = _refused(spark, f"{beside}/{BAD}=true")
+        bad = refused.count()
+        if bad > max_bad_records:
+            sample = [f"{r._reason}: {r._record}" for r in refused.limit(3).collect()]
+            raise BadRecordsError(f"{bad} bad records, {max_bad_records} allowed; {sample}")
+        kept = f"{path.rstrip('/')}__load_rejected/{uuid.uuid4().hex[:12]}"
+        if bad:
+            _rename(spark, f"{beside}/{BAD}=true", kept)
+        fs, accepted = _fs(spark, f"{beside}/{BAD}=false")
+        fs.mkdirs(accepted)
+        if write.replaces:
+            _put(spark, f"{beside}/{BAD}=false", path, write, partition)
+        else:
+            _move_files(spark, f"{beside}/{BAD}=false", path)
+            _save_description(spark, path, write)
+    finally:
+        delete_folder(spark, beside)
+    return bad, kept
+
+
+def read_refused(spark: SparkSession, folder: str, count: int) -> DataFrame:
+    """Reason and text of the records that ``write_parsed`` refused."""
+    return _refused(spark, folder) if count else spark.createDataFrame([], REFUSED)
+
+
+def _refused(spark: SparkSession, folder: str) -> DataFrame:
+    fs, where = _fs(spark, folder)
+    return spark.read.schema(REFUSED).parquet(folder) if fs.exists(where) else spark.createDataFrame([], REFUSED)
+
+
+class _Write(NamedTuple):
+    columns: list[Column]
+    schema: T.StructType
+    partition_field: str | None
+    cluster_fields: list[str]
+    replaces: bool  # the whole table, or the day that is written
+
+
+def _planned(
+    df: DataFrame,
+    path: str,
+    write_disposition: str = "WRITE_EMPTY",
+    create_disposition: str = "CREATE_IF_NEEDED",
+    schema_update_options: Iterable[str] = (),
+    partition_field: str | None = None,
+    partition: str | None = None,
+    cluster_fields: Sequence[str] = (),
+) -> _Write:
+    """What a write will do; raises if it may not be done."""
     options = check_write_options(
         write_disposition, create_disposition, schema_update_options,
         partition_field, partition, cluster_fields,
@@ -92,34 +181,34 @@ def write_table(
         held = read_table(spark, path, day=partition)
         if write_disposition == "WRITE_EMPTY" and not held.isEmpty():
             raise ValueError(f"{path} already holds rows")
+        columns = [F.col(c) for c in df.columns]
         if write_disposition == "WRITE_TRUNCATE" and partition is None:
             schema = df.schema
         else:
-            df, schema = _fit(df, schema, options)
+            columns, schema = _fit(df, schema, options)
         partition_field = partition_field or layout["partition_field"]
         if partition is not None and not partition_field:
             raise ValueError(f"{path} is not partitioned by day")
         cluster_fields = list(cluster_fields) or layout["cluster_fields"]
     else:
-        schema = df.schema
-    layout = {"partition_field": partition_field, "cluster_fields": list(cluster_fields)}
-
-    rows = _guarded(df, schema, partition_field, partition)
-    rows = _arranged(rows, partition_field, list(cluster_fields))
-    if not exists or (write_disposition == "WRITE_TRUNCATE" and partition is None):
-        beside = _beside(path)
-        _writer(rows, partition_field).parquet(beside)
-        _save_description(spark, beside, schema, layout)
-        _swap(spark, beside, path)
+        columns, schema = [F.col(c) for c in df.columns], df.schema
+    replaces = not exists or write_disposition == "WRITE_TRUNCATE"
+    return _Write(columns, schema, partition_field, list(cluster_fields), replaces)
+
+
+def _put(spark: SparkSession, folder: str, path: str, write: _Write, partition: str | None) -> None:
+    """Put a finished folder in the place of the table, or of one of its days."""
+    if partition is None or not table_exists(spark, path):
+        _save_description(spark, folder, write)
+        _swap(spark, folder, path)
         return
-    if write_disposition == "WRITE_TRUNCATE" and partition is not None:
-        beside = _beside(path)
-        rows.drop(DAY).write.parquet(beside)
-        _swap(spark, beside, f"{path.rstrip('/')}/{DAY}={partition}")
-        _drop_inserted(spark, path, partition)
-    else:
-        _writer(rows, partition_field).mode("append").parquet(path)
-    _save_description(spark, path, schema, layout)
+    day = f"{DAY}={partition}"
+    fs, there = _fs(spark, f"{folder}/{day}")
+    fs.mkdirs(there)
+    _swap(spark, f"{folder}/{day}", f"{path.rstrip('/')}/{day}")
+    delete_folder(spark, folder)
+    _drop_inserted(spark, path, partition)
+    _save_description(spark, path, write)
 
 
 def put_batch(rows: DataFrame, path: str, name: str) -> None:
@@ -138,10 +227,17 @@ def copy_tables(
     write_disposition: str = "WRITE_EMPTY",
     create_disposition: str = "CREATE_IF_NEEDED",
 ) -> None:
-    """Copy one or several tables of the same columns into one, keeping repeats."""
+    """Copy one or several tables of the same columns into one, keeping repeats.
+
+    A day partition and clustering that all sources share are kept.
+    """
     sources = [sources] if isinstance(sources, str) else list(sources)
     rows = reduce(DataFrame.unionByName, [read_table(spark, s) for s in sources])
-    write_table(rows, destination, write_disposition, create_disposition)
+    layouts = [describe_table(spark, s)[1] for s in sources]
+    shared = layouts[0] if all(x == layouts[0] for x in layouts) else {}
+    if write_disposition != "WRITE_TRUNCATE" and table_exists(spark, destination):
+        shared = {}  # rows that are added take the layout they find
+    write_table(rows, destination, write_disposition, create_disposition, **shared)
 
 
 def create_empty_table(
@@ -190,13 +286,57 @@ def check_write_options(
     return options
 
 
-def _fit(df: DataFrame, schema: T.StructType, options: set[str]) -> tuple[DataFrame, T.StructType]:
-    """Bring rows to a table's columns, changing those only as allowed."""
+def _merged(old: T.DataType, new: T.DataType) -> T.DataType | None:
+    """The old type with the fields a new one adds inside its records; None if they disagree."""
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        inner = _merged(old.elementType, new.elementType)
+        return inner and T.ArrayType(inner)
+    if not (isinstance(old, T.StructType) and isinstance(new, T.StructType)):
+        return old if old == new else None
+    offered = {f.name: f.dataType for f in new.fields}
+    fields = []
+    for field in old.fields:
+        kind = _merged(field.dataType, offered.pop(field.name, field.dataType))
+        if kind is None:
+            return None
+        fields.append(T.StructField(field.name, kind, True, field.metadata))
+    return T.StructType(fields + [T.StructField(n, t, True) for n, t in offered.items()])
+
+
+def _as(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A value brought to a merged type: fields it lacks are NULL."""
+    if have == want:
+        return value
+    if isinstance(want, T.ArrayType):
+        return F.transform(value, lambda e: _as(e, have.elementType, want.elementType))
+    if not isinstance(want, T.StructType):
+        return value.cast(want)
+    held = {f.name: f.dataType for f in have.fields}
+    parts = [
+        (_as(value[f.name], held[f.name], f.dataType) if f.name in held else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in want.fields
+    ]
+    return F.when(value.isNotNull(), F.struct(*parts))
+
+
+def _plain(kind: T.DataType) -> str:
+    """A type without its NULL marks, for comparison."""
+    return kind.simpleString()
+
+
+def _fit(df: DataFrame, schema: T.StructType, options: set[str]) -> tuple[list[Column], T.StructType]:
+    """Columns that bring rows to a table's, which change only as allowed."""
     old = {f.name: f for f in schema.fields}
     new = {f.name: f for f in df.schema.fields}
-    changed = [n for n in new if n in old and new[n].dataType != old[n].dataType]
-    if changed:
-        raise ValueError(f"column type differs from the table: {changed}")
+    kinds = {n: _merged(old[n].dataType, new[n].dataType) for n in new if n in old}
+    for name, kind in kinds.items():
+        same = _plain(old[name].dataType) == _plain(new[name].dataType)
+        if kind is None and same:
+            kinds[name] = old[name].dataType
+        elif kind is None:
+            raise ValueError(f"column type differs from the table: {name}")
+        elif _plain(kind) != _plain(old[name].dataType) and "ALLOW_FIELD_ADDITION" not in options:
+            raise ValueError(f"fields not in the table: {name} is {_plain(new[name].dataType)}")
     added = [n for n in new if n not in old]
     if added and "ALLOW_FIELD_ADDITION" not in options:
         raise ValueError(f"columns not in the table: {added}")
@@ -209,28 +349,31 @@ def _fit(df: DataFrame, schema: T.StructType, options: set[str]) -> tuple[DataFr
         stays = field.metadata.get("mode") == "REQUIRED"
         offered = field.name in new and new[field.name].metadata.get("mode") == "REQUIRED"
         metadata = field.metadata if stays and (offered or not relax) else {}
-        fields.append(T.StructField(field.name, field.dataType, True, metadata))
+        kind = kinds.get(field.name) or field.dataType
+        fields.append(T.StructField(field.name, kind, True, metadata))
     fields += [T.StructField(n, new[n].dataType, True) for n in added]
     target = T.StructType(fields)
-    rows = df.select(
-        *[F.col(f.name) if f.name in new else F.lit(None).cast(f.dataType).alias(f.name)
-          for f in target.fields]
-    )
-    return rows, target
+    columns = [
+        _as(F.col(f.name), new[f.name].dataType, f.dataType).alias(f.name, metadata=f.metadata)
+        if f.name in new else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in target.fields
+    ]
+    return columns, target
 
 
-def _guarded(df, schema, partition_field, partition) -> DataFrame:
+def _guarded(df: DataFrame, write: _Write, partition: str | None, only: Column | None = None) -> DataFrame:
     """Rows that raise while they are written if they break a REQUIRED mark or
-    belong to another day than the one written."""
+    belong to another day than the one written; ``only`` says which rows count."""
     checks = [
-        (F.col(c).isNull(), f"NULL in required column {c}") for c in required_columns(schema)
+        (F.col(c).isNull(), f"NULL in required column {c}") for c in required_columns(write.schema)
     ]
-    if partition_field:
-        df = df.withColumn(DAY, F.to_date(partition_field))
+    if write.partition_field:
+        df = df.withColumn(DAY, F.to_date(write.partition_field))
         if partition is not None:
             wrong = ~F.col(DAY).eqNullSafe(F.lit(partition).cast("date"))
             checks.append((wrong, f"row outside day {partition}"))
     for broken, message in checks:
+        broken = broken if only is None else broken & only
         df = df.where(F.when(broken, F.raise_error(F.lit(message)).cast("boolean")).otherwise(True))
     return df
 
@@ -239,9 +382,10 @@ def _arranged(df: DataFrame, partition_field: str | None, cluster: list[str]) ->
     """Lay rows out for writing, so that a hot day or value spans several tasks."""
     day = [DAY] if partition_field else []
     if cluster:
-        # The hash parts equal cluster values over several ranges.
-        ranges = [F.col(c) for c in day + cluster] + [F.xxhash64(*df.columns)]
-        return df.repartitionByRange(*ranges).sortWithinPartitions(*day, *cluster)
+        # The row number parts equal cluster values over several ranges.
+        spread = df.withColumn("__spread", F.monotonically_increasing_id())
+        ranges = [*day, *cluster, "__spread"]
+        return spread.repartitionByRange(*ranges).sortWithinPartitions(*day, *cluster).drop("__spread")
     if day:
         # REBALANCE gathers a day's rows, and AQE splits the days that are large.
         return df.hint("rebalance", F.col(DAY))
@@ -269,6 +413,25 @@ def _swap(spark: SparkSession, beside: str, path: str) -> None:
     fs.delete(old, True)
 
 
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, folder = _fs(spark, source)
+    there = _fs(spark, target)[1]
+    fs.mkdirs(there.getParent())
+    if not fs.rename(folder, there):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def _move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Add the files of one table folder to another, day by day."""
+    fs, folder = _fs(spark, source)
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if status.isDirectory():
+            _move_files(spark, f"{source}/{name}", f"{target.rstrip('/')}/{name}")
+        elif not name.startswith(("_", ".")):
+            _rename(spark, f"{source}/{name}", f"{target.rstrip('/')}/{name}")
+
+
 def _drop_inserted(spark: SparkSession, path: str, partition: str) -> None:
     """Streamed rows of a day go with the rows of that day that were replaced."""
     fs, parts = _fs(spark, f"{path.rstrip('/')}/{INSERTED}/{BATCH}=*/{DAY}={partition}")
@@ -287,8 +450,9 @@ def describe_table(spark: SparkSession, path: str) -> tuple[T.StructType, dict]:
     return T.StructType.fromJson(saved["schema"]), saved["layout"]
 
 
-def _save_description(spark, path, schema, layout) -> None:
-    nullable = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
+def _save_description(spark: SparkSession, path: str, write: _Write) -> None:
+    nullable = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in write.schema.fields])
+    layout = {"partition_field": write.partition_field, "cluster_fields": write.cluster_fields}
     saved = json.dumps({"schema": nullable.jsonValue(), "layout": layout})
     fs, folder = _fs(spark, path)
     stream = fs.create(_child(spark, folder, SIDE_FILE), True)

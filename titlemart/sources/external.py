@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from titlemart.schema import schema_from_fields
-from titlemart.sources.parsing import BadRecordsError, parse_csv, parse_json_lines
+from titlemart.schema import BadRecordsError
+from titlemart.sources.load import checked, parsed_files
 
 # Format names and the Spark source for each.
 SOURCES = {"CSV": "csv", "NEWLINE_DELIMITED_JSON": "json", "PARQUET": "parquet", "AVRO": "avro"}
@@ -18,7 +18,7 @@ SOURCES = {"CSV": "csv", "NEWLINE_DELIMITED_JSON": "json", "PARQUET": "parquet",
 def create_external_table(
     spark: SparkSession,
     name: str,
-    path: str,
+    path: str | Sequence[str],
     source_format: str = "CSV",
     schema: T.StructType | Iterable[Mapping] | None = None,
     *,
@@ -26,19 +26,14 @@ def create_external_table(
     compression: str = "NONE",
     max_bad_records: int = 0,
     ignore_unknown_values: bool = False,
-    skip_leading_rows: int = 0,
-    field_delimiter: str = ",",
-    quote: str | None = None,
-    allow_quoted_newlines: bool = False,
-    encoding: str = "UTF-8",
-    null_marker: str = "",
+    **csv_options,
 ) -> DataFrame:
     """Register files under a name without moving them, and return them.
 
-    Where Spark's own reader is strict in the way asked for, the name is a
-    catalog table. A bad-record budget, the unknown-field policy of JSON and
-    further leading rows need the parsers of a load, so then it is a view over
-    them; bad records are counted once, here, and left out when queried.
+    Options are those of a load. Where Spark's own reader is strict in the way asked
+    for, the name is a catalog table. A bad-record budget, the unknown-field policy of
+    JSON, short rows, further leading rows and several paths need the parsers of a load, so then it
+    is a view over them; bad records are counted once, here, and left out when queried.
 
     Gzip files are recognised by their ``.gz`` suffix. They cannot be split,
     so one file is one task; more files are the way to more parallelism.
@@ -48,27 +43,20 @@ def create_external_table(
         raise ValueError(f"{source_format} is not one of {', '.join(SOURCES)}")
     if compression not in ("NONE", "GZIP"):
         raise ValueError(f"{compression} is not one of NONE, GZIP")
-    if schema is None and not autodetect:
-        raise ValueError("pass a schema or autodetect=True")
-    if schema is not None and not isinstance(schema, T.StructType):
-        schema = schema_from_fields(schema)
+    schema, source_format = checked(schema, source_format, autodetect, csv_options)
     csv = source_format == "CSV"
     json = source_format == "NEWLINE_DELIMITED_JSON"
-    if (csv or json) and schema is not None and (
+    skip = csv_options.get("skip_leading_rows", 0)
+    if (
         max_bad_records
-        or skip_leading_rows > 1
-        or csv and ignore_unknown_values
-        or json and not ignore_unknown_values
+        or not isinstance(path, str)
+        or csv and (skip > 1 or ignore_unknown_values or csv_options.get("allow_jagged_rows"))
+        or json and schema is not None and not ignore_unknown_values
+        or not (csv or json) and schema is not None
     ):
-        if csv:
-            parsed = parse_csv(
-                spark, path, schema, field_delimiter=field_delimiter, quote=quote,
-                skip_leading_rows=skip_leading_rows, encoding=encoding, null_marker=null_marker,
-                allow_quoted_newlines=allow_quoted_newlines,
-                ignore_unknown_values=ignore_unknown_values,
-            )
-        else:
-            parsed = parse_json_lines(spark.read.text(path), schema, ignore_unknown_values)
+        parsed, schema, _ = parsed_files(
+            spark, path, schema, source_format, ignore_unknown_values, csv_options
+        )
         bad = parsed.where(F.col("_reason").isNotNull()).count()
         if bad > max_bad_records:
             raise BadRecordsError(f"{bad} bad records, {max_bad_records} allowed")
@@ -76,14 +64,15 @@ def create_external_table(
         return spark.table(name)
     options = {}
     if csv:
+        quote = csv_options.get("quote")
         options = {
-            "sep": field_delimiter,
+            "sep": csv_options.get("field_delimiter", ","),
             "quote": '"' if quote is None else quote,
             "escape": '"' if quote is None else (quote or "\\"),
-            "header": str(skip_leading_rows == 1),
-            "multiLine": str(allow_quoted_newlines),
-            "encoding": encoding,
-            "nullValue": null_marker,
+            "header": str(skip == 1),
+            "multiLine": str(csv_options.get("allow_quoted_newlines", False)),
+            "encoding": csv_options.get("encoding", "UTF-8"),
+            "nullValue": csv_options.get("null_marker", ""),
             "mode": "FAILFAST",
         }
         if schema is None:

@@ -5,12 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# A start row beyond this is reached by key, not by skipping rows.
-DEEP_START = 100_000
+from titlemart.session import scratch_scope, write_shared
 
 
 def read_page(
@@ -25,16 +23,15 @@ def read_page(
     with commas.
 
     ``page_token`` is the last key of the page before; the scan then prunes by
-    ``key > token``. ``start_index`` counts rows from the beginning; for a deep
-    start on a numeric key an approximate quantile gives a key shortly before it and the exact
-    number of rows below that key, so only the rest is skipped.
+    ``key > token``. ``start_index`` counts rows from the beginning: the key at that
+    place is looked up first, and the page is read from that key on, so no task
+    ever skips rows. Without ``max_results`` the rest comes as a range-sorted whole.
     """
     if page_token is not None:
         df = df.where(F.col(key) > page_token)
-    skip = start_index
-    if start_index > DEEP_START and isinstance(df.schema[key].dataType, T.NumericType):
-        df, skip = _seek(df, key, start_index)
-    page = df.orderBy(F.col(key).asc_nulls_first()).offset(skip)
+    if start_index > 0:
+        df = df.where(_from_place(df, key, start_index))
+    page = df.orderBy(F.col(key).asc_nulls_first())
     if max_results is not None:
         page = page.limit(max_results)
     if isinstance(selected_fields, str):
@@ -42,13 +39,24 @@ def read_page(
     return page.select(*(selected_fields or df.columns))
 
 
-def _seek(df: DataFrame, key: str, start: int) -> tuple[DataFrame, int]:
-    accuracy = 1_000_000
-    known = df.where(F.col(key).isNotNull())
-    total = df.count()
-    share = min(start / max(total, 1), 1.0) - 2 / accuracy
-    if share <= 0:
-        return df, start
-    near = known.agg(F.percentile_approx(key, F.lit(share), F.lit(accuracy)).alias("k")).first()["k"]
-    below = df.where(F.col(key).isNull() | (F.col(key) < near)).count()
-    return (df.where(F.col(key) >= near), start - below) if below <= start else (df, start)
+def _from_place(df: DataFrame, key: str, start: int) -> Column:
+    """Condition for the rows from place ``start`` on.
+
+    The keys alone are sorted into files by range. Their row counts, one per file, show
+    in which file the place lies, and its number there is a filter on the row index.
+    """
+    spark = df.sparkSession
+    order = F.col(key).asc_nulls_first()
+    with scratch_scope(spark):
+        keys = write_shared(df.select(key).repartitionByRange(order).sortWithinPartitions(order), "keys")
+        placed = keys.select(key, "_metadata.file_path", "_metadata.row_index")
+        files = placed.groupBy("file_path").agg(
+            F.count("*").alias("n"), F.min(F.struct(F.col(key).isNotNull(), key)).alias("first")
+        )
+        for row in files.orderBy("first").toLocalIterator():
+            if start < row.n:
+                here = (F.col("file_path") == row.file_path) & (F.col("row_index") == start)
+                value = placed.where(here).first()[key]
+                return F.lit(True) if value is None else F.col(key) >= F.lit(value)
+            start -= row.n
+    return F.lit(False)

@@ -13,21 +13,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from titlemart.schema import required_columns
+from titlemart.schema import BadRecordsError, required_columns
 
 # Never occurs in text files; marks where a record ends.
 END = "\u0001end\u0001"
 CORRUPT = "_corrupt_record"
 
 
-class BadRecordsError(ValueError):
-    """More records were rejected than the budget allows."""
-
-
 def parse_json_lines(
-    lines: DataFrame, schema: T.StructType, ignore_unknown_values: bool = False
+    lines: DataFrame,
+    schema: T.StructType,
+    ignore_unknown_values: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Parse a ``value`` column of JSON texts.
+    """Parse a ``value`` column of JSON texts; columns named in ``keep`` are carried along.
 
     A record that fits the schema is parsed once. Only one that does not goes
     through the lenient reading: numbers, dates and booleans in quotes, empty
@@ -67,7 +66,7 @@ def parse_json_lines(
     reason = F.when(~ok & broken, "malformed").when(~ok & misfits, "bad value")
     if not ignore_unknown_values:
         reason = reason.when(F.col("__u"), "unknown field")
-    return _judged(frame, schema, columns, reason, F.col("value"))
+    return _judged(frame, schema, columns, reason, F.col("value"), keep)
 
 
 def parse_csv(
@@ -131,6 +130,26 @@ def parse_csv(
     return _judged(raw, schema, columns, reason, record)
 
 
+def parse_typed(rows: DataFrame, schema: T.StructType, ignore_unknown_values: bool = False) -> DataFrame:
+    """Bring typed rows, as of Parquet files, to a schema, and judge each one."""
+    extra = set(rows.columns) - set(schema.names)
+    if extra and not ignore_unknown_values:
+        raise BadRecordsError(f"columns not in the schema: {sorted(extra)}")
+    have = {f.name: f.dataType for f in rows.schema.fields}
+    columns, misfits = [], F.lit(False)
+    for field in schema.fields:
+        if field.name not in have:
+            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
+            continue
+        value = F.col(field.name)
+        if have[field.name].simpleString() != field.dataType.simpleString():
+            value = value.try_cast(field.dataType)
+            misfits = misfits | (F.col(field.name).isNotNull() & value.isNull())
+        columns.append(value.alias(field.name))
+    reason = F.when(misfits, "bad value")
+    return _judged(rows, schema, columns, reason, F.to_json(F.struct(*rows.columns)))
+
+
 def skip_first_rows(rows: DataFrame, n: int) -> DataFrame:
     """Drop the first n rows of every file.
 
@@ -184,12 +203,13 @@ def _judged(
     columns: Sequence[Column],
     reason: Column,
     record: Column,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     for name in required_columns(schema):
         empty = columns[schema.names.index(name)].isNull()
         reason = F.coalesce(reason, F.when(empty, f"no value for {name}"))
     text = F.when(reason.isNotNull(), record)
-    return frame.select(*columns, reason.alias("_reason"), text.alias("_record"))
+    return frame.select(*columns, reason.alias("_reason"), text.alias("_record"), *keep)
 
 
 def _lenient(

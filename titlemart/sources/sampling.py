@@ -18,14 +18,17 @@ def list_files(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def exact_sample(df: DataFrame, key: str, n: int, seed: str = "0") -> DataFrame:
-    """The n rows with the smallest hash of (key, seed); the key must be unique.
+    """The n rows with the smallest hash of (key, seed); the key should be unique.
+
+    Rows without key, or with the same one, share a hash; which of them fill the
+    sample up is then not fixed, but there are always exactly n rows.
 
     A count per hash range (65,536 of them at most, combined on the map side)
     shows in which range the n-th row falls. Lower ranges are taken without any sort;
     only the last range is sorted for its first rows. Raises if there are fewer
     than n rows.
     """
-    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(seed)))
+    digest = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(seed)))
     marked = df.withColumn("__digest", digest).withColumn(
         "__range", F.conv(F.substring("__digest", 1, 4), 16, 10).cast("int")
     )
