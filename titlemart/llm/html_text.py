@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+|[^>]*)>""", re.S)
+# every part is possessive and stops at the next "<", so a broken tag costs its own length once
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^<>]*+>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+|[^<>]*+)>""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
