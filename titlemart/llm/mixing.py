@@ -58,7 +58,7 @@ def weighted_fair_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most:
     sized = docs.select(row.alias("row"), "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     base = stored(sized, "sizes")
     targets = stored(source_targets(base, weights, most), "targets")
-    rounds = F.greatest(F.lit(1), F.ceil(F.col("target") / F.col("source_size")).cast("int"))
+    rounds = F.greatest(F.lit(1), F.ceil(F.try_divide("target", "source_size")).cast("int"))
     named = base.withColumnRenamed("source", "name")
     copies = (
         named.join(targets, F.col("name").eqNullSafe(F.col("source")))
