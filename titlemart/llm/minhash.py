@@ -13,9 +13,10 @@ from pyspark.sql import types as T
 from titlemart.llm import text as tx
 from titlemart.llm.tables import components, stored
 
-COORDINATES = 256  # a power of two
+COORDINATES = 256  # of the sketch that is banded; a power of two
 ROWS, BANDS = 5, 40
-NEAR = 5.0  # standard errors of the sketch estimate below the threshold that are still verified
+FINE = 1024  # coordinates, a byte each, by which members of a bucket are compared
+NEAR, ROUGHLY = 4.5, 6.0  # standard errors below the threshold at which the fine and the banded sketch drop a pair
 LANE = 512  # bucket members that one task compares with as many others
 
 PROFILE = T.StructType(
@@ -47,15 +48,15 @@ def shingle_sets(texts: list[bytes], k: int) -> Iterator[tuple[int, int, np.ndar
         yield first, end, np.concatenate(sets), sizes
 
 
-def sketches(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """One row of COORDINATES values per document; empty sets keep the largest value.
+def sketches(hashes: np.ndarray, bounds: np.ndarray, t: int = COORDINATES) -> np.ndarray:
+    """One row of t values per document; empty sets keep the largest value.
 
     In round r every element falls into a hashed bin with the value (r, hash); from
-    round COORDINATES on, all elements fall into one bin per round. A bin keeps its
-    minimum. Rounds end, document by document, once all bins are filled, so after
-    2 * COORDINATES rounds at the latest every coordinate is.
+    round t on, all elements fall into one bin per round. A bin keeps its minimum. Rounds
+    end, document by document, once all bins are filled, so after 2t rounds at the
+    latest every coordinate is.
     """
-    t, docs = COORDINATES, len(bounds) - 1
+    docs = len(bounds) - 1
     out = np.full(docs * t, np.iinfo(np.uint64).max, np.uint64)
     doc = tx.owner(bounds, len(hashes))
     for r in range(2 * t):
@@ -105,21 +106,22 @@ def profiles(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """Signature, sorted shingle hashes and 16-bit sketch of ``docs(doc_id, text)``."""
+    """Signature, sorted shingle hashes, banded and fine sketch (two and one byte a value) of ``docs(doc_id, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
             for first, end, hashes, bounds in shingle_sets(tx.texts_of(batch.column(1)), k):
                 s1, s2 = _signature(hashes, bounds)
-                short = (tx.mix(sketches(hashes, bounds)) & np.uint64(0xFFFF)).astype(np.uint16)
+                banded = tx.mix(sketches(hashes, bounds)[:, : ROWS * BANDS]).astype(np.uint16)
+                fine = tx.mix(sketches(hashes, bounds, FINE)).astype(np.uint8)
                 sets = [hashes[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, end - first), pa.array(s1), pa.array(s2), tx.binary_list(sets), tx.binary_list([r.tobytes() for r in short])],
-                    names=["node", "s1", "s2", "hashes", "sketch"],
+                    [ids.slice(first, end - first), pa.array(s1), pa.array(s2), *(tx.binary_list(x) for x in (sets, [r.tobytes() for r in banded], [r.tobytes() for r in fine]))],
+                    names=["node", "s1", "s2", "hashes", "banded", "fine"],
                 )
 
-    return docs.mapInArrow(run, "node long, s1 long, s2 long, hashes binary, sketch binary")
+    return docs.mapInArrow(run, "node long, s1 long, s2 long, hashes binary, banded binary, fine binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -155,25 +157,29 @@ def _near_pairs(lanes: DataFrame, percent: int) -> DataFrame:
     Each group is two lanes of at most about LANE rows, or one lane with itself. A pair
     that shares several buckets comes from the first of them only.
     """
-    want = percent / 100
-    least = (want - NEAR * (want * (1 - want) / COORDINATES) ** 0.5) * COORDINATES
+    want, used = percent / 100, ROWS * BANDS
+    least = (want - NEAR * (want * (1 - want) / FINE) ** 0.5) * FINE
+    roughly = (want - ROUGHLY * (want * (1 - want) / used) ** 0.5) * used
 
     def run(key, table):
         lane = np.asarray(table["lane"])
         left, right = (np.flatnonzero(lane == key[i].as_py()) for i in (1, 2))
         node, group, band = (np.asarray(table[c]) for c in ("node", "component", "band"))
         size = np.asarray(table["n"])
-        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(len(node), COORDINATES)
+        banded = np.frombuffer(b"".join(table["banded"].to_pylist()), np.uint16).reshape(len(node), used)
+        fine = np.frombuffer(b"".join(table["fine"].to_pylist()), np.uint8).reshape(len(node), FINE)
         out_a, out_b = [], []
         for i in left:
             js = right if key[1] != key[2] else right[node[right] > node[i]]
             js = js[(group[js] != group[i]) & (100 * np.minimum(size[js], size[i]) >= percent * np.maximum(size[js], size[i]))]
+            same = banded[js] == banded[i]
+            near = np.count_nonzero(same, axis=1) >= roughly
+            js, same = js[near], same[near]
             if not len(js):
                 continue
-            same = sketch[js] == sketch[i]
-            js, same = js[keep := same.sum(axis=1) >= least], same[keep]
-            shared = same[:, : ROWS * BANDS].reshape(len(js), BANDS, ROWS).all(axis=2)
-            js = js[shared.argmax(axis=1) == band[i]] if len(js) else js
+            shared = same.reshape(len(js), BANDS, ROWS).all(axis=2)
+            js = js[shared.argmax(axis=1) == band[i]]
+            js = js[np.count_nonzero(fine[js] == fine[i], axis=1) >= least]
             out_a.append(np.minimum(node[js], node[i]))
             out_b.append(np.maximum(node[js], node[i]))
         none = [np.zeros(0, np.int64)]
@@ -194,9 +200,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     them once in 8 million, and more alike pairs less often. Then
     1. in each bucket, all members are verified against the most central one (whose
        buckets are largest in sum), which joins groups of copies with few pairs;
-    2. members of a bucket that are still in different components are compared by their
-       sketches, in lanes of 512, and those within five standard errors of the threshold
-       are verified on their full sets. No pair of a bucket goes unexamined.
+    2. members of a bucket that are still in different components are compared by
+       finer sketches (1024 coordinates), in lanes of 512, and those less than 4.5 standard
+       errors below the threshold are verified on their full sets. No pair of a bucket goes
+       unexamined; one at the threshold is dropped here three times in a million.
 
     NULL text and texts without words have an empty set and no links. Rows without
     ``doc_id`` are returned with their size, without component, and kept. Rows that repeat a
@@ -230,11 +237,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     # what the stars left apart
     placed = shared.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
     apart = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    rest = placed.join(apart, "key").join(sets.select("node", "sketch"), "node")
+    rest = placed.join(apart, "key").join(sets.select("node", "banded", "fine"), "node")
     n_lanes = F.ceil(F.col("size") / LANE).cast("int")
     lane = F.pmod(F.xxhash64("node"), n_lanes).cast("int")
     lanes = rest.withColumn("n_lanes", n_lanes).withColumn("lane", lane).withColumn("other", F.explode(F.expr("sequence(0, n_lanes - 1)")))
-    lanes = lanes.select("key", "band", "node", "n", "component", "sketch", "lane", F.least("lane", "other").alias("lane_a"), F.greatest("lane", "other").alias("lane_b"))
+    lanes = lanes.select("key", "band", "node", "n", "component", "banded", "fine", "lane", F.least("lane", "other").alias("lane_a"), F.greatest("lane", "other").alias("lane_b"))
     near = stored(_near_pairs(lanes, percent), "near")
     more = stored(_verified(near, sets, percent), "more-links")
     final = components(links.union(more))
