@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlemart.llm import decontaminate, exact_dedup, minhash, mixing, quality
-from titlemart.llm.tables import read_table, reachable, stored
+from titlemart.llm.tables import reachable, read_table, stored
+from titlemart.session import delete_folder, scratch_scope, shared_path
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -73,9 +74,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is stored before the next one reads it."""
-    docs = read_table(spark, sf_dir)
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = stored(docs, f"stage-{i + 1}")
-    return docs
+    docs, kept = read_table(spark, sf_dir), None
+    for name, stage in STAGES[:-1]:
+        before, kept = kept, shared_path(spark, name.replace(" ", "-"))
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(kept)
+        docs = spark.read.parquet(kept)
+        if before:
+            delete_folder(spark, before)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titlemart.llm import text as tx
-from titlemart.llm.tables import stored
+from titlemart.llm.tables import settled, stored
 
 TILE = 5  # words of the shortest tile, which is also the seed
 COVER = 0.5  # share of a test item's words that tiles must cover
@@ -175,6 +175,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = TILE, cover: fl
     on only if its seeds could reach that share at all. NULL and empty texts, items of under ``k``
     words and rows without id give no pair; of rows that repeat a ``doc_id`` the best match counts.
     """
+    return settled(docs.sparkSession, "contaminated", lambda: _contaminated(docs, benchmark, k, cover))
+
+
+def _contaminated(docs: DataFrame, benchmark: DataFrame, k: int, cover: float) -> DataFrame:
     items = stored(item_grams(benchmark, k), "items")
     seeds = items.select("item_id", "item_words", F.explode("grams").alias("gram"))
     hits = stored(seed_hits(docs, stored(seeds.select("gram").distinct(), "seeds"), k).withColumn("row", F.monotonically_increasing_id()), "hits")

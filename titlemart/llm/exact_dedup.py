@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlemart.llm.tables import WHITE_RUN, stored
+from titlemart.llm.tables import WHITE_RUN, settled, stored
 
 BLOCK_ROWS = 100_000
 
@@ -103,6 +103,10 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     without ``doc_id`` count in their group, are never kept before one with an id, and
     are kept (``keep_id`` NULL) only if no row of the group has an id.
     """
+    return settled(docs.sparkSession, "exact", lambda: _exact_duplicates(docs))
+
+
+def _exact_duplicates(docs: DataFrame) -> DataFrame:
     norm = F.regexp_replace(F.coalesce("text", F.lit("")), WHITE_RUN, " ")
     table = docs.select("doc_id", norm.alias("norm"))
     spread = F.monotonically_increasing_id()
@@ -112,7 +116,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         "fingerprints",
     )
     rows = marked.select("block", "h")
-    owners = _owners(docs.sparkSession)
+    # an owner holds about a million fingerprints at most
+    owners = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), marked.count() // 1_000_000)
     codes = stored(sort_and_code(rows, owners), "codes")
     suspects = stored(apply_bitmaps(rows, answer_bitmaps(codes, owners)).distinct(), "suspects")
     # byte verification: a group is a text, and its smallest id stays
@@ -135,8 +140,3 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         F.col("doc_id").eqNullSafe(keep).alias("kept"),
         sha,
     )
-
-
-def _owners(spark) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-

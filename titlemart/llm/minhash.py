@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from titlemart.llm import text as tx
-from titlemart.llm.tables import components, stored
+from titlemart.llm.tables import components, settled, stored
 
 COORDINATES = 256  # of the sketch that is banded; a power of two
 ROWS, BANDS = 5, 40
@@ -209,6 +209,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     ``doc_id`` are returned with their size, without component, and kept. Rows that repeat a
     ``doc_id`` with another text share its node, which has the links of each of its texts.
     """
+    return settled(docs.sparkSession, "near-duplicates", lambda: _near_duplicates(docs, k, percent))
+
+
+def _near_duplicates(docs: DataFrame, k: int, percent: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     base = stored(profiles(docs, k), "profiles")
     leaders = base.where("n > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"))

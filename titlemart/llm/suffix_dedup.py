@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titlemart.llm import text as tx
-from titlemart.llm.tables import stored
+from titlemart.llm.tables import settled, stored
 
 GRAM = 100  # bytes whose hash chooses the sampled suffixes
 SYMBOL = 8  # bytes that multikey quicksort compares at a time
@@ -347,4 +347,5 @@ def remove_repeated_strings(docs: DataFrame, span: int = 400) -> DataFrame:
     found in one of them is cut from each of them.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return cut_bytes(docs.join(repeated_strings(docs, span), "doc_id", "left"), span)
+    runs = settled(docs.sparkSession, "runs", lambda: repeated_strings(docs, span))
+    return cut_bytes(docs.join(runs, "doc_id", "left"), span)

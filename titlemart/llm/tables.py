@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlemart.session import write_shared
+from titlemart.session import scratch_scope, shared_path, write_shared
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -21,6 +22,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return write_shared(df, label)
 
 
+def settled(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` makes, as a table in the shared folder; the tables it stored on the way go."""
+    path = shared_path(spark, label)
+    with scratch_scope(spark):
+        made = build()
+        made.write.parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
 def reachable(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package where it lies (a cluster without it there gets --py-files).
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titlemart.llm import text as tx
-from titlemart.llm.tables import stored
+from titlemart.llm.tables import settled, stored
 
 GRAM = 10  # words of a minimiser
 HOT_STRINGS = 1000  # different packed strings of a bucket above which they are cut into pieces
@@ -249,4 +249,5 @@ def remove_repeated_windows(docs: DataFrame, span: int = 50) -> DataFrame:
     in one of them is cut from each of them that has as many words.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return cut_words(docs.join(repeated_windows(docs, span), "doc_id", "left"), span)
+    runs = settled(docs.sparkSession, "runs", lambda: repeated_windows(docs, span))
+    return cut_words(docs.join(runs, "doc_id", "left"), span)
