@@ -83,3 +83,10 @@ def test_cells_and_parameters(spark):
     assert for_each_parameter_set(ids(spark, 1, 2), sets, ["id"]).first().label == "s"
     days = spark.sql("SELECT date'2016-01-02' AS d UNION ALL SELECT date'2018-12-31'")
     assert sorted(r[0] for r in days.select(iso_year(F.col("d"))).collect()) == [2015, 2019]
+
+
+def test_interval_days_reach_the_scan(spark):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    rows = interval_ratios(events, {"count(*)": 2.0}, "2024-01-15", "ts")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(And(GreaterThanOrEqual(ts,2024-01-15T00:00),LessThan(ts,2024-01-16T00:00))" in plan
