@@ -152,6 +152,27 @@ def test_main_text(source):
     assert html_text.main_text(source) == PAGES[source]
 
 
+STORY = "The river rose again on Monday and the town moved its market to the hill, as it does in wet years. " * 3
+WRAPPERS = ["has-sidebar", "content-sidebar-wrap", "elementor-widget", "side-by-side", "comments-open", "post category-social", "tag-legal post", "widget"]
+
+
+@pytest.mark.parametrize("tag", ["div", "article"])
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_names_are_hints(tag, name):
+    """An article with an h2 title is not dropped for what its wrapper is called."""
+    page = f'<body><nav><a href=1>Home</a></nav><div class="ad">Buy soap.</div><{tag} class="{name}"><h2>Floods</h2><p>{STORY}</p><p>{STORY}</p></{tag}></body>'
+    assert html_text.main_text(page) == "\n".join(["Floods", STORY.strip(), STORY.strip()])
+    inner = f'<body><div class="{name}"><article><h2>Floods</h2><p>{STORY}</p></article></div><div class="main-nav">Home</div></body>'
+    assert html_text.main_text(inner) == f"Floods\n{STORY.strip()}"
+    span = f'<body><article><h2>Floods</h2><p><span class="{name}">{STORY}</span></p></article></body>'
+    assert html_text.main_text(span) == f"Floods\n{STORY.strip()}"
+
+
+def test_discussion_longer_than_article():
+    thread = f'<div id="comments"><ol><li><article class="comment-body"><p>{STORY * 9}</p></article></li></ol></div>'
+    assert html_text.main_text(f"<body><article><h2>Floods</h2><p>{STORY}</p></article>{thread}</body>") == f"Floods\n{STORY.strip()}"
+
+
 def test_given_pages(shared):
     """The given pages have one template, so their articles can be cut out by hand."""
     import html

@@ -25,12 +25,19 @@ SELF_CLOSING = {
     "tr": ({"tr", "td", "th"}, {"table", "thead", "tbody", "tfoot"}), "td": ({"td", "th"}, {"tr"}), "th": ({"td", "th"}, {"tr"}),
     "option": ({"option"}, {"select"}),
 }
-NOT_TEXT_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscri\w+|"
+# a name counts if all parts of one whole token are boilerplate words, apart from words of place and form
+NOT_TEXT_NAME = re.compile(
+    r"ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscri\w+|"
     r"sidebar|side|rail|widgets?|menu|nav\w*|breadcrumbs?|pagination|pager|toolbar|masthead|header|footer|copyright|legal|"
-    r"comments?|replies|respond|disqus|discussion|share|sharing|social|related|recommend\w*|search|login|signup)(?:$|[\s_-])",
+    r"share|sharing|social|related|recommend\w*|search|login|signup",
     re.I,
 )
+DISCUSSION_NAME = re.compile(r"comments?|replies|respond|disqus|discussion", re.I)
+FORM_NAME = re.compile(r"site|main|global|top|bottom|left|right|bar|box|links?|buttons?|icons?|list|form|body|item|\d+", re.I)
+PART = re.compile(r"[_-]+")
+LARGE_SHARE = 0.5  # of the page's unlinked text: what a name cannot drop
+ALL_BUT = 0.98  # the share that a discussion needs beside a heading, main part or article
+NAMED, DISCUSSION = 1, 2
 NOT_TEXT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu"}
 
 
@@ -39,11 +46,12 @@ class Page:
 
     def __init__(self) -> None:
         self.tag, self.parent, self.dropped = ["#root"], [-1], [False]
-        self.named = [False]  # dropped by its class, id or role
+        self.named = [0]  # has a class, id or role of boilerplate, or of a discussion
         self.pieces: list[tuple[int, str, bool]] = []  # node, text, inside a link; an empty text ends a block
+        self.spans: list[list[int]] = []  # pieces of each phrase element with such a name
         self.tags, self.link_tags = [1], [0]
 
-    def open(self, tag: str, parent: int, dropped: bool, named: bool) -> int:
+    def open(self, tag: str, parent: int, dropped: bool, named: int) -> int:
         self.tag.append(tag)
         self.parent.append(parent)
         self.dropped.append(dropped)
@@ -58,35 +66,76 @@ def _no_text(tag: str, parents: list[int], page: Page) -> bool:
     return tag in NOT_TEXT or tag == "header" and not any(page.tag[p] in SCOPE for p in parents)
 
 
-def _named(tag: str, attributes: str) -> bool:
+def _named(tag: str, attributes: str, in_article: bool = False) -> int:
     if tag in ("html", "body", "main") or "=" not in attributes:
-        return False
+        return 0
     for name, *values in ATTRIBUTE.findall(attributes):
         value = next(filter(None, values), "")
-        if value.lower() in NOT_TEXT_ROLES if name.lower() == "role" else NOT_TEXT_NAMES.search(value):
-            return True
-    return False
+        if name.lower() == "role":
+            if value.lower() in NOT_TEXT_ROLES:
+                return NAMED
+            continue
+        for token in value.split():
+            parts = [p for p in PART.split(token) if p and not FORM_NAME.fullmatch(p)]
+            if not parts or not all(DISCUSSION_NAME.fullmatch(p) or NOT_TEXT_NAME.fullmatch(p) for p in parts):
+                continue
+            if DISCUSSION_NAME.fullmatch(parts[0]):
+                return DISCUSSION
+            if tag != "article" and not (in_article and parts[0].lower() == "header"):
+                return NAMED
+    return 0
 
 
 def _settle(page: Page) -> None:
-    """Drop what lies in dropped elements; a name does not drop what holds a page's heading or main part."""
+    """Drop what lies in dropped elements, and named ones where nothing speaks for them.
+
+    A name is a hint. It does not drop an element that holds a heading, a main part or an
+    article (unless that is named itself), or over half of the page's unlinked text and four times what
+    articles elsewhere hold. A discussion may be longer than the article, so beside such an element
+    it must be all but the whole text.
+    """
     n = len(page.tag)
-    heading = [tag in ("h1", "main") and not page.dropped[i] for i, tag in enumerate(page.tag)]
+    off, own, holds = list(page.dropped), [0] * n, [0] * n
+    for i in range(1, n):
+        off[i] = off[i] or off[page.parent[i]]
+    for node, text, linked in page.pieces:
+        if not linked and not off[node]:
+            own[node] += len(text.strip())
+    for i, tag in enumerate(page.tag):
+        holds[i] = int(not off[i] and (tag in ("h1", "main") or tag == "article" and not page.named[i]))
+    size = list(own)
     for i in range(n - 1, 0, -1):
-        heading[page.parent[i]] |= heading[i]
+        size[page.parent[i]] += size[i]
+        holds[page.parent[i]] += holds[i]
+    around = [0] * n  # outermost article around a node
     for i in range(1, n):
-        page.dropped[i] = page.dropped[i] or page.dropped[page.parent[i]] or page.named[i] and not heading[i]
+        around[i] = around[page.parent[i]] or (i if page.tag[i] == "article" and holds[i] else 0)
+    articles = sum(size[i] for i in range(1, n) if around[i] == i)
+    for i in range(1, n):
+        if page.named[i] == DISCUSSION:
+            large = size[i] > (ALL_BUT if holds[0] else LARGE_SHARE) * size[0]
+        else:
+            large = size[i] > LARGE_SHARE * size[0] and size[i] >= 4 * (articles - (size[around[i]] if around[i] else 0))
+        page.dropped[i] = page.dropped[i] or page.dropped[page.parent[i]] or bool(page.named[i]) and not (holds[i] or large)
+    gone = set()
+    for span in page.spans:
+        if sum(len(page.pieces[k][1].strip()) for k in span if not page.pieces[k][2]) <= LARGE_SHARE * size[0]:
+            gone.update(span)
+    if gone:
+        page.pieces = [p for k, p in enumerate(page.pieces) if k not in gone]
 
 
 def parse(source: str) -> Page:
     page, stack, links, at = Page(), [0], 0, 0
-    skipped: list[str] = []  # open phrase elements whose content is no text
+    skipped: list[str] = []  # open phrase elements whose name says that they hold no text
     lowered = None
     end = len(source)
     while at < end:
         match = TOKEN.search(source, at)
         text = source[at : match.start() if match else end]
-        if text and not skipped:
+        if text:
+            if skipped:
+                page.spans[-1].append(len(page.pieces))
             page.pieces.append((stack[-1], text, links > 0))
         if not match:
             break
@@ -115,6 +164,7 @@ def parse(source: str) -> Page:
                     skipped.pop() if closing else skipped.append(tag)
             elif not closing and _named(tag, attributes):
                 skipped.append(tag)
+                page.spans.append([])
         elif closing:
             links, skipped = 0, []
             for depth in range(len(stack) - 1, 0, -1):
@@ -134,7 +184,8 @@ def parse(source: str) -> Page:
                     if page.tag[stack[depth]] in ends:
                         del stack[depth:]
                         break
-            stack.append(page.open(tag, stack[-1], _no_text(tag, stack, page), _named(tag, attributes)))
+            named = _named(tag, attributes, any(page.tag[p] in SCOPE for p in stack))
+            stack.append(page.open(tag, stack[-1], _no_text(tag, stack, page), named))
     _settle(page)
     return page
 
@@ -153,7 +204,7 @@ def main_text(source: str) -> str:
     """The article of a page, one line per block; empty if there is none.
 
     Block elements are the nodes; phrase markup belongs to its block. Elements that hold
-    no article by their tag, class, id or role are left out first. Then every node gets its composite
+    no article by their tag, class, id or role are left out first (a name is a hint: see ``_settle``). Then every node gets its composite
     density, the node whose children's densities sum highest is chosen, and the lowest
     density on its way up to the body is the threshold: neighbours on that way that
     reach it belong to the article too, and parts of it that are below it and mostly
