@@ -173,6 +173,20 @@ def test_discussion_longer_than_article():
     assert html_text.main_text(f"<body><article><h2>Floods</h2><p>{STORY}</p></article>{thread}</body>") == f"Floods\n{STORY.strip()}"
 
 
+def test_links_inside_an_article():
+    """Link paragraphs, items, cells and single links are text; a row of links in a div is not."""
+    long = "A report of three hundred pages on the floods of the last century " * 4
+    page = f"""<body><article><h2>Floods</h2><p>{STORY}</p><p><a href=1>Read the full report of the commission</a></p>
+    <p><a href=2>{long}</a></p><div><a href=3>One source</a></div><div class="refs"><ul><li><a href=4>First reference</a></li><li><a href=5>Second</a></ul></div>
+    <table><tr><td><a href=6>Table of levels</a></table><div><a href=7>Tweet</a> | <a href=8>Mail</a> | <a href=9>Print</a></div>
+    <blockquote><div><a href=10>Quoted here</a> <a href=11>and there</a></div></blockquote>
+    <div>See <a href=12>the map of the lower town</a> with <a href=13>the list of streets</a> for the rest.</div></article></body>"""
+    assert html_text.main_text(page).split("\n") == [
+        "Floods", STORY.strip(), "Read the full report of the commission", long.strip(), "One source", "First reference", "Second", "Table of levels",
+        "Quoted here and there", "See the map of the lower town with the list of streets for the rest.",
+    ]
+
+
 def test_given_pages(shared):
     """The given pages have one template, so their articles can be cut out by hand."""
     import html

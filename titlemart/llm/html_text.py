@@ -38,6 +38,9 @@ PART = re.compile(r"[_-]+")
 LARGE_SHARE = 0.5  # of the page's unlinked text: what a name cannot drop
 ALL_BUT = 0.98  # the share that a discussion needs beside a heading, main part or article
 NAMED, DISCUSSION = 1, 2
+# a container of one of these with text is not a mere row of links
+TEXT_TAGS = set("p li dt dd td th h1 h2 h3 h4 h5 h6 blockquote pre figcaption caption summary address".split())
+LINK_BLOCKS = {"div", "section", "header", "center"}
 NOT_TEXT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu"}
 
 
@@ -200,6 +203,11 @@ def _density(chars: int, tags: int, link_chars: int, link_tags: int, body_ratio:
     return chars / tags * math.log(max(spread, 1.0) + 1e-9) / base if base > 0 else 0.0
 
 
+def _row_of_links(chars: int, link_chars: int, link_tags: int) -> bool:
+    """Several links with no more than signs or a short label between them."""
+    return link_tags > 1 and 2 * link_chars > chars and chars - link_chars <= 4 * link_tags
+
+
 def main_text(source: str) -> str:
     """The article of a page, one line per block; empty if there is none.
 
@@ -207,8 +215,8 @@ def main_text(source: str) -> str:
     no article by their tag, class, id or role are left out first (a name is a hint: see ``_settle``). Then every node gets its composite
     density, the node whose children's densities sum highest is chosen, and the lowest
     density on its way up to the body is the threshold: neighbours on that way that
-    reach it belong to the article too, and parts of it that are below it and mostly
-    links do not. An article or main element around the choice, or with half of it, bounds it. Everything
+    reach it belong to the article too. A block inside that is below it and a mere row of links
+    does not; paragraphs, list items and cells of links do. An article or main element around the choice, or with half of it, bounds it. Everything
     else inside stays, short blocks too.
     """
     page = parse(source)
@@ -256,10 +264,16 @@ def main_text(source: str) -> str:
         for i in range(1, n):
             if page.parent[i] in inside and i not in inside and density[i] >= threshold and 2 * link_chars[i] < chars[i]:
                 chosen.add(i)
+    in_text = [False] * n
+    for i in range(1, n):
+        in_text[i] = in_text[page.parent[i]] or page.tag[i] in TEXT_TAGS
+    running = [page.tag[i] in TEXT_TAGS and chars[i] > 0 for i in range(n)]
+    for i in range(n - 1, 0, -1):
+        running[page.parent[i]] |= running[i]
     member = [False] * n
     for i in range(n):
         up = page.parent[i]
-        linky = density[i] < threshold and 2 * link_chars[i] > chars[i] > 0
+        linky = page.tag[i] in LINK_BLOCKS and not (running[i] or in_text[i]) and _row_of_links(chars[i], link_chars[i], link_tags[i]) and density[i] < threshold
         member[i] = not page.dropped[i] and (i in chosen or up >= 0 and member[up] and not linky)
     direct = set(path) if bound is None else set()
     out, block = [], []
