@@ -187,6 +187,37 @@ def test_links_inside_an_article():
     ]
 
 
+def _paragraphs(name, n):
+    return [f"{name} {i}. {STORY.strip()}" for i in range(n)]
+
+
+def _html(paragraphs):
+    return "".join(f"<p>{p}</p>" for p in paragraphs)
+
+
+SPLIT = {
+    "two articles": "<div><article>{a}</article><article>{b}</article></div>",
+    "three levels": "<div><div><article>{a}</article></div><div><article>{b}</article></div></div>",
+    "after the article": "<div><article>{a}</article>{b}</div>",
+    "a section beside": "<article>{a}</article><section>{b}</section>",
+    "a part outside main": "<main>{a}</main><div>{b}</div>",
+    "no tags": "<div><div>{a}</div><div>{b}</div></div>",
+    "no wrapper": "{a}{b}",
+}
+
+
+@pytest.mark.parametrize("name", SPLIT)
+@pytest.mark.parametrize("sizes", [(6, 5), (5, 6), (6, 2), (4, 4)])
+def test_split_articles(name, sizes):
+    """A story that goes on outside its first article element, or has none, is whole."""
+    a, b = (_paragraphs(x, n) for x, n in zip("AB", sizes))
+    links = "".join(f"<li><a href={i}>Section {i}</a></li>" for i in range(9))
+    page = f"<body><nav>{links}</nav>{SPLIT[name].format(a=_html(a), b=_html(b))}<div><ul>{links}</ul></div><footer>Imprint</footer></body>"
+    got = html_text.main_text(page).split("\n")
+    assert [x for x in got if not x.startswith("Section")] == a + b
+    assert name == "no wrapper" or got == a + b
+
+
 def test_given_pages(shared):
     """The given pages have one template, so their articles can be cut out by hand."""
     import html

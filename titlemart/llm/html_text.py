@@ -216,8 +216,9 @@ def main_text(source: str) -> str:
     density, the node whose children's densities sum highest is chosen, and the lowest
     density on its way up to the body is the threshold: neighbours on that way that
     reach it belong to the article too. A block inside that is below it and a mere row of links
-    does not; paragraphs, list items and cells of links do. An article or main element around the choice, or with half of it, bounds it. Everything
-    else inside stays, short blocks too.
+    does not; paragraphs, list items and cells of links do. An article or main element around the choice is added whole, and so
+    are articles elsewhere of half its size; tags never take anything away. Everything else inside
+    stays, short blocks too.
     """
     page = parse(source)
     n = len(page.tag)
@@ -252,18 +253,13 @@ def main_text(source: str) -> str:
     while page.parent[path[-1]] >= 0 and page.tag[path[-1]] != "body":
         path.append(page.parent[path[-1]])
     threshold = min(density[i] for i in path)
-    bound = next((i for i in path if page.tag[i] in SCOPE), None)
-    if bound is None or page.tag[bound] == "main":
-        articles = [i for i in range(1, n) if page.tag[i] == "article" and not page.dropped[i]]
-        most = max(articles, key=lambda i: (chars[i], -i), default=None)
-        if most is not None and 2 * chars[most] >= chars[best]:
-            bound = most
-    chosen = {bound if bound is not None else best}
-    if bound is None:
-        inside = set(path)
-        for i in range(1, n):
-            if page.parent[i] in inside and i not in inside and density[i] >= threshold and 2 * link_chars[i] < chars[i]:
-                chosen.add(i)
+    # an article or main element around the choice belongs to it whole; so does an article elsewhere of half its size
+    bound = next((i for i in path if page.tag[i] in SCOPE), best)
+    articles = [i for i in range(1, n) if page.tag[i] == "article" and not page.dropped[i] and 2 * chars[i] >= chars[best]]
+    chosen, inside = {best, bound, *articles}, set(path)
+    for i in range(1, n):
+        if page.parent[i] in inside and i not in inside and density[i] >= threshold and 2 * link_chars[i] < chars[i]:
+            chosen.add(i)
     in_text = [False] * n
     for i in range(1, n):
         in_text[i] = in_text[page.parent[i]] or page.tag[i] in TEXT_TAGS
@@ -275,11 +271,10 @@ def main_text(source: str) -> str:
         up = page.parent[i]
         linky = page.tag[i] in LINK_BLOCKS and not (running[i] or in_text[i]) and _row_of_links(chars[i], link_chars[i], link_tags[i]) and density[i] < threshold
         member[i] = not page.dropped[i] and (i in chosen or up >= 0 and member[up] and not linky)
-    direct = set(path) if bound is None else set()
     out, block = [], []
     for (node, _, _), text in zip(page.pieces, texts):
         if text:
-            if member[node] or node in direct and node != 0 and len(text.strip()) >= max(threshold, 1):
+            if member[node] or node in inside and node != 0 and len(text.strip()) >= max(threshold, 1):
                 block.append(text)
         elif block:
             out.append(" ".join("".join(block).split()))
