@@ -184,6 +184,23 @@ def test_repeated_strings(shared, corpus, monkeypatch, hot):
     assert sum(w[3] for w in want) > 40
 
 
+@pytest.mark.parametrize("hot", [1000, 2])
+def test_one_id_with_different_long_texts(shared, monkeypatch, hot):
+    """Repeats are cut from the row they are in, not from others with its id; a full copy of a row is cut like it."""
+    monkeypatch.setattr(window_dedup, "HOT_STRINGS", hot)
+    monkeypatch.setattr(suffix_dedup, "HOT_STRINGS", hot)
+    rng = random.Random(8)
+    new = lambda n: [f"x{rng.randrange(10**6)}" for _ in range(n)]
+    passage, other = new(60), new(50)
+    texts = [new(20) + passage, new(90) + passage + new(9), new(40), new(120), other + new(30) + passage, other]
+    rows = list(zip((1, 7, 7, 7, 8, 8, None), map(" ".join, [*texts, passage])))
+    rows += [rows[1], rows[5]]
+    got = rows_of(window_dedup.remove_repeated_windows(frame(shared, rows), 30), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert got == brute_windows(rows, 30)
+    got = rows_of(suffix_dedup.remove_repeated_strings(frame(shared, rows), 150), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == brute_strings(rows, 150)
+
+
 def test_deep_shallow_order():
     rng = random.Random(2)
     for _ in range(200):

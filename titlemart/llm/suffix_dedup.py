@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titlemart.llm import text as tx
-from titlemart.llm.tables import settled, stored
+from titlemart.llm.tables import ROW, settled, stored, with_row
 
 GRAM = 100  # bytes whose hash chooses the sampled suffixes
 SYMBOL = 8  # bytes that multikey quicksort compares at a time
 SHALLOW = 64  # depth at which blind tries take over
 HOT_STRINGS = 1000  # different strings of a bucket above which they are cut into pieces
 CHUNKS = (16, 1)  # windows of a piece, at the first cut and at the second
-STRINGS = "doc_id long, bucket long, before int, n int, lead long, whole long, bytes binary"
-NAMES = ["doc_id", "bucket", "before", "n", "lead", "whole", "bytes"]
+STRINGS = f"{ROW}, bucket long, before int, n int, lead long, whole long, bytes binary"
+NAMES = ["row", "bucket", "before", "n", "lead", "whole", "bytes"]
 
 
 # --- deep-shallow sorting -------------------------------------------------------------
@@ -174,7 +174,7 @@ def _runs(texts: list[bytes], span: int):
 
 
 def anchors(docs: DataFrame, span: int) -> DataFrame:
-    """Sampled suffixes by the hash of their first bytes: ``(doc_id, anchor, n)``."""
+    """Sampled suffixes by the hash of their first bytes: ``(row, anchor, n)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,14 +184,14 @@ def anchors(docs: DataFrame, span: int) -> DataFrame:
                 seen, counts = np.unique(np.stack([doc[own].astype(np.uint64), grams[at]]), axis=1, return_counts=True) if len(at) else (np.zeros((2, 0), np.uint64), np.zeros(0, int))
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(pa.array(first + seen[0].astype(np.int64))), pa.array(tx.signed(seen[1])), pa.array(counts.astype(np.int64))],
-                    names=["doc_id", "anchor", "n"],
+                    names=["row", "anchor", "n"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, anchor long, n long")
+    return docs.select("row", "text").mapInArrow(run, f"{ROW}, anchor long, n long")
 
 
 def packed(docs: DataFrame, span: int) -> DataFrame:
-    """Byte strings around the wanted anchors of ``docs(doc_id, text, wanted)``: runs of windows."""
+    """Byte strings around the wanted anchors of ``docs(row, text, wanted)``: runs of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,7 +213,7 @@ def packed(docs: DataFrame, span: int) -> DataFrame:
                     names=NAMES,
                 )
 
-    return docs.select("doc_id", "text", "wanted").mapInArrow(run, STRINGS)
+    return docs.select("row", "text", "wanted").mapInArrow(run, STRINGS)
 
 
 def repacked(strings: DataFrame, span: int, chunk: int) -> DataFrame:
@@ -233,7 +233,7 @@ def repacked(strings: DataFrame, span: int, chunk: int) -> DataFrame:
             keys = tx.mix(tx.span_hash(sums, starts[row] + core, starts[row] + core_end) ^ place)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(pa.array(row)),
+                    batch.column("row").take(pa.array(row)),
                     pa.array(tx.signed(keys)),
                     pa.array((before[row] - step).astype(np.int32)),
                     pa.array(windows.astype(np.int32)),
@@ -299,7 +299,7 @@ def cut_bytes(docs: DataFrame, span: int) -> DataFrame:
 
 
 def repeated_strings(docs: DataFrame, span: int = 400) -> DataFrame:
-    """Runs of window starts of ``docs(doc_id, text)`` whose bytes start elsewhere too.
+    """Runs of window starts of ``docs(row, doc_id, text)`` whose bytes start elsewhere too.
 
     1. In every window of ``span`` bytes the gram of smallest hash is its anchor; only the
        suffixes at anchors are looked at, one in some 150 bytes. Counting their hashes
@@ -311,8 +311,8 @@ def repeated_strings(docs: DataFrame, span: int = 400) -> DataFrame:
     """
     marks = stored(anchors(docs.where("doc_id is not null"), span), "anchors")
     often = marks.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
-    lists = stored(marks.join(often, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("wanted")), "wanted")
-    strings = stored(packed(docs.join(lists, "doc_id"), span), "packed")
+    lists = stored(marks.join(often, "anchor").groupBy("row").agg(F.collect_set("anchor").alias("wanted")), "wanted")
+    strings = stored(packed(docs.join(lists, "row"), span), "packed")
     parts = []
     for chunk in CHUNKS:
         shapes = strings.select("bucket", "whole", "before", "n").distinct()
@@ -324,15 +324,15 @@ def repeated_strings(docs: DataFrame, span: int = 400) -> DataFrame:
     found = _resolved(strings, span)
     for part in parts:
         found = found.union(part)
-    return found.groupBy("doc_id").agg(F.collect_list("run").alias("runs"))
+    return found.groupBy("row").agg(F.collect_set("run").alias("runs"))
 
 
 def _resolved(strings: DataFrame, span: int) -> DataFrame:
     same = ["bucket", "before", "n", "whole"]
     once = strings.groupBy(*same).agg(F.count("*").alias("copies"), F.first("bytes").alias("bytes"))
-    placed = strings.select("doc_id", "lead", *same).join(sorted_suffixes(once, span).where(F.size("ends") > 0), same)
+    placed = strings.select("row", "lead", *same).join(sorted_suffixes(once, span).where(F.size("ends") > 0), same)
     return placed.select(
-        "doc_id",
+        "row",
         F.explode(F.expr("transform(sequence(0, size(ends) - 1, 2), i -> struct(lead + ends[i] as `from`, lead + ends[i + 1] as `to`))")).alias("run"),
     )
 
@@ -343,9 +343,9 @@ def remove_repeated_strings(docs: DataFrame, span: int = 400) -> DataFrame:
     Strings are judged on the input; overlaps and repeats within a document count, and no
     string crosses documents. Returns ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept``
     (``kept`` the remaining bytes). NULL text is empty; rows without ``doc_id`` stay whole and
-    are not compared. Rows that repeat a ``doc_id`` are compared like others, and what is
-    found in one of them is cut from each of them.
+    are not compared. Rows that repeat a ``doc_id`` are compared and cut like others.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = with_row(docs)
     runs = settled(docs.sparkSession, "runs", lambda: repeated_strings(docs, span))
-    return cut_bytes(docs.join(runs, "doc_id", "left"), span)
+    return cut_bytes(docs.join(runs, "row", "left"), span)

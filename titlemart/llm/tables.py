@@ -15,6 +15,7 @@ ROOT = str(Path(__file__).resolve().parents[2])
 
 WHITE_RUN = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"
+ROW = "row struct<doc_id: bigint, version: bigint>"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -31,6 +32,14 @@ def settled(spark: SparkSession, label: str, build: Callable[[], DataFrame]) ->
     return spark.read.schema(made.schema).parquet(path)
 
 
+def with_row(docs: DataFrame) -> DataFrame:
+    """``docs(doc_id, text)`` with ``row``: the id and a hash of the text, the same each time it is read.
+
+    Rows with one id and different texts differ in it; fully repeated rows share it and what is found in them.
+    """
+    return docs.withColumn("row", F.struct("doc_id", F.xxhash64("text").alias("version")))
+
+
 def reachable(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package where it lies (a cluster without it there gets --py-files).
 

@@ -11,14 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titlemart.llm import text as tx
-from titlemart.llm.tables import settled, stored
+from titlemart.llm.tables import ROW, settled, stored, with_row
 
 GRAM = 10  # words of a minimiser
 HOT_STRINGS = 1000  # different packed strings of a bucket above which they are cut into pieces
 CHUNKS = (8, 1)  # windows of a piece, at the first cut and at the second
 
-
-STRINGS = "doc_id long, bucket long, before int, n int, lead long, whole long, words binary"
+STRINGS = f"{ROW}, bucket long, before int, n int, lead long, whole long, words binary"
 
 
 def _runs(texts: list[bytes], span: int):
@@ -34,20 +33,20 @@ def _runs(texts: list[bytes], span: int):
 
 
 def anchors(docs: DataFrame, span: int) -> DataFrame:
-    """Minimisers of every document: ``(doc_id, anchor)``, each once."""
+    """Minimisers of every row: ``(row, anchor)``, each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
             for first, _, _, _, _, _, _, grams, doc, anchor, _, _ in _runs(tx.texts_of(batch.column(1)), span):
                 seen = np.unique(np.stack([doc.astype(np.uint64), grams[anchor]]), axis=1) if len(doc) else np.zeros((2, 0), np.uint64)
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(first + seen[0].astype(np.int64))), pa.array(tx.signed(seen[1]))], names=["doc_id", "anchor"])
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(first + seen[0].astype(np.int64))), pa.array(tx.signed(seen[1]))], names=["row", "anchor"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, anchor long")
+    return docs.select("row", "text").mapInArrow(run, f"{ROW}, anchor long")
 
 
 def packed(docs: DataFrame, span: int) -> DataFrame:
-    """Packed strings around the wanted minimisers of ``docs(doc_id, text, wanted)``.
+    """Packed strings around the wanted minimisers of ``docs(row, text, wanted)``.
 
     A string holds a run of windows, its words joined by one space: ``bucket`` is the
     minimiser's hash, ``before`` the words of the string in front of it, ``lead`` the place
@@ -73,10 +72,10 @@ def packed(docs: DataFrame, span: int) -> DataFrame:
                         pa.array(tx.signed(whole)),
                         tx.binary_list(strings),
                     ],
-                    names=["doc_id", "bucket", "before", "n", "lead", "whole", "words"],
+                    names=["row", "bucket", "before", "n", "lead", "whole", "words"],
                 )
 
-    return docs.select("doc_id", "text", "wanted").mapInArrow(run, STRINGS)
+    return docs.select("row", "text", "wanted").mapInArrow(run, STRINGS)
 
 
 def repacked(strings: DataFrame, span: int, chunk: int) -> DataFrame:
@@ -97,7 +96,7 @@ def repacked(strings: DataFrame, span: int, chunk: int) -> DataFrame:
             raw = data.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(pa.array(row)),
+                    batch.column("row").take(pa.array(row)),
                     pa.array(tx.signed(keys)),
                     pa.array((before[row] - step).astype(np.int32)),
                     pa.array(windows.astype(np.int32)),
@@ -105,10 +104,10 @@ def repacked(strings: DataFrame, span: int, chunk: int) -> DataFrame:
                     pa.array(tx.signed(tx.span_hash(sums, at, end))),
                     tx.binary_list([raw[s:e] for s, e in zip(begin[at], close[end - 1])]),
                 ],
-                names=["doc_id", "bucket", "before", "n", "lead", "whole", "words"],
+                names=["row", "bucket", "before", "n", "lead", "whole", "words"],
             )
 
-    return strings.select("doc_id", "bucket", "before", "n", "lead", "whole", "words").mapInArrow(run, STRINGS)
+    return strings.select("row", "bucket", "before", "n", "lead", "whole", "words").mapInArrow(run, STRINGS)
 
 
 def sorted_windows(strings: DataFrame, span: int) -> DataFrame:
@@ -194,7 +193,7 @@ def cut_words(docs: DataFrame, span: int) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, span: int = 50) -> DataFrame:
-    """Window runs of ``docs(doc_id, text)`` whose words begin in a document with a smaller id too.
+    """Window runs of ``docs(row, doc_id, text)`` whose words begin in a document with a smaller id too.
 
     1. The minimiser of a window (smallest hash of its 10-word grams) stands for it:
        ``(minimiser, document)`` rows say which minimisers occur in several documents.
@@ -206,12 +205,12 @@ def repeated_windows(docs: DataFrame, span: int = 50) -> DataFrame:
     and dealt by what the windows of a piece have in common. Equal pieces are combined
     on the map side and different ones spread. Results are the same.
 
-    Returns ``doc_id, runs``, runs being ``(from, to)`` window starts, end exclusive.
+    Returns ``row, runs``, runs being ``(from, to)`` window starts, end exclusive.
     """
     marks = stored(anchors(docs.where("doc_id is not null"), span), "anchors")
-    common = marks.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
-    lists = stored(marks.join(common, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("wanted")), "wanted")
-    strings = stored(packed(docs.join(lists, "doc_id"), span), "packed")
+    common = marks.groupBy("anchor").agg(F.min("row.doc_id").alias("lo"), F.max("row.doc_id").alias("hi")).where("lo < hi").select("anchor")
+    lists = stored(marks.join(common, "anchor").groupBy("row").agg(F.collect_set("anchor").alias("wanted")), "wanted")
+    strings = stored(packed(docs.join(lists, "row"), span), "packed")
     parts = []
     for chunk in CHUNKS:
         shapes = strings.select("bucket", "whole", "before", "n").distinct()
@@ -223,18 +222,18 @@ def repeated_windows(docs: DataFrame, span: int = 50) -> DataFrame:
     found = _resolved(strings, span)
     for part in parts:
         found = found.union(part)
-    return found.groupBy("doc_id").agg(F.collect_list("run").alias("runs"))
+    return found.groupBy("row").agg(F.collect_set("run").alias("runs"))
 
 
 def _resolved(strings: DataFrame, span: int) -> DataFrame:
     same = ["bucket", "before", "n", "whole"]
-    once = strings.groupBy(*same).agg(F.min("doc_id").alias("doc_id"), F.first("words").alias("words"))
+    once = strings.groupBy(*same).agg(F.min("row.doc_id").alias("doc_id"), F.first("words").alias("words"))
     early = sorted_windows(once, span).withColumnRenamed("doc_id", "least")
-    placed = strings.select("doc_id", "lead", *same).join(early, same)
-    pairs = F.when(F.col("doc_id") > F.col("least"), F.array(F.lit(0), F.col("n"))).otherwise(F.col("early"))
-    turns = placed.select("doc_id", "lead", pairs.alias("ends")).where(F.size("ends") > 0)
+    placed = strings.select("row", "lead", *same).join(early, same)
+    pairs = F.when(F.col("row.doc_id") > F.col("least"), F.array(F.lit(0), F.col("n"))).otherwise(F.col("early"))
+    turns = placed.select("row", "lead", pairs.alias("ends")).where(F.size("ends") > 0)
     return turns.select(
-        "doc_id",
+        "row",
         F.explode(F.expr("transform(sequence(0, size(ends) - 1, 2), i -> struct(lead + ends[i] as `from`, lead + ends[i + 1] as `to`))")).alias("run"),
     )
 
@@ -245,9 +244,10 @@ def remove_repeated_windows(docs: DataFrame, span: int = 50) -> DataFrame:
     A word goes if a window of ``span`` words that covers it also starts in a document
     with a smaller ``doc_id``; all windows are judged on the input. Returns ``doc_id, n_words,
     n_removed, kept_sha256, kept_text``. NULL text is empty; rows without ``doc_id`` stay
-    whole. Rows that repeat a ``doc_id`` are one document for the comparison: what is found
-    in one of them is cut from each of them that has as many words.
+    whole. Rows that repeat a ``doc_id`` are one document for the comparison, but each is cut
+    where its own words are repeated.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = with_row(docs)
     runs = settled(docs.sparkSession, "runs", lambda: repeated_windows(docs, span))
-    return cut_words(docs.join(runs, "doc_id", "left"), span)
+    return cut_words(docs.join(runs, "row", "left"), span)
