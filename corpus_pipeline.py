@@ -2,8 +2,9 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns the documents it keeps, with the
 columns of ``docs``; the last one returns the mix, a row per copy in stream order.
-Stages treat NULL text as empty. Documents without ``doc_id`` stay: nothing names them,
-so no stage can find them to be a copy of another.
+Stages treat NULL text as empty. Where ids do not name one row each (NULL, or repeated), rows are
+told apart by id and text, so decisions hold for the row they were made on: of copies, the one with
+the smallest id stays, a row without id only if none has one, and one of fully repeated rows.
 """
 
 from __future__ import annotations
@@ -16,9 +17,46 @@ from titlemart.llm.tables import reachable, read_table, stored
 from titlemart.session import delete_folder, scratch_scope, shared_path
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` whose id is not in ``ids(gone)``; columns and their order stay."""
-    return docs.join(ids, docs["doc_id"] == ids["gone"], "left_anti")
+def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``docs`` with ``key_``, and whether every id names one row.
+
+    The key is the id where it names one row, else a 64-bit hash of id and text, the same at each reading.
+    """
+    odd = stored(docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias("odd_")), "odd-ids")
+    id_ = F.col("doc_id").cast("long")
+    if odd.isEmpty():
+        return docs.withColumn("key_", id_), True
+    own = F.xxhash64(F.lit("row"), F.coalesce(id_.cast("string"), F.lit("none")), F.coalesce("text", F.lit("")))
+    marked = docs.join(odd.where("odd_ is not null"), docs["doc_id"] == F.col("odd_"), "left")
+    return marked.select(*docs.columns, F.when(id_.isNull() | F.col("odd_").isNotNull(), own).otherwise(id_).alias("key_")), False
+
+
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``docs`` whose key is not in ``keys(gone)``; columns and their order stay."""
+    return docs.join(keys, docs["key_"] == keys["gone"], "left_anti")
+
+
+def _one_of(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``docs`` with one row only for each key in ``repeated(key_)``."""
+    columns = docs.columns
+    lone = docs.join(repeated, "key_", "left_anti").select(*columns)
+    first = docs.join(repeated, "key_", "left_semi").groupBy("key_").agg(F.min(F.struct(*columns)).alias("row_"))
+    return lone.unionByName(first.select("row_.*"))
+
+
+def _deduplicated(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """One row of each group: smallest id first, NULL last, then smallest key.
+
+    ``docs`` have ``key_``; ``groups(key_, group_)`` has a row for every row of them that is in a group.
+    """
+    columns = [c for c in docs.columns if c != "key_"]
+    members = stored(groups.groupBy("key_", "group_").count(), "members")
+    named = members.join(docs.select("key_", "doc_id").distinct(), "key_")
+    least = named.groupBy("group_").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key_")).alias("least"))
+    keepers = stored(least.select(F.col("least.key_").alias("key_")), "keepers")
+    gone = members.select("key_").join(keepers, "key_", "left_anti").select(F.col("key_").alias("gone"))
+    repeated = stored(members.where("count > 1").join(keepers, "key_", "left_semi").select("key_"), "repeated")
+    return _one_of(_without(docs, stored(gone, "gone")), repeated).select(*columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,22 +69,29 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, the one with the smallest id."""
     reachable(spark)
-    found = exact_dedup.exact_duplicates(docs.select("doc_id", "text"))
-    return _without(docs, found.where("not kept").select(F.col("doc_id").alias("gone")))
+    keyed, plain = _keyed(docs)
+    found = exact_dedup.exact_duplicates(keyed.select(F.col("key_").alias("doc_id"), "text"))
+    if plain:
+        return _without(keyed, found.where("not kept").select(F.col("doc_id").alias("gone"))).select(*docs.columns)
+    return _deduplicated(keyed, found.where("group_size > 1").select(F.col("doc_id").alias("key_"), F.col("keep_id").alias("group_")))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-copies (five words, 0.8), the one with the smallest id."""
     reachable(spark)
-    found = minhash.near_duplicates(docs.select("doc_id", "text"), k=5, percent=80)
-    return _without(docs, found.where("not kept").select(F.col("doc_id").alias("gone")))
+    keyed, plain = _keyed(docs)
+    found = minhash.near_duplicates(keyed.select(F.col("key_").alias("doc_id"), "text"), k=5, percent=80)
+    if plain:
+        return _without(keyed, found.where("not kept").select(F.col("doc_id").alias("gone"))).select(*docs.columns)
+    return _deduplicated(keyed, found.where("n_shingles > 0").select(F.col("doc_id").alias("key_"), F.col("component_id").alias("group_")))
 
 
 def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that cover no benchmark item."""
     reachable(spark)
-    found = decontaminate.contaminated(docs.select("doc_id", "text"), read_table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.select(F.col("doc_id").alias("gone")).distinct())
+    keyed, plain = _keyed(docs)
+    found = decontaminate.contaminated(keyed.select(F.col("key_").alias("doc_id"), "text"), read_table(spark, sf_dir, "benchmark"))
+    return _without(keyed, found.select(F.col("doc_id").alias("gone")).distinct()).select(*docs.columns)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

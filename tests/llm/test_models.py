@@ -185,3 +185,39 @@ def test_pipeline_keeps_rows_without_id_and_survives_nothing(shared):
         for _, stage in stages:
             frame_ = stage(shared, frame_, SF).checkpoint()
         assert {r.doc_id for r in frame_.collect()} in ({None, 1}, set())
+
+
+def test_pipeline_decides_on_rows(shared):
+    """NULL ids, repeated rows and one id with two texts: copies, near copies and leaks go, the rest stays."""
+    rng = random.Random(12)
+    new = lambda n: " ".join(f"y{rng.randrange(10**6)}" for _ in range(n))
+    a, b, c, d, e, f, g = (new(80) for _ in range(7))
+    item = shared.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 100").first().text
+    rows = [
+        (None, a), (None, a), (4, a), (9, a),  # the copy with the smallest id stays
+        (None, b), (None, b + " end"), (None, b),  # one of those without id
+        (5, c), (5, c), (5, c + " end"),  # a fully repeated row, and a near copy with its id
+        (6, d), (6, e), (3, e),  # only one of the texts of id 6 is a copy
+        (None, f), (8, f + " end"),
+        (None, "before " + item), (7, item + " after"), (7, g),
+    ]
+    docs = shared.createDataFrame([(i, t, "en", "s", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.repartition(5).checkpoint()
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        out = stage(shared, docs, SF).checkpoint()
+        assert out.columns == docs.columns
+        kept[name], docs = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr), out
+    final = kept.popitem()[1]
+    b_kept = {t for i, t in final if i is None}
+    assert len(b_kept) == 1 and b_kept < {b, b + " end"}
+    c_kept = [t for i, t in final if i == 5]
+    assert len(c_kept) == 1 and c_kept[0] in (c, c + " end")
+    assert [x for x in final if x[0] not in (None, 5)] == sorted([(4, a), (3, e), (6, d), (8, f + " end"), (7, g)], key=repr)
+    exact = kept["exact dedup"]
+    assert sorted(exact, key=repr) == sorted([(4, a), (None, b), (None, b + " end"), (5, c), (5, c + " end"), (6, d), (3, e), *rows[13:]], key=repr)
+
+
+def test_near_stage_keeps_one_of_repeated_rows(shared):
+    docs = shared.createDataFrame([(1, "one two three four five six", "a"), (1, "one two three four five six", "b"), (None, " ", "c"), (None, " ", "d")], "doc_id long, text string, source string")
+    assert [r.source for r in corpus_pipeline.near_stage(shared, docs, SF).orderBy("source").collect()] == ["a", "c", "d"]
