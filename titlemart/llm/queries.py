@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlemart.llm import decontaminate, exact_dedup, html_text, language, minhash, mixing, quality, secrets, suffix_dedup, window_dedup
+from titlemart.llm import decontaminate, exact_dedup, hard_negatives, html_text, language, minhash, mixing, quality, secrets, suffix_dedup, window_dedup
 from titlemart.llm.tables import read_table
 
 
@@ -63,6 +63,13 @@ def op10_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.remove_repeated_windows(read_table(spark, sf_dir), span=50).drop("kept_text")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels are made noisy as the contract says: every seventh id has the next label."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    noisy = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(noisy, F.col("vec_id") % 50 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -73,7 +80,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_minhash, op3_secrets, op4_html_text, op5_source_mix, op6_quality,
-        op7_suffix_dedup, op8_exact_dedup, op9_language, op10_window_dedup, pipeline,
+        op7_suffix_dedup, op8_exact_dedup, op9_language, op10_window_dedup, op11_hard_negatives, pipeline,
     )
 }
 
@@ -87,4 +94,4 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM n WINDOW g AS (PARTITION BY norm)
 """
 
-ORACLES = {"op5_source_mix": mixing.TAKEN_SQL, "op8_exact_dedup": EXACT_SQL}
+ORACLES = {"op5_source_mix": mixing.TAKEN_SQL, "op8_exact_dedup": EXACT_SQL, "op11_hard_negatives": hard_negatives.NEGATIVES_SQL}
