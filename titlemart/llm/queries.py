@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlemart.llm import decontaminate, exact_dedup, hard_negatives, html_text, language, minhash, mixing, quality, secrets, suffix_dedup, window_dedup
+from titlemart.llm import decontaminate, exact_dedup, hard_negatives, html_text, language, minhash, mixing, quality, secrets, suffix_dedup, toxicity, window_dedup
 from titlemart.llm.tables import read_table
 
 
@@ -70,6 +70,13 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(noisy, F.col("vec_id") % 50 == 0)
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir)
+    lexicon = toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text"), lexicon)
+    return scored.select(F.col("row.doc_id").alias("doc_id"), quality.held_out("row.doc_id").alias("held_out"), "score", "predicted")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,7 +87,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_minhash, op3_secrets, op4_html_text, op5_source_mix, op6_quality,
-        op7_suffix_dedup, op8_exact_dedup, op9_language, op10_window_dedup, op11_hard_negatives, pipeline,
+        op7_suffix_dedup, op8_exact_dedup, op9_language, op10_window_dedup, op11_hard_negatives, op13_toxicity, pipeline,
     )
 }
 
