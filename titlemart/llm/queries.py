@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlemart.llm import decontaminate, exact_dedup, hard_negatives, html_text, language, minhash, mixing, quality, secrets, suffix_dedup, toxicity, window_dedup
+from titlemart.llm import decontaminate, exact_dedup, hard_negatives, html_text, language, lexical, minhash, mixing, quality, secrets, suffix_dedup, toxicity, window_dedup
 from titlemart.llm.tables import read_table
 
 
@@ -70,6 +70,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(noisy, F.col("vec_id") % 50 == 0)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(read_table(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir)
     lexicon = toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
@@ -87,7 +91,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_minhash, op3_secrets, op4_html_text, op5_source_mix, op6_quality,
-        op7_suffix_dedup, op8_exact_dedup, op9_language, op10_window_dedup, op11_hard_negatives, op13_toxicity, pipeline,
+        op7_suffix_dedup, op8_exact_dedup, op9_language, op10_window_dedup, op11_hard_negatives, op12_lexical_search, op13_toxicity, pipeline,
     )
 }
 
@@ -101,4 +105,4 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM n WINDOW g AS (PARTITION BY norm)
 """
 
-ORACLES = {"op5_source_mix": mixing.TAKEN_SQL, "op8_exact_dedup": EXACT_SQL, "op11_hard_negatives": hard_negatives.NEGATIVES_SQL}
+ORACLES = {"op5_source_mix": mixing.TAKEN_SQL, "op8_exact_dedup": EXACT_SQL, "op11_hard_negatives": hard_negatives.NEGATIVES_SQL, "op12_lexical_search": lexical.RANKED_SQL}
