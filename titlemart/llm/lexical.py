@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from titlemart.llm import text as tx
 from titlemart.llm.tables import settled, stored
 
-BLOCK_POSTINGS = 1_000_000  # of one stratum that are indexed together, about
+BLOCK_POSTINGS = 200_000  # of one stratum that are indexed together, about
 FIRST_BLOCKS = 4  # of highest bound that an item visits first
 SENT_TERMS = 4_000_000  # of all items that are sent to the tasks; beyond, they are joined by shuffle
 EXACT = 1 << 52  # scores up to this are summed as doubles
