@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from titlemart.plans.staging import star_table
 from titlemart.session import shared_path
-from titlemart.sinks import create_empty_table, read_table
+from titlemart.sinks import compact_table, create_empty_table, read_table
 from titlemart.sinks.export import TIME_FORMAT
 from titlemart.streaming import insert_stream, read_rejected
 
@@ -101,8 +101,20 @@ def rejected_rows(spark, sf_dir):
     )
 
 
+def compacted(spark, sf_dir):
+    """Many batches into days and clusters, merged on the way and once more at the end."""
+    source, table, checkpoint = (shared_path(spark, n) for n in ("incoming", "inserted", "progress"))
+    events = _events(spark, sf_dir)
+    events.select(_json(events.columns).alias("value")).repartition(8).write.text(source)
+    create_empty_table(spark, table, events.schema, partition_field="ts", cluster_fields=["user_id"])
+    insert_stream(spark, source, table, checkpoint, max_files_per_batch=2, compact_every=3).awaitTermination()
+    merged = compact_table(spark, table, least=1)
+    return read_table(spark, table).withColumn("merged_at_end", F.lit(merged))
+
+
 QUERIES = {
     "stream_insert": insert,
+    "stream_compacted": compacted,
     "stream_insert_skip_invalid": skip_invalid,
     "stream_insert_ignore_unknown": skip_invalid_ignore_unknown,
     "stream_rejected": rejected_rows,
@@ -115,6 +127,7 @@ _COLUMNS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 
 ORACLES = {
     "stream_insert": _COLUMNS,
+    "stream_compacted": "SELECT event_id, ts, user_id, event_type, value, props, 1 AS merged_at_end FROM events",
     "stream_insert_skip_invalid": f"{_COLUMNS} WHERE event_type NOT IN ('error', 'view')",
     "stream_insert_ignore_unknown": f"{_COLUMNS} WHERE event_type <> 'error'",
     "stream_insert_refused": f"{_COLUMNS} WHERE event_type <> 'error'",

@@ -33,6 +33,16 @@ def append_evolve(spark, sf_dir):
     return read_table(spark, path)
 
 
+def append_retried(spark, sf_dir):
+    """An append repeated under its load id adds nothing; under another it does."""
+    path = shared_path(spark, "table")
+    orders = _orders(spark, sf_dir)
+    write_table(orders, path)
+    for load_id in ("monday", "monday", "tuesday"):
+        write_table(orders.where("o_orderstatus = 'P'"), path, "WRITE_APPEND", load_id=load_id)
+    return read_table(spark, path).groupBy(*orders.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
 def write_empty(spark, sf_dir):
     path = shared_path(spark, "table")
     orders = _orders(spark, sf_dir)
@@ -139,6 +149,7 @@ def export_parquet(spark, sf_dir):
 QUERIES = {
     "truncate_from_itself": truncate_from_itself,
     "append_evolve": append_evolve,
+    "append_retried": append_retried,
     "write_empty": write_empty,
     "partition_overwrite": partition_overwrite,
     "partition_range": partition_range,
@@ -160,6 +171,7 @@ SELECT o_orderkey, o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate
     "append_evolve": f"""
 SELECT o_orderkey, o_orderstatus, CAST(NULL AS DOUBLE) AS o_totalprice, o_orderdate FROM orders
 UNION ALL {_ORDERS}""",
+    "append_retried": f"SELECT *, CASE o_orderstatus WHEN 'P' THEN 3 ELSE 1 END::BIGINT AS n FROM ({_ORDERS})",
     "write_empty": _ORDERS,
     "partition_overwrite": """
 SELECT event_id, ts,

@@ -1,5 +1,6 @@
 from titlemart.sinks.export import export_table
 from titlemart.sinks.tables import (
+    compact_table,
     copy_tables,
     create_empty_table,
     create_view,
@@ -10,6 +11,7 @@ from titlemart.sinks.tables import (
 )
 
 __all__ = [
+    "compact_table",
     "copy_tables",
     "create_empty_table",
     "create_view",

@@ -3,14 +3,18 @@
 A table is a folder. Its schema, with REQUIRED marks and layout, is kept in a
 small side file, so that neither an empty table nor a table with added columns
 needs its data files opened to know its columns. Rows inserted by streams lie in
-a folder inside it, one part per batch, and are read along with the others.
+a folder inside it, one part per batch, and are read along with the others until
+``compact_table`` merges them. Files are written beside the table and put into it by
+``commits.commit``, so a write that breaks off changes nothing or is finished later.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
+from contextlib import contextmanager
 from datetime import date
 from functools import reduce
 from typing import NamedTuple
@@ -21,11 +25,15 @@ from pyspark.sql import types as T
 
 from titlemart.schema import BadRecordsError, required_columns, schema_from_fields
 from titlemart.session import delete_folder
+from titlemart.sinks.commits import (
+    COMMITS, LOADS, children, commit, data_files, exists, read_text, settle, write_text,
+)
 
 SIDE_FILE = "_table.json"
 DAY = "_day"
 INSERTED = "_inserted"
 BATCH = "_batch"
+MERGED = "_merged.json"
 BAD = "_bad"
 REFUSED = "_reason string, _record string"
 WRITE = ("WRITE_TRUNCATE", "WRITE_APPEND", "WRITE_EMPTY")
@@ -35,8 +43,8 @@ MAX_CLUSTER_FIELDS = 4
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    fs, folder = _fs(spark, path)
-    return fs.exists(_child(spark, folder, SIDE_FILE))
+    settle(spark, path)
+    return exists(spark, f"{path.rstrip('/')}/{SIDE_FILE}")
 
 
 def read_table(
@@ -48,8 +56,7 @@ def read_table(
     if layout["partition_field"]:
         stored = stored.add(DAY, T.DateType())
     rows = spark.read.schema(stored).parquet(path)
-    fs, folder = _fs(spark, path)
-    if fs.exists(_child(spark, folder, INSERTED)):
+    if _batches(spark, path):
         batches = T.StructType(stored.fields + [T.StructField(BATCH, T.StringType())])
         inserted = spark.read.schema(batches).parquet(f"{path.rstrip('/')}/{INSERTED}")
         rows = rows.unionByName(inserted.drop(BATCH))
@@ -69,6 +76,7 @@ def write_table(
     partition_field: str | None = None,
     partition: str | None = None,
     cluster_fields: Sequence[str] = (),
+    load_id: str | None = None,
 ) -> None:
     """Store rows as a table.
 
@@ -77,33 +85,39 @@ def write_table(
     column; ``partition`` names one day, whose rows alone are replaced, added
     to or required to be absent. ``cluster_fields`` stores rows sorted by up to
     four columns.
+
+    A write that raises leaves the table as it was. One whose process ended after its rows were written is
+    finished when the table is next looked at; repeated under its ``load_id``, it adds nothing more.
     """
+    spark = df.sparkSession
+    if load_id is not None and _loaded(spark, path, load_id) is not None:
+        return
     write = _planned(
         df, path, write_disposition, create_disposition, schema_update_options,
         partition_field, partition, cluster_fields,
     )
     rows = _guarded(df.select(*write.columns), write, partition)
     rows = _arranged(rows, write.partition_field, write.cluster_fields)
-    if not write.replaces:
-        _writer(rows, write.partition_field).mode("append").parquet(path)
-        _save_description(df.sparkSession, path, write)
-        return
     beside = _beside(path)
-    _writer(rows, write.partition_field).parquet(beside)
-    _put(df.sparkSession, beside, path, write, partition)
+    with _gone_on_error(spark, beside):
+        _writer(rows, write.partition_field).parquet(beside)
+    _put(spark, beside, path, write, partition, load_id, {})
 
 
 def write_parsed(
-    parsed: DataFrame, path: str, schema: T.StructType, max_bad_records: int = 0, **options
+    parsed: DataFrame, path: str, schema: T.StructType, max_bad_records: int = 0, load_id: str | None = None, **options
 ) -> tuple[int, str]:
     """Store the good rows of a parsed frame (``schema``, ``_reason``, ``_record``), written once.
 
     Good and bad records are written side by side, next to the table. If more are
     bad than allowed, that folder goes and the table stays as it was; otherwise the good files are
-    moved into the table, and the bad ones to a folder of their own. Returns
-    how many were bad, and that folder.
+    moved into the table, and the bad ones to a folder of their own, all or none. Returns
+    how many were bad, and that folder; for a ``load_id`` stored before, those of that load.
     """
     spark = parsed.sparkSession
+    before = None if load_id is None else _loaded(spark, path, load_id)
+    if before is not None:
+        return before["bad"], before["kept"]
     partition = options.get("partition")
     marked = [F.col(f.name).alias(f.name, metadata=f.metadata) for f in schema.fields]
     write = _planned(parsed.select(*marked), path, **options)
@@ -112,25 +126,16 @@ def write_parsed(
     rows = _arranged(_guarded(rows, write, partition, good), write.partition_field, write.cluster_fields)
     parts = [BAD, DAY] if write.partition_field else [BAD]
     beside = _beside(path)
-    try:
+    with _gone_on_error(spark, beside):
         rows.write.partitionBy(*parts).parquet(beside)
         refused = _refused(spark, f"{beside}/{BAD}=true")
         bad = refused.count()
         if bad > max_bad_records:
             sample = [f"{r._reason}: {r._record}" for r in refused.limit(3).collect()]
             raise BadRecordsError(f"{bad} bad records, {max_bad_records} allowed; {sample}")
-        kept = f"{path.rstrip('/')}__load_rejected/{uuid.uuid4().hex[:12]}"
-        if bad:
-            _rename(spark, f"{beside}/{BAD}=true", kept)
-        fs, accepted = _fs(spark, f"{beside}/{BAD}=false")
-        fs.mkdirs(accepted)
-        if write.replaces:
-            _put(spark, f"{beside}/{BAD}=false", path, write, partition)
-        else:
-            _move_files(spark, f"{beside}/{BAD}=false", path)
-            _save_description(spark, path, write)
-    finally:
-        delete_folder(spark, beside)
+    kept = f"{path.rstrip('/')}__load_rejected/{uuid.uuid4().hex[:12]}"
+    apart = [(f"{beside}/{BAD}=true", kept)] if bad else []
+    _put(spark, f"{beside}/{BAD}=false", path, write, partition, load_id, {"bad": bad, "kept": kept}, apart, beside)
     return bad, kept
 
 
@@ -140,8 +145,7 @@ def read_refused(spark: SparkSession, folder: str, count: int) -> DataFrame:
 
 
 def _refused(spark: SparkSession, folder: str) -> DataFrame:
-    fs, where = _fs(spark, folder)
-    return spark.read.schema(REFUSED).parquet(folder) if fs.exists(where) else spark.createDataFrame([], REFUSED)
+    return spark.read.schema(REFUSED).parquet(folder) if exists(spark, folder) else spark.createDataFrame([], REFUSED)
 
 
 class _Write(NamedTuple):
@@ -196,28 +200,121 @@ def _planned(
     return _Write(columns, schema, partition_field, list(cluster_fields), replaces)
 
 
-def _put(spark: SparkSession, folder: str, path: str, write: _Write, partition: str | None) -> None:
-    """Put a finished folder in the place of the table, or of one of its days."""
-    if partition is None or not table_exists(spark, path):
-        _save_description(spark, folder, write)
-        _swap(spark, folder, path)
-        return
-    day = f"{DAY}={partition}"
-    fs, there = _fs(spark, f"{folder}/{day}")
-    fs.mkdirs(there)
-    _swap(spark, f"{folder}/{day}", f"{path.rstrip('/')}/{day}")
-    delete_folder(spark, folder)
-    _drop_inserted(spark, path, partition)
-    _save_description(spark, path, write)
+def _put(
+    spark: SparkSession, folder: str, path: str, write: _Write, partition: str | None, load_id: str | None,
+    result: dict, apart: list[tuple[str, str]] = [], scratch: str | None = None,  # noqa: B006
+) -> None:
+    """Put finished files into the table, or in the place of the table or of one of its days."""
+    path, old = path.rstrip("/"), f"{folder}_old"
+    out, into = [], list(apart)
+    held = exists(spark, f"{path}/{SIDE_FILE}")
+    described = _description(write)
+    if write.replaces and (partition is None or not held):
+        out = [(f"{path}/{n}", f"{old}/{n}") for n in children(spark, path) if n not in (COMMITS, LOADS, MERGED)]
+        into += [(f"{folder}/{n}", f"{path}/{n}") for n in children(spark, folder) if n.startswith(f"{DAY}=") or not n.startswith(("_", "."))]
+        held = False
+    elif write.replaces:
+        day = f"{DAY}={partition}"
+        places = [day, *[f"{INSERTED}/{b}/{day}" for b in _batches(spark, path)]]
+        out = [(f"{path}/{p}", f"{old}/{p}") for p in places if exists(spark, f"{path}/{p}")]
+        into += [(f"{folder}/{day}", f"{path}/{day}")] if exists(spark, f"{folder}/{day}") else []
+    else:
+        into += [(f"{folder}/{f}", f"{path}/{f}") for f in data_files(spark, folder)]
+    if not held or read_text(spark, f"{path}/{SIDE_FILE}") != described:
+        write_text(spark, f"{folder}/{SIDE_FILE}", described)
+        out += [(f"{path}/{SIDE_FILE}", f"{old}/{SIDE_FILE}")] if held else []
+        into.append((f"{folder}/{SIDE_FILE}", f"{path}/{SIDE_FILE}"))
+    if load_id is not None:
+        name = f"{LOADS}/{_load_name(load_id)}"
+        write_text(spark, f"{folder}/{name}", json.dumps({"id": load_id, "result": result}))
+        into.append((f"{folder}/{name}", f"{path}/{name}"))
+    commit(spark, path, [out, into], [scratch or folder, old])
+
+
+def _load_name(load_id: str) -> str:
+    return f"{hashlib.sha256(load_id.encode()).hexdigest()}.json"
+
+
+def _loaded(spark: SparkSession, path: str, load_id: str) -> dict | None:
+    """What the load of that id returned, if it is in the table."""
+    settle(spark, path)
+    name = f"{path.rstrip('/')}/{LOADS}/{_load_name(load_id)}"
+    return json.loads(read_text(spark, name))["result"] if exists(spark, name) else None
+
+
+@contextmanager
+def _gone_on_error(spark: SparkSession, folder: str):
+    """What is written beside the table goes if it cannot be used."""
+    try:
+        yield
+    except BaseException:
+        delete_folder(spark, folder)
+        raise
 
 
 def put_batch(rows: DataFrame, path: str, name: str) -> None:
-    """Add one batch of streamed rows; a batch put twice is stored once."""
-    _, layout = describe_table(rows.sparkSession, path)
+    """Add one batch ``<stream>-<number>`` of streamed rows; a batch put twice is stored once, merged or not."""
+    spark, path = rows.sparkSession, path.rstrip("/")
+    _, layout = describe_table(spark, path)
+    stream, _, number = name.rpartition("-")
+    if int(number) <= _merged_up_to(spark, path).get(stream, -1):
+        return
     if layout["partition_field"]:
         rows = rows.withColumn(DAY, F.to_date(layout["partition_field"]))
-    folder = f"{path.rstrip('/')}/{INSERTED}/{BATCH}={name}"
-    _writer(rows, layout["partition_field"]).mode("overwrite").parquet(folder)
+    beside, folder = _beside(path), f"{path}/{INSERTED}/{BATCH}={name}"
+    with _gone_on_error(spark, beside):
+        _writer(rows, layout["partition_field"]).parquet(beside)
+    old = [(folder, f"{beside}_old")] if exists(spark, folder) else []
+    commit(spark, path, [old, [(beside, folder)]], [f"{beside}_old"])
+
+
+def compact_table(spark: SparkSession, path: str, least: int = 2) -> int:
+    """Merge streamed batches into the table's own files, if there are ``least`` of them; returns how many.
+
+    Their rows are laid out by the table's day and clusters, in files of Spark's advisory
+    partition size. For each stream the highest merged batch is recorded, so a replay of one
+    stores nothing. Batches that arrive meanwhile stay for the next time. Readers see the
+    rows once, in either place. Fails, changing nothing, if a batch was replaced meanwhile.
+    """
+    schema, layout = describe_table(spark, path)
+    path, batches = path.rstrip("/"), _batches(spark, path)
+    if len(batches) < max(1, least):
+        return 0
+    held = {b: sorted(data_files(spark, f"{path}/{INSERTED}/{b}")) for b in batches}
+    days = [T.StructField(DAY, T.DateType())] if layout["partition_field"] else []
+    stored = T.StructType([*schema.fields, *days, T.StructField(BATCH, T.StringType())])
+    folders = [f"{path}/{INSERTED}/{b}" for b in batches]
+    rows = spark.read.schema(stored).option("basePath", f"{path}/{INSERTED}").parquet(*folders).drop(BATCH)
+    arranged = _arranged(rows, layout["partition_field"], layout["cluster_fields"])
+    if arranged is rows:
+        arranged = rows.hint("rebalance")
+    beside, marks = _beside(path), _merged_up_to(spark, path)
+    with _gone_on_error(spark, beside):
+        _writer(arranged, layout["partition_field"]).parquet(beside)
+        for batch in batches:
+            stream, _, number = batch.removeprefix(f"{BATCH}=").rpartition("-")
+            marks[stream] = max(int(number), marks.get(stream, -1))
+        write_text(spark, f"{beside}/{MERGED}", json.dumps(marks))
+        if any(sorted(data_files(spark, f"{path}/{INSERTED}/{b}")) != held[b] for b in batches):
+            raise ValueError(f"batches of {path} were replaced while they were merged")
+    old = f"{beside}_old"
+    out = [(f, f"{old}/{b}") for f, b in zip(folders, batches)]
+    if exists(spark, f"{path}/{MERGED}"):
+        out.append((f"{path}/{MERGED}", f"{old}/{MERGED}"))
+    into = [(f"{beside}/{f}", f"{path}/{f}") for f in [MERGED, *data_files(spark, beside)]]
+    commit(spark, path, [out, into], [beside, old])
+    return len(batches)
+
+
+def _batches(spark: SparkSession, path: str) -> list[str]:
+    """Folders of streamed batches that are not merged yet."""
+    names = children(spark, f"{path.rstrip('/')}/{INSERTED}")
+    return sorted(n for n in names if n.startswith(f"{BATCH}="))
+
+
+def _merged_up_to(spark: SparkSession, path: str) -> dict[str, int]:
+    name = f"{path.rstrip('/')}/{MERGED}"
+    return json.loads(read_text(spark, name)) if exists(spark, name) else {}
 
 
 def copy_tables(
@@ -400,70 +497,15 @@ def _beside(path: str) -> str:
     return f"{path.rstrip('/')}__next_{uuid.uuid4().hex[:12]}"
 
 
-def _swap(spark: SparkSession, beside: str, path: str) -> None:
-    """Put a finished folder in the place of another. A write that fails before
-    leaves the old rows, and a table may be replaced by rows read from itself."""
-    fs, folder = _fs(spark, path)
-    old = _fs(spark, f"{beside}_old")[1]
-    fs.mkdirs(folder.getParent())
-    if fs.exists(folder) and not fs.rename(folder, old):
-        raise OSError(f"cannot move {path} aside")
-    if not fs.rename(_fs(spark, beside)[1], folder):
-        raise OSError(f"cannot move {beside} to {path}")
-    fs.delete(old, True)
-
-
-def _rename(spark: SparkSession, source: str, target: str) -> None:
-    fs, folder = _fs(spark, source)
-    there = _fs(spark, target)[1]
-    fs.mkdirs(there.getParent())
-    if not fs.rename(folder, there):
-        raise OSError(f"cannot move {source} to {target}")
-
-
-def _move_files(spark: SparkSession, source: str, target: str) -> None:
-    """Add the files of one table folder to another, day by day."""
-    fs, folder = _fs(spark, source)
-    for status in fs.listStatus(folder):
-        name = status.getPath().getName()
-        if status.isDirectory():
-            _move_files(spark, f"{source}/{name}", f"{target.rstrip('/')}/{name}")
-        elif not name.startswith(("_", ".")):
-            _rename(spark, f"{source}/{name}", f"{target.rstrip('/')}/{name}")
-
-
-def _drop_inserted(spark: SparkSession, path: str, partition: str) -> None:
-    """Streamed rows of a day go with the rows of that day that were replaced."""
-    fs, parts = _fs(spark, f"{path.rstrip('/')}/{INSERTED}/{BATCH}=*/{DAY}={partition}")
-    for status in fs.globStatus(parts) or []:
-        fs.delete(status.getPath(), True)
-
-
 def describe_table(spark: SparkSession, path: str) -> tuple[T.StructType, dict]:
     """The table's schema and its partition and cluster columns."""
     if not table_exists(spark, path):
         raise ValueError(f"{path} is not a table")
-    fs, folder = _fs(spark, path)
-    stream = fs.open(_child(spark, folder, SIDE_FILE))
-    saved = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    stream.close()
+    saved = json.loads(read_text(spark, f"{path.rstrip('/')}/{SIDE_FILE}"))
     return T.StructType.fromJson(saved["schema"]), saved["layout"]
 
 
-def _save_description(spark: SparkSession, path: str, write: _Write) -> None:
+def _description(write: _Write) -> str:
     nullable = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in write.schema.fields])
     layout = {"partition_field": write.partition_field, "cluster_fields": write.cluster_fields}
-    saved = json.dumps({"schema": nullable.jsonValue(), "layout": layout})
-    fs, folder = _fs(spark, path)
-    stream = fs.create(_child(spark, folder, SIDE_FILE), True)
-    stream.write(bytearray(saved, "utf-8"))
-    stream.close()
-
-
-def _fs(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
-
-
-def _child(spark: SparkSession, folder, name: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(folder, name)
+    return json.dumps({"schema": nullable.jsonValue(), "layout": layout})

@@ -77,13 +77,15 @@ def load_table(
     autodetect: bool = False,
     max_bad_records: int = 0,
     ignore_unknown_values: bool = False,
+    load_id: str | None = None,
     **csv_options,
 ) -> Loaded:
     """Load files into a table; the write options are those of ``write_table``.
 
     Records are parsed and written once, next to the table, and moved into it if the
     budget holds; a load that fails leaves nothing behind. Rejected records stay
-    readable in the folder ``<destination>__load_rejected``.
+    readable in the folder ``<destination>__load_rejected``. A load repeated under its
+    ``load_id`` after it broke off is stored once, and so is one repeated after it succeeded.
     """
     options = {
         "write_disposition": write_disposition,
@@ -97,7 +99,7 @@ def load_table(
     parsed, schema, n_files = parsed_files(
         spark, paths, *checked(schema, source_format, autodetect, csv_options), ignore_unknown_values, csv_options
     )
-    count, folder = write_parsed(parsed, destination, schema, max_bad_records, **options)
+    count, folder = write_parsed(parsed, destination, schema, max_bad_records, load_id, **options)
     return Loaded(read_table(spark, destination), read_refused(spark, folder, count), count, n_files)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from titlemart.schema import BadRecordsError
 from titlemart.session import scratch_scope, write_shared
-from titlemart.sinks.tables import BATCH, describe_table, put_batch
+from titlemart.sinks.tables import BATCH, compact_table, describe_table, put_batch
 from titlemart.sources.parsing import parse_json_lines
 
 FILE, TEXT = "_file", "_text"
@@ -29,6 +29,7 @@ def insert_stream(
     fail_on_error: bool = False,
     max_files_per_batch: int = 1000,
     every: str | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Follow a folder of JSON row files and append its rows to a table.
 
@@ -38,7 +39,8 @@ def insert_stream(
     file too; with ``fail_on_error`` a refused row also stops the stream. Rows are stored under
     the identity that the checkpoint gives the stream and the batch, so a replayed
     batch replaces its own rows, nothing is stored twice, and any number of
-    streams may share a table. Takes what is there and ends, or goes on looking ``every`` so
+    streams may share a table. When ``compact_every`` batches lie in the table, they are merged into its
+    own files (``compact_table``). Takes what is there and ends, or goes on looking ``every`` so
     often (as ``"1 minute"``).
     """
     schema, _ = describe_table(spark, table)
@@ -59,6 +61,8 @@ def insert_stream(
                 good = good.join(files, FILE, "left_anti")
                 refused = refused.select("_reason", "_record", FILE).unionByName(beside)
             put_batch(good.select(*schema.names), table, name)
+            if compact_every:
+                compact_table(session, table, compact_every)
             refused = refused.select("_reason", "_record", FILE)
             if not refused.isEmpty():
                 refused.write.mode("overwrite").parquet(f"{_rejected(table)}/{BATCH}={name}")
