@@ -187,7 +187,8 @@ def test_pipeline_keeps_rows_without_id_and_survives_nothing(shared):
         assert {r.doc_id for r in frame_.collect()} in ({None, 1}, set())
 
 
-def test_pipeline_decides_on_rows(shared):
+@pytest.mark.parametrize("in_files", [False, True])
+def test_pipeline_decides_on_rows(shared, tmp_path, in_files):
     """NULL ids, repeated rows and one id with two texts: copies, near copies and leaks go, the rest stays."""
     rng = random.Random(12)
     new = lambda n: " ".join(f"y{rng.randrange(10**6)}" for _ in range(n))
@@ -202,12 +203,23 @@ def test_pipeline_decides_on_rows(shared):
         (None, "before " + item), (7, item + " after"), (7, g),
     ]
     docs = shared.createDataFrame([(i, t, "en", "s", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
-    docs = docs.repartition(5).checkpoint()
+    docs = docs.withColumns({c: F.lit("clash") for c in ("row_", "key_", "gone_", "group_", "file_", "place_", "mix_", "n_")})
+
+    def put(df, name):
+        if not in_files:
+            return df.checkpoint()
+        df.write.parquet(str(tmp_path / name))
+        return shared.read.parquet(str(tmp_path / name))
+
+    docs = put(docs.repartition(5), "documents")
     kept = {}
     for name, stage in corpus_pipeline.STAGES[1:4]:
-        out = stage(shared, docs, SF).checkpoint()
+        out = put(stage(shared, docs, SF), name)
         assert out.columns == docs.columns
         kept[name], docs = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr), out
+    mixed = corpus_pipeline.mix_stage(shared, docs, SF)
+    assert mixed.columns == [*docs.columns, "mix_epoch", "mix_finish", "mix_words"]
+    assert {(r.doc_id, r.text, r.key_) for r in mixed.collect()} == {(r.doc_id, r.text, "clash") for r in docs.collect()}
     final = kept.popitem()[1]
     b_kept = {t for i, t in final if i is None}
     assert len(b_kept) == 1 and b_kept < {b, b + " end"}

@@ -19,6 +19,8 @@ FINE = 1024  # coordinates, a byte each, by which members of a bucket are compar
 NEAR, ROUGHLY = 4.5, 6.0  # standard errors below the threshold at which the fine and the banded sketch drop a pair
 LANE = 512  # bucket members that one task compares with as many others
 
+SENT_IDS = 1_000_000  # of nodes in shared buckets that are sent to the tasks; beyond, their texts are joined by shuffle
+
 PROFILE = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -234,6 +236,7 @@ def _near_duplicates(docs: DataFrame, k: int, percent: int) -> DataFrame:
     )
     wanted = shared.select(F.col("node").alias("doc_id")).distinct()
     known = nodes.select("node", "s1", "s2")
+    wanted = F.broadcast(wanted) if wanted.count() <= SENT_IDS else wanted
     sets = stored(_sets(docs.join(wanted, "doc_id", "left_semi"), k).join(known, ["node", "s1", "s2"], "left_semi").dropDuplicates(["node", "s1", "s2"]), "sets")
     links = stored(_verified(stars, sets, percent), "links")
     first = stored(components(links), "components")
