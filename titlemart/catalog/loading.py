@@ -200,6 +200,25 @@ def csv_quoted_newlines(spark, sf_dir):
     return rows.withColumn("text", F.md5("text"))
 
 
+def csv_quoted_newlines_split(spark, sf_dir):
+    """One file, below a heading of two records of which one has a line break, read as many blocks."""
+    documents = star_table(spark, sf_dir, "documents")
+    cells = [F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"')) for c in documents.columns]
+    line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in cells])
+    one = documents.select(line.alias("value")).coalesce(1)
+    top = spark.createDataFrame([('"All\ndocuments",,,,\n' + ",".join(documents.columns),)], "value string").coalesce(1)
+    path = shared_path(spark, "lines")
+    top.unionByName(one).coalesce(1).write.text(path)
+    block = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        rows = load_files(spark, path, documents.schema, "CSV", allow_quoted_newlines=True, skip_leading_rows=2).rows
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    n = rows.count()
+    return rows.withColumn("text", F.md5("text")).withColumn("n", F.lit(n).cast("bigint"))
+
+
 def _jagged(spark, sf_dir):
     orders = star_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", STATUS)
     line = F.when(F.col(STATUS) == "P", _csv_line("o_orderkey", "o_custkey")).otherwise(
@@ -278,6 +297,7 @@ QUERIES = {
     "csv_load": csv_load,
     "csv_autodetect": csv_autodetect,
     "csv_quoted_newlines": csv_quoted_newlines,
+    "csv_quoted_newlines_split": csv_quoted_newlines_split,
     "csv_jagged": csv_jagged,
     "csv_jagged_refused": csv_jagged_refused,
     "csv_skip_rows": csv_skip_rows,
@@ -328,6 +348,8 @@ SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'""",
     "csv_autodetect": """
 SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""",
     "csv_quoted_newlines": "SELECT doc_id, md5(text) AS text, lang, source, n_chars FROM documents",
+    "csv_quoted_newlines_split": """
+SELECT doc_id, md5(text) AS text, lang, source, n_chars, (SELECT count(*) FROM documents) AS n FROM documents""",
     "csv_jagged": """
 SELECT o_orderkey, o_custkey, nullif(o_orderstatus, 'P') AS o_orderstatus FROM orders""",
     "csv_jagged_refused": """

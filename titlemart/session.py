@@ -7,10 +7,12 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+ROOT = str(Path(__file__).resolve().parents[1])
 _scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
@@ -29,6 +31,13 @@ def local_session(cores: str | int = "*", app: str = "titlemart") -> SparkSessio
     )
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package where it lies; a cluster without it there gets ``--py-files``."""
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(filter(None, [env.get("PYTHONPATH"), ROOT]))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 

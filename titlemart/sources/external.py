@@ -55,7 +55,7 @@ def create_external_table(
         or not (csv or json) and schema is not None
     ):
         parsed, schema, _ = parsed_files(
-            spark, path, schema, source_format, ignore_unknown_values, csv_options
+            spark, path, schema, source_format, ignore_unknown_values, csv_options, lasting=True
         )
         bad = parsed.where(F.col("_reason").isNotNull()).count()
         if bad > max_bad_records:

@@ -117,7 +117,7 @@ def checked(schema, source_format: str, autodetect: bool, csv_options: Mapping)
     return schema, source_format
 
 
-def parsed_files(spark, paths, schema, source_format, ignore_unknown_values, csv_options) -> tuple[DataFrame, T.StructType, int]:
+def parsed_files(spark, paths, schema, source_format, ignore_unknown_values, csv_options, lasting=False) -> tuple[DataFrame, T.StructType, int]:
     """Judged records of the files, their schema, and how many files are read."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if source_format in ("PARQUET", "AVRO"):
@@ -128,7 +128,7 @@ def parsed_files(spark, paths, schema, source_format, ignore_unknown_values, csv
     if source_format == "CSV":
         schema = schema or detect_csv(spark, paths, **csv_options)
         parsed = parse_csv(
-            spark, paths, schema, ignore_unknown_values=ignore_unknown_values, **csv_options
+            spark, paths, schema, ignore_unknown_values=ignore_unknown_values, lasting=lasting, **csv_options
         )
     else:
         schema = schema or detect_json(spark, paths)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from titlemart.schema import BadRecordsError, required_columns
+from titlemart.sources.quoted import quoted_records
 
 # Never occurs in text files; marks where a record ends.
 END = "\u0001end\u0001"
@@ -82,10 +83,13 @@ def parse_csv(
     ignore_unknown_values: bool = False,
     encoding: str = "UTF-8",
     null_marker: str = "",
+    lasting: bool = False,
 ) -> DataFrame:
     """Read delimited files as text fields, then type and judge each record.
 
-    Files are split over tasks unless quoted newlines are allowed.
+    Files are split over tasks, also where quoted newlines are allowed (``quoted_records``, which
+    reads the files twice and stores a few rows per block; with ``lasting``, for rows that outlive
+    the scope they are made in, Spark's reader takes such a file as one task instead).
     """
     cells = [f"_c{i}" for i in range(len(schema.fields))]
     layout = ", ".join(f"{c} string" for c in [*cells, CORRUPT])
@@ -98,7 +102,13 @@ def parse_csv(
         "encoding": encoding,
         "columnNameOfCorruptRecord": CORRUPT,
     }
-    if skip_leading_rows > 1 and not allow_quoted_newlines:
+    records = None
+    if allow_quoted_newlines and options["quote"] and not lasting:
+        records = quoted_records(spark, paths, field_delimiter, options["quote"], encoding, skip_leading_rows)
+    if records is not None:
+        kept = records.where(F.length("value") > 0)
+        raw = kept.select(F.from_csv("value", layout, options | {"multiLine": "true"}).alias("r")).select("r.*")
+    elif skip_leading_rows > 1 and not allow_quoted_newlines:
         lines = spark.read.option("encoding", encoding).text(paths)
         kept = skip_first_rows(lines, skip_leading_rows).where(F.length("value") > 0)
         raw = kept.select(F.from_csv("value", layout, options).alias("r")).select("r.*")
