@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -117,6 +118,39 @@ def test_secrets(shared):
     assert all(set(plain(r.base)) <= set(plain(r.spans)) for r in found)
 
 
+def brute_spans(text):
+    """Base spans, and weak ones outside of them with a complementary start within 200 code points."""
+    base = brute_base(text)
+    weak = [(m.start(), 4, m.end()) for m in ASSIGN.finditer(text) if 6 <= len(m[1]) < 12]
+    for kind, pattern in ((3, secrets.LOGIN), (4, secrets.WEAK_SECRET), (5, secrets.ENDPOINT)):
+        weak += [(m.start(), kind, m.end()) for m in re.finditer(pattern, text, re.A)]
+    weak = {w for w in weak if not any(b[0] <= w[0] and w[2] <= b[2] for b in base)}
+    role = ["secret", "id", "secret", "id", "secret", "endpoint"]
+    needs = {3: ["secret"], 4: ["id", "endpoint"], 5: ["secret"]}
+    near = lambda w: any(role[o[1]] in needs[w[1]] and abs(o[0] - w[0]) <= 200 for o in [*base, *weak])
+    return sorted({*base, *filter(near, weak)})
+
+
+def test_linked_spans_against_all_pairs(shared):
+    rng = random.Random(8)
+    bits = ["user=alice", "login: bob9", "password=short99", "token=abc", "https://a.example/x", "redis://h:1", "AKIA" + "B" * 16, "deadbeef" * 3, "k" * 40,
+            "secret = '0123456789abcdef'", "api_key:https://b.example/y", "x" * 90, "plain words here", "é" * 30]
+    texts = [rng.choice([" ", "\n", "; "]).join(rng.choice(bits) for _ in range(rng.randrange(1, 60))) for _ in range(150)]
+    found = secrets.find_secrets(frame(shared, list(enumerate(texts, 1)))).collect()
+    for r in found:
+        assert [(s.start, s.kind, s.end) for s in r.spans] == brute_spans(texts[r.doc_id - 1]), texts[r.doc_id - 1]
+        assert [(s.start, s.kind, s.end) for s in r.base] == brute_base(texts[r.doc_id - 1])
+
+
+def test_a_text_of_very_many_findings(shared):
+    text = " ".join(f"user=abc{i} {i:016x}" for i in range(50_000))
+    began = time.time()
+    (found,) = secrets.find_secrets(frame(shared, [(1, text)])).collect()
+    assert len(found.base) == 50_000 and len(found.spans) == 100_000
+    assert [(s.start, s.kind, s.end) for s in found.base] == brute_base(text)
+    assert time.time() - began < 90
+
+
 def test_secret_query_digests(shared, tmp_path):
     frame(shared, SECRETS).write.parquet(f"{tmp_path}/documents.parquet")
     for r in queries.op3_secrets(shared, str(tmp_path)).collect():

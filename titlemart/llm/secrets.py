@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from titlemart.llm.tables import stored
@@ -23,72 +24,63 @@ ROLES = {"assign": "secret", "hex": "secret", "secret": "secret", "access": "id"
 NEEDS = {"login": ["secret"], "secret": ["id", "endpoint"], "endpoint": ["secret"]}  # any of these must be near
 
 SPAN = "array<struct<start: int, kind: int, end: int>>"
+PATTERNS = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "login": LOGIN, "secret": WEAK_SECRET, "endpoint": ENDPOINT}
 
 
-def _spans(text: Column, found: Column, pattern: str, kind: str, keep=None) -> Column:
-    """Code point spans of the matches ``found``, from the lengths of what lies between them."""
-    between = F.split(text, pattern, -1)
-    number = F.lit(KINDS.index(kind))
+def _matches(kind: str) -> Column:
+    """Of the matches in column ``kind``, in order: how far each begins behind the one before, its length, and that of its value."""
+    between = F.split("text", PATTERNS[kind], -1)
+    value = (lambda m: F.length(F.regexp_extract(m, ASSIGN, 1))) if kind == "assign" else (lambda m: F.lit(0))
+    sizes = lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m).alias("len"), value(m).alias("value"))
+    return F.when(F.size(kind) > 0, F.zip_with(F.slice(between, 1, F.size(kind)), F.col(kind), sizes))
 
-    def step(acc: Column, i: Column) -> Column:
-        match = F.get(found, i)
-        start = acc["at"] + F.length(F.get(between, i))
-        span = F.struct(start.alias("start"), number.alias("kind"), (start + F.length(match)).alias("end"))
-        more = F.array(span) if keep is None else F.when(keep(match), F.array(span)).otherwise(F.array().cast(SPAN))
-        return F.struct((start + F.length(match)).alias("at"), F.concat(acc["out"], more).alias("out"))
-
-    empty = F.array().cast(SPAN)
-    walked = F.aggregate(
-        F.sequence(F.lit(0), F.size(found) - 1), F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"]
-    )
-    return F.when(F.size(found) > 0, walked).otherwise(empty)
 
+def scan(docs: DataFrame) -> DataFrame:
+    """``row, doc_id`` of every document, and its matches of each kind, stored: one pass over the texts."""
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    found = texts.select("*", *[F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(kind) for kind, p in PATTERNS.items()])
+    return stored(found.select("row", "doc_id", *[_matches(kind).alias(kind) for kind in PATTERNS]), "secret-matches")
 
-def _value_length(match: Column) -> Column:
-    return F.length(F.regexp_extract(match, ASSIGN, 1))
 
+def found_spans(scanned: DataFrame) -> DataFrame:
+    """``row, start, kind, end, base``: strong spans, and weak ones that lie in none of them.
 
-def scan(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, base, parts``: strong spans of every text, and weak ones outside of them."""
-    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "login": LOGIN, "secret": WEAK_SECRET, "endpoint": ENDPOINT}
-    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = texts.select("*", *[F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(k) for k, p in patterns.items()])
-    text = F.col("text")
-    strong = lambda m: _value_length(m) >= STRONG_ASSIGN
-    weak = lambda m: _value_length(m).between(WEAK_ASSIGN, STRONG_ASSIGN - 1)
-    base = F.concat(
-        _spans(text, F.col("assign"), ASSIGN, "assign", strong),
-        _spans(text, F.col("access"), ACCESS, "access"),
-        _spans(text, F.col("hex"), HEX, "hex"),
-    )
-    parts = F.concat(
-        _spans(text, F.col("assign"), ASSIGN, "secret", weak),
-        *[_spans(text, F.col(k), patterns[k], k) for k in ("login", "secret", "endpoint")],
-    )
-    spans = found.select("doc_id", base.alias("base"), parts.alias("parts"))
-    inside = lambda p: F.exists("base", lambda b: (b["start"] <= p["start"]) & (p["end"] <= b["end"]))
-    return spans.select(F.monotonically_increasing_id().alias("row"), "doc_id", "base", F.filter("parts", lambda p: ~inside(p)).alias("parts"))
-
-
-def linked_parts(scanned: DataFrame) -> DataFrame:
-    """``row, linked``: weak spans that have a complementary part within the scope.
+    Starts are running sums over a text's matches of a kind, and a weak span lies in a strong one if the
+    largest end among those that begin no later reaches its own; both are linear in the matches.
+    """
+    each = None
+    for number, kind in enumerate(PATTERNS):
+        own = scanned.where(F.col(kind).isNotNull()).select("row", F.lit(number).alias("of"), F.posexplode(kind).alias("i", "m"))
+        each = own if each is None else each.unionByName(own)
+    so_far = W.partitionBy("row", "of").orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow)
+    end = F.sum(F.col("m.gap") + F.col("m.len")).over(so_far).cast("int")
+    placed = each.select("row", "of", "m.value", (end - F.col("m.len")).alias("start"), end.alias("end"))
+    assigned = F.col("of") == KINDS.index("assign")
+    base = F.when(assigned, F.col("value") >= STRONG_ASSIGN).otherwise(F.col("of") <= KINDS.index("hex"))
+    kind = F.when(assigned & ~base, F.lit(KINDS.index("secret"))).otherwise(F.col("of"))
+    spans = placed.where(~assigned | (F.col("value") >= WEAK_ASSIGN)).select("row", "start", kind.alias("kind"), "end", base.alias("base"))
+    begun = W.partitionBy("row").orderBy("start", F.col("base").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    reach = F.max(F.when(F.col("base"), F.col("end"))).over(begun)
+    return spans.withColumn("reach", reach).where(F.col("base") | F.col("reach").isNull() | (F.col("reach") < F.col("end"))).drop("reach").distinct()
+
+
+def linked_parts(spans: DataFrame) -> DataFrame:
+    """Weak spans of ``found_spans`` that have a complementary part within the scope.
 
     An interval join on blocks of SCOPE code points: a part is matched with its own block
     and the two beside it. Of each block and role only the first and last start
     enter, which is all that "some part is near" needs, so the join gives at most three rows
     per weak span and role, however many parts a text holds.
     """
-    named = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("p.kind") + 1)
+    named = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("kind") + 1)
     role = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
-    spans = scanned.where(F.size("parts") > 0).select("row", F.explode(F.concat("base", "parts")).alias("p"))
-    spans = spans.select("row", "p", named.alias("name"), F.floor(F.col("p.start") / SCOPE).alias("block")).withColumn("role", F.element_at(role, F.col("name")))
-    present = spans.groupBy("row", "block", "role").agg(F.min("p.start").alias("first"), F.max("p.start").alias("last"))
+    spans = spans.withColumn("name", named).withColumn("block", F.floor(F.col("start") / SCOPE)).withColumn("role", F.element_at(role, F.col("name")))
+    present = spans.groupBy("row", "block", "role").agg(F.min("start").alias("first"), F.max("start").alias("last"))
     needs = F.create_map(*[x for k, v in NEEDS.items() for x in (F.lit(k), F.array(*[F.lit(r) for r in v]))])
-    asks = spans.where(F.col("name").isin(*NEEDS)).select("row", "p", F.col("block").alias("own"), F.explode(F.element_at(needs, F.col("name"))).alias("role"))
+    asks = spans.where(~F.col("base")).select("row", "start", "kind", "end", F.col("block").alias("own"), F.explode(F.element_at(needs, F.col("name"))).alias("role"))
     asks = asks.withColumn("block", F.explode(F.sequence(F.col("own") - 1, F.col("own") + 1)))
-    near = (F.col("block") == F.col("own")) | (F.abs(F.col("first") - F.col("p.start")) <= SCOPE) | (F.abs(F.col("last") - F.col("p.start")) <= SCOPE)
-    hit = asks.join(present, ["row", "block", "role"]).where(near)
-    return hit.groupBy("row").agg(F.collect_set("p").alias("linked"))
+    near = (F.col("block") == F.col("own")) | (F.abs(F.col("first") - F.col("start")) <= SCOPE) | (F.abs(F.col("last") - F.col("start")) <= SCOPE)
+    return asks.join(present, ["row", "block", "role"]).where(near).select("row", "start", "kind", "end").distinct()
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
@@ -99,15 +91,16 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     endpoints, short assigned values and 40-character keys - if a complementary part starts
     within 200 code points: a secret beside a login or an endpoint, a login or an endpoint
     beside a secret. Kinds are numbers into KINDS; arrays are sorted. NULL text is empty and
-    gives empty arrays; rows that repeat are scanned each for itself.
+    gives empty arrays; rows that repeat are scanned each for itself. Work is linear in a text's length and
+    findings; only numbers are shuffled, never texts.
     """
-    scanned = stored(scan(docs), "secret-parts")
-    both = scanned.join(linked_parts(scanned), "row", "left")
-    return both.select(
-        "doc_id",
-        F.sort_array("base").alias("base"),
-        F.sort_array(F.concat("base", F.coalesce("linked", F.array().cast(SPAN)))).alias("spans"),
-    )
+    scanned = scan(docs)
+    spans = stored(found_spans(scanned), "secret-spans")
+    both = spans.where("base").select("row", "start", "kind", "end", "base").unionByName(linked_parts(spans).withColumn("base", F.lit(False)))
+    span = F.struct("start", "kind", "end")
+    arrays = both.groupBy("row").agg(F.sort_array(F.collect_list(F.when(F.col("base"), span))).alias("base"), F.sort_array(F.collect_list(span)).alias("spans"))
+    none = F.array().cast(SPAN)
+    return scanned.select("row", "doc_id").join(arrays, "row", "left").select("doc_id", F.coalesce("base", none).alias("base"), F.coalesce("spans", none).alias("spans"))
 
 
 def span_text(spans: str) -> Column:
