@@ -1,5 +1,6 @@
 """Operators against brute force, and their plans."""
 
+import math
 import random
 from collections import defaultdict
 
@@ -15,6 +16,8 @@ from titlemart.operators import (
     top_k_per_group,
     unnest_product,
 )
+from titlemart.functions import attach_functions
+from titlemart.operators import topk
 from titlemart.operators.topk import GROUP_LIMIT
 from titlemart.plans import marts
 from titlemart.plans.staging import staged_titles
@@ -79,17 +82,17 @@ def test_aligned_lists_and_rows_of_a_hot_group(spark):
         collect_aligned(df, ["k"], {"ids": "id"}, "lists")
 
 
-def test_large_k_is_limited_on_the_map_side_or_refused(spark):
+def test_large_k_is_limited_on_the_map_side_or_by_a_cut(spark):
     rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("g"), (F.col("id") % 997).alias("v"), "id")
     spark.conf.set(GROUP_LIMIT, "1000")
-    with pytest.raises(ValueError, match="at least 5000"):
-        top_k_per_group(rows, ["g"], "v", ["id"], 5000)
+    by_cut = top_k_per_group(rows, ["g"], "v", ["id"], 5000)
     spark.conf.set(GROUP_LIMIT, "5000")
     try:
         best = top_k_per_group(rows, ["g"], "v", ["id"], 5000)
         text = plan(best)
         assert text.count("WindowGroupLimit") == 2 and "Partial" in text and text.count("Exchange") == 1
         assert best.where("g = 'hot'").count() == 5000
+        assert by_cut.exceptAll(best).isEmpty() and by_cut.count() == best.count()
     finally:
         spark.conf.unset(GROUP_LIMIT)
 
@@ -114,3 +117,47 @@ def test_scans_read_only_what_a_mart_needs(spark):
     assert "genres:array<struct<name:string>>" in text
     assert "logo_path" not in text and "overview" not in text
     assert "PushedFilters: [IsNotNull(genres)]" in plan(marts.genres(titles))
+
+
+@pytest.mark.parametrize("k", [1, 30, 45, 500])
+def test_any_k(spark, monkeypatch, k):
+    """Beyond Spark's limit: ties, NULL and NaN values, NULL groups, one group of most rows."""
+    rng = random.Random(k)
+    value = lambda: rng.choice([None, float("nan"), 0.0, 1.0, 2.0, rng.random()])
+    rows = [(rng.choice(["hot"] * 8 + ["a", "b", None]), value(), i) for i in range(2000)] + [("few", 1.0, -1), ("none", None, -2)]
+    df = spark.createDataFrame(rows, "g string, v double, i long").repartition(6)
+    spark.conf.set(topk.GROUP_LIMIT, "0")
+    try:
+        got = sorted((tuple(r) for r in topk.top_k_per_group(df, ["g"], "v", ["i"], k, rank="n").collect()), key=repr)
+    finally:
+        spark.conf.unset(topk.GROUP_LIMIT)
+    order = lambda r: (r[1] is not None, r[1] is not None and math.isnan(r[1]), 0 if r[1] is None or math.isnan(r[1]) else r[1], r[2])
+    want = []
+    for g in {r[0] for r in rows}:
+        best = sorted((r for r in rows if r[0] == g), key=order, reverse=True)[:k]
+        want += [(*r, n) for n, r in enumerate(best, 1)]
+    assert repr(got) == repr(sorted(want, key=repr))
+
+
+def test_the_cut_leaves_k_rows_and_little_more(spark):
+    df = spark.range(200_000).select(F.lit("hot").alias("g"), F.xxhash64("id").alias("v"), "id")
+    kept = topk.above_cut(df, ["g"], "v", 50_000).count()
+    assert 50_000 <= kept < 53_000
+    assert topk.above_cut(df.withColumn("v", F.lit(1)), ["g"], "v", 50_000).count() == 200_000
+    assert topk.above_cut(df.withColumn("v", F.col("v").cast("string")), ["g"], "v", 5).count() == 200_000
+    plan = topk.above_cut(df, ["g"], "v", 50_000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile_approx" in plan and "Window" not in plan
+    best = topk.top_k_per_group(df, ["g"], "v", ["id"], 50_000, rank="n")
+    assert "WindowExec" not in best._jdf.queryExecution().executedPlan().toString()
+    assert best.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first()[:] == (1, 50_000, 50_000)
+
+
+def test_functions_on_batches_only(spark):
+    doubled = F.pandas_udf(lambda v: v * 2, "long")
+    attach_functions(spark, python_functions={"doubled": doubled})
+    query = spark.sql("SELECT doubled(id) AS d FROM range(3)")
+    assert [r.d for r in query.collect()] == [0, 2, 4]
+    assert "ArrowEvalPython" in query._jdf.queryExecution().executedPlan().toString()
+    for plain in (lambda v: v, F.udf(lambda v: v, "long")):
+        with pytest.raises(ValueError, match="row by row"):
+            attach_functions(spark, python_functions={"slow": plain})

@@ -1,16 +1,20 @@
 """Write dispositions, layout, schema changes, export and copy."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
+from titlemart.quality import CheckFailed, check_written
 from titlemart.schema import schema_from_fields
-from titlemart.sinks.tables import describe_table
+from titlemart.sinks.tables import describe_table, put_batch
+from titlemart.sources import load_table
 from titlemart.sinks import (
     copy_tables,
     create_empty_table,
     create_view,
+    expire_partitions,
     export_table,
     read_table,
     table_exists,
@@ -183,3 +187,42 @@ def test_export(spark, tmp_path):
 def test_view(spark):
     spark.range(3).createOrReplaceTempView("three_rows")
     assert create_view(spark, "big_rows", "SELECT id FROM three_rows WHERE id > 0").count() == 2
+
+
+def test_expiration(spark, path):
+    def days(first, n):
+        return spark.createDataFrame([(i, dt.date(2024, 1, i)) for i in range(first, first + n)] + [(99, None)], "a long, d date")
+
+    write_table(days(1, 6), path, partition_field="d", partition_expiration_ms=2 * 86_400_000)
+    put_batch(days(3, 3), path, "s-0")
+    at = lambda *time: sorted(r.a for r in read_table(spark, path, as_of=dt.datetime(2024, 1, *time)).collect())
+    assert at(1) == [1, 2, 3, 3, 4, 4, 5, 5, 6, 99, 99]
+    assert at(5, 23, 59) == [4, 4, 5, 5, 6, 99, 99] and at(6, 0) == [5, 5, 6, 99, 99]
+    plan = read_table(spark, path, as_of=dt.datetime(2024, 1, 6))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((_day" in plan and "2024-01-04" in plan
+    write_table(days(7, 1), path, "WRITE_APPEND")  # the expiration stays
+    assert at(6, 0) == [5, 5, 6, 7, 99, 99, 99]
+    assert expire_partitions(spark, path, dt.datetime(2024, 1, 6)) == 6  # days 1 to 4, and 3 and 4 of the stream
+    assert at(1) == [5, 5, 6, 7, 99, 99, 99]
+    assert expire_partitions(spark, path, dt.datetime(2024, 1, 6)) == 0
+    assert sorted(r.a for r in read_table(spark, path).collect()) == [99, 99, 99]
+    with pytest.raises(ValueError, match="expiration"):
+        write_table(days(1, 1), path + "2", partition_expiration_ms=5)
+    write_table(days(1, 1), path + "3", partition_field="d")
+    assert expire_partitions(spark, path + "3") == 0
+
+
+def test_what_a_load_wrote_is_what_the_table_holds(spark, path, tmp_path):
+    (tmp_path / "in").write_text("\n".join([*(json.dumps({"a": i}) for i in range(50)), "{"]))
+    loaded = load_table(spark, path, str(tmp_path / "in"), schema_from_fields([{"name": "a", "type": "INT64"}]), "NEWLINE_DELIMITED_JSON", max_bad_records=1, key="a", load_id="x")
+    assert loaded.written["n_rows"] == 50
+    check_written(loaded.rows, "a", loaded.written)
+    changed = {
+        "fewer": loaded.rows.where("a <> 7"), "other": loaded.rows.selectExpr("if(a = 7, 70, a) AS a"),
+        "doubled": loaded.rows.union(loaded.rows.limit(1)), "none": loaded.rows.where("a < 0"),
+    }
+    for rows_ in changed.values():
+        with pytest.raises(CheckFailed):
+            check_written(rows_, "a", loaded.written)
+    again = load_table(spark, path, str(tmp_path / "in"), schema_from_fields([{"name": "a", "type": "INT64"}]), "NEWLINE_DELIMITED_JSON", write_disposition="WRITE_APPEND", max_bad_records=1, key="a", load_id="x")
+    assert again.written == loaded.written and again.rejected_count == 1

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from titlemart.schema import required_columns, schema_from_fields, schema_from_json, titles_schema
 from titlemart.sinks import read_table
+from titlemart.sources.parsing import parse_csv
 from titlemart.sources import (
     BadRecordsError,
     create_external_table,
@@ -179,6 +180,14 @@ def test_leading_rows_of_a_split_file(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_leading_rows_go_without_python(spark, tmp_path):
+    path = put(tmp_path / "c", "h1,,\nh2,,\n1,é,2\n", encoding="latin-1")
+    parsed = parse_csv(spark, path, three(), skip_leading_rows=2, encoding="ISO-8859-1")
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    assert "Arrow" not in plan and "Python" not in plan and "SortMergeJoin" not in plan
+    assert [r.b for r in parsed.collect()] == ["é"]
+
+
 def test_gzip_equals_plain(spark, tmp_path):
     plain = put(tmp_path / "p", CSV)
     (tmp_path / "z").mkdir()

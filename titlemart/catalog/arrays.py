@@ -129,6 +129,17 @@ def top_k_5000(spark, sf_dir):
     return top_k_per_group(lines, ["l_returnflag"], "l_extendedprice", ["l_orderkey", "l_linenumber"], k=5000)
 
 
+def top_k_any(spark, sf_dir):
+    """A k beyond any limit of Spark's, over a group with half of the rows."""
+    lines = star_table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_quantity")
+    allowed = spark.conf.get(GROUP_LIMIT)
+    spark.conf.set(GROUP_LIMIT, "1000")
+    try:
+        return top_k_per_group(lines, ["l_returnflag"], "l_quantity", ["l_orderkey", "l_linenumber"], k=2500, rank="place")
+    finally:
+        spark.conf.set(GROUP_LIMIT, allowed)
+
+
 def iso_year_counts(spark, sf_dir):
     return staged_titles(spark, sf_dir).groupBy(iso_year(F.col("release_date")).alias("year")).agg(
         F.count(F.lit(1)).alias("n"), F.count("vote_average").alias("n_rated")
@@ -184,6 +195,7 @@ QUERIES = {
     "aligned_lists": aligned_lists,
     "aligned_rows": aligned_rows,
     "top_k_5000": top_k_5000,
+    "top_k_any": top_k_any,
     "iso_year_counts": iso_year_counts,
     "genre_totals": genre_totals,
     "left_join_attrs": left_join_attrs,
@@ -263,6 +275,10 @@ SELECT o_custkey, o_orderkey AS order_id, nullif(o_orderstatus, 'P') AS state FR
 SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_returnflag
   ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey DESC, l_linenumber DESC) <= 5000""",
+    "top_k_any": """
+SELECT l_returnflag, l_orderkey, l_linenumber, l_quantity, CAST(row_number() OVER (PARTITION BY l_returnflag
+  ORDER BY l_quantity DESC NULLS LAST, l_orderkey DESC, l_linenumber DESC) AS INTEGER) AS place
+FROM lineitem QUALIFY place <= 2500""",
     "recon_counts": """
 SELECT count(*) AS source_rows, count(*) AS target_rows, true AS agree, 'titles' AS target FROM orders
 UNION ALL

@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from titlemart.plans.marts import genres, media
 from titlemart.plans.staging import staged_titles, star_table
+from titlemart.session import shared_path
+from titlemart.sinks import export_table
+from titlemart.sources import load_table
 from titlemart.quality import (
     CheckFailed,
     check_interval,
@@ -13,6 +16,7 @@ from titlemart.quality import (
     check_truthy,
     check_unique,
     check_value,
+    check_written,
     interval_ratios,
     repeated_keys,
     uniqueness,
@@ -35,6 +39,20 @@ def unique(spark, sf_dir):
     return rows.withColumn("passed", F.lit(passed))
 
 
+def recon_observed(spark, sf_dir):
+    """A load compared with what it saw itself write, then with a row lost, and with one doubled in its place."""
+    orders = star_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    files, table = shared_path(spark, "files"), shared_path(spark, "table")
+    export_table(orders, files, "NEWLINE_DELIMITED_JSON")
+    loaded = load_table(spark, table, files, orders.schema, "NEWLINE_DELIMITED_JSON", key="o_orderkey")
+    first = loaded.rows.agg(F.min("o_orderkey")).first()[0]
+    fewer = loaded.rows.where(F.col("o_orderkey") != first)
+    other = fewer.union(orders.limit(1).select(F.lit(-1).cast(orders.schema["o_orderkey"].dataType), "o_totalprice"))
+    passed = [_passes(check_written, rows, "o_orderkey", loaded.written) for rows in (loaded.rows, fewer, other)]
+    flags = {name: F.lit(p) for name, p in zip(("passed", "passed_fewer", "passed_other"), passed)}
+    return loaded.rows.agg(F.count("*").alias("n")).withColumns(flags).withColumn("n_written", F.lit(loaded.written["n_rows"]).cast("bigint"))
+
+
 def unique_genres(spark, sf_dir):
     """Genre ids are not unique here: one id stands for several names."""
     dim = genres(staged_titles(spark, sf_dir))
@@ -84,6 +102,7 @@ def interval(spark, sf_dir):
 
 
 QUERIES = {
+    "recon_observed": recon_observed,
     "check_unique": unique,
     "check_unique_fails": unique_genres,
     "check_repeated_keys": repeated,
@@ -94,6 +113,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "recon_observed": """
+SELECT count(*) AS n, true AS passed, false AS passed_fewer, false AS passed_other, count(*) AS n_written FROM orders""",
     "check_unique": """
 SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys,
        count(*) = count(DISTINCT o_orderkey) AS is_unique,

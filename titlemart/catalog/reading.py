@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from titlemart.functions import attach_functions, cast_cell, for_each_parameter_set, run_sql
@@ -79,6 +81,18 @@ def sql_function(spark, sf_dir):
     )
 
 
+def arrow_function(spark, sf_dir):
+    """A function on Arrow batches, called from SQL."""
+
+    @F.arrow_udf("string")
+    def initials(names: pa.Array) -> pa.Array:
+        return pc.utf8_upper(pc.utf8_slice_codeunits(names, 0, 3))
+
+    attach_functions(spark, python_functions={"initials": initials})
+    star_table(spark, sf_dir, "customer").createOrReplaceTempView("customers_in")
+    return run_sql(spark, "SELECT c_custkey, initials(c_mktsegment) AS segment FROM customers_in")
+
+
 def typed_cells(spark, sf_dir):
     cells = star_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("a"),
@@ -115,6 +129,7 @@ QUERIES = {
     "param_filter": param_filter,
     "param_sets": param_sets,
     "sql_function": sql_function,
+    "arrow_function": arrow_function,
     "typed_cells": typed_cells,
     "sql_view": sql_view,
 }
@@ -145,6 +160,7 @@ FROM orders WHERE (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')
                OR (o_orderstatus = 'O' AND o_orderpriority = '5-LOW')""",
     "sql_function": """
 SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS net FROM lineitem""",
+    "arrow_function": "SELECT c_custkey, upper(substr(c_mktsegment, 1, 3)) AS segment FROM customer",
     "typed_cells": """
 SELECT o_orderkey AS order_id, o_totalprice AS price, o_orderstatus = 'F' AS finished,
        o_orderpriority AS priority, CAST(o_orderkey AS DOUBLE) AS seconds FROM orders""",

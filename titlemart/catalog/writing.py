@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from titlemart.plans.staging import staged_titles, star_table
 from titlemart.session import shared_path
-from titlemart.sinks import copy_tables, create_empty_table, export_table, read_table, write_table
+from titlemart.sinks import copy_tables, create_empty_table, expire_partitions, export_table, read_table, write_table
 from titlemart.sinks.tables import describe_table, table_exists
 
 
@@ -70,6 +72,17 @@ def partition_range(spark, sf_dir):
     return read_table(spark, path, days=("2024-01-05", "2024-01-08"))
 
 
+def partition_expiry(spark, sf_dir):
+    """Days end five days after they began: reads leave them out, then their folders go."""
+    path, as_of = shared_path(spark, "table"), datetime(2024, 1, 20, 12)
+    events = star_table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    write_table(events, path, partition_field="ts", partition_expiration_ms=5 * 86_400_000)
+    live = read_table(spark, path, as_of=as_of)
+    n, gone = live.count(), expire_partitions(spark, path, as_of)
+    left = read_table(spark, path, as_of=datetime(2000, 1, 1))
+    return left.withColumns({"n_live": F.lit(n).cast("bigint"), "n_gone": F.lit(gone).cast("bigint")})
+
+
 def cluster_write(spark, sf_dir):
     path = shared_path(spark, "table")
     lines = star_table(spark, sf_dir, "lineitem")
@@ -153,6 +166,7 @@ QUERIES = {
     "write_empty": write_empty,
     "partition_overwrite": partition_overwrite,
     "partition_range": partition_range,
+    "partition_expiry": partition_expiry,
     "cluster_write": cluster_write,
     "copy_union": copy_union,
     "copy_partitioned": copy_partitioned,
@@ -180,6 +194,10 @@ FROM events""",
     "partition_range": """
 SELECT event_id, ts, event_type FROM events
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-08'""",
+    "partition_expiry": """
+SELECT event_id, ts, event_type, count(*) OVER () AS n_live,
+       (SELECT count(DISTINCT CAST(ts AS DATE)) FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-15') AS n_gone
+FROM events WHERE CAST(ts AS DATE) > DATE '2024-01-15'""",
     "cluster_write": """
 SELECT l_suppkey, count(*) AS n, max(l_shipdate) AS last_ship
 FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1""",

@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 
 from titlemart.plans import marts
-from titlemart.quality.checks import CheckFailed, check_non_empty, check_unique
+from titlemart.quality.checks import CheckFailed, check_non_empty, check_unique, check_written
 from titlemart.schema import titles_schema
 from titlemart.session import scratch_scope
 from titlemart.sinks.tables import read_table, write_table
@@ -51,16 +51,18 @@ def build_marts(
     names: Iterable[str] | None = None,
     at_once: int = 10,
     raise_on_failure: bool = False,
+    written: dict | None = None,
 ) -> list[Built]:
     """Write the marts below ``root``, replacing those that are there.
 
-    The staging table's key is checked first and stops everything if it fails.
+    The staging table's key is checked first and stops everything if it fails; so does a table with other rows than
+    those ``written`` says (``check_written``).
     Marts do not depend on each other, so several are submitted at a time and
     share the cluster; a failed check does not stop the others. It is reported, or raised
     once all are written with ``raise_on_failure``. A mart's intermediate tables go when it is written.
     ``titles`` should be a stored table: every mart scans the columns it needs.
     """
-    check_unique(titles, "id")
+    check_unique(titles, "id") if written is None else check_written(titles, "id", written)
     chosen = list(names or MARTS)
 
     def build(name: str) -> Built:
@@ -94,8 +96,8 @@ def load_and_build(
 
     With ``n_files`` a seeded sample of exactly that many files is staged. The
     files are named to the reader, so their names pass through the driver; their
-    contents do not. Raises if the load did not read as many files as were chosen, or
-    if a mart fails its check.
+    contents do not. Raises if the load did not read as many files as were chosen, if the staged table has
+    lost or doubled a row since it was parsed, or if a mart fails its check.
     """
     chosen = list_files(spark, pattern).select("path")
     if n_files is not None:
@@ -107,8 +109,8 @@ def load_and_build(
     staging = f"{root.rstrip('/')}/raw_movies"
     loaded = load_table(
         spark, staging, paths, titles_schema(), "NEWLINE_DELIMITED_JSON",
-        write_disposition="WRITE_TRUNCATE", **load_options,
+        write_disposition="WRITE_TRUNCATE", key="id", **load_options,
     )
     if loaded.n_files != expected:
         raise CheckFailed(f"{expected} files chosen, {loaded.n_files} loaded")
-    return build_marts(spark, read_table(spark, staging), root, raise_on_failure=True)
+    return build_marts(spark, read_table(spark, staging), root, raise_on_failure=True, written=loaded.written)

@@ -5,6 +5,7 @@ from titlemart.quality.checks import (
     check_truthy,
     check_unique,
     check_value,
+    check_written,
     interval_ratios,
     repeated_keys,
     uniqueness,
@@ -17,6 +18,7 @@ __all__ = [
     "check_truthy",
     "check_unique",
     "check_value",
+    "check_written",
     "interval_ratios",
     "repeated_keys",
     "uniqueness",

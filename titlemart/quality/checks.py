@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from titlemart.sinks.tables import fingerprint
+
 
 class CheckFailed(AssertionError):
     """A check did not hold; the message carries the numbers."""
@@ -42,6 +44,15 @@ def check_unique(df: DataFrame, key: str) -> None:
         raise CheckFailed(f"{row.n_rows} rows but {row.n_keys} values of {key}")
 
 
+def check_written(df: DataFrame, key: str, written: Mapping[str, int]) -> None:
+    """A table holds the rows that a load has seen itself write, each key once: one scan of the key for both."""
+    seen = Observation()
+    check_unique(df.observe(seen, *fingerprint(key)), key)
+    found = {name: int(value or 0) for name, value in seen.get.items()}
+    if found != dict(written):
+        raise CheckFailed(f"written were {dict(written)}, the table has {found}")
+
+
 def check_non_empty(df: DataFrame) -> None:
     if df.isEmpty():
         raise CheckFailed("the table has no rows")

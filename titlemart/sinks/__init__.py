@@ -5,6 +5,7 @@ from titlemart.sinks.tables import (
     create_empty_table,
     create_view,
     describe_table,
+    expire_partitions,
     read_table,
     table_exists,
     write_table,
@@ -16,6 +17,7 @@ __all__ = [
     "create_empty_table",
     "create_view",
     "describe_table",
+    "expire_partitions",
     "export_table",
     "read_table",
     "table_exists",

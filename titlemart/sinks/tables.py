@@ -12,14 +12,15 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from contextlib import contextmanager
-from datetime import date
+from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,9 +49,10 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(
-    spark: SparkSession, path: str, day: str | None = None, days: tuple[str, str] | None = None
+    spark: SparkSession, path: str, day: str | None = None, days: tuple[str, str] | None = None, as_of: datetime | None = None
 ) -> DataFrame:
-    """The table's rows; ``day`` or an inclusive range ``days`` prunes partitions."""
+    """The table's rows; ``day`` or an inclusive range ``days`` prunes partitions, and so does
+    the table's expiration, judged now or ``as_of`` a time."""
     schema, layout = describe_table(spark, path)
     stored = T.StructType(list(schema.fields))
     if layout["partition_field"]:
@@ -64,9 +66,41 @@ def read_table(
         rows = rows.where(F.col(DAY) == F.lit(day).cast("date"))
     if days is not None:
         rows = rows.where(F.col(DAY).between(*[F.lit(d).cast("date") for d in days]))
+    past = _last_expired(layout, as_of)
+    if past is not None:
+        rows = rows.where((F.col(DAY) > F.lit(past)) | F.col(DAY).isNull())
     return rows.select(*schema.names)
 
 
+def _last_expired(layout: dict, as_of: datetime | None = None) -> date | None:
+    """The last day whose begin (UTC) lies at least the table's expiration back."""
+    if not layout["partition_field"] or layout.get("expiration_ms") is None:
+        return None
+    now = as_of or datetime.now(timezone.utc)
+    return (now - timedelta(milliseconds=layout["expiration_ms"])).date()
+
+
+def expire_partitions(spark: SparkSession, path: str, as_of: datetime | None = None) -> int:
+    """Remove the folders of expired days, streamed rows of them too; returns how many.
+
+    Reads leave them out as soon as they expire. No data file is read or written here.
+    """
+    _, layout = describe_table(spark, path)
+    past, path = _last_expired(layout, as_of), path.rstrip("/")
+    if past is None:
+        return 0
+    folders = [path, *[f"{path}/{INSERTED}/{b}" for b in _batches(spark, path)]]
+    gone = [
+        (folder, day)
+        for folder in folders
+        for day in children(spark, folder)
+        if re.fullmatch(rf"{DAY}=\d{{4}}-\d\d-\d\d", day) and date.fromisoformat(day.removeprefix(f"{DAY}=")) <= past
+    ]
+    old = f"{_beside(path)}_old"
+    commit(spark, path, [[(f"{folder}/{day}", f"{old}/{n}") for n, (folder, day) in enumerate(gone)]], [old])
+    return len(gone)
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -77,6 +111,7 @@ def write_table(
     partition: str | None = None,
     cluster_fields: Sequence[str] = (),
     load_id: str | None = None,
+    partition_expiration_ms: int | None = None,
 ) -> None:
     """Store rows as a table.
 
@@ -84,7 +119,7 @@ def write_table(
     has rows. ``partition_field`` splits the table by day of a date or time
     column; ``partition`` names one day, whose rows alone are replaced, added
     to or required to be absent. ``cluster_fields`` stores rows sorted by up to
-    four columns.
+    four columns. Days of the table expire ``partition_expiration_ms`` after they began.
 
     A write that raises leaves the table as it was. One whose process ended after its rows were written is
     finished when the table is next looked at; repeated under its ``load_id``, it adds nothing more.
@@ -94,7 +129,7 @@ def write_table(
         return
     write = _planned(
         df, path, write_disposition, create_disposition, schema_update_options,
-        partition_field, partition, cluster_fields,
+        partition_field, partition, cluster_fields, partition_expiration_ms,
     )
     rows = _guarded(df.select(*write.columns), write, partition)
     rows = _arranged(rows, write.partition_field, write.cluster_fields)
@@ -105,19 +140,21 @@ def write_table(
 
 
 def write_parsed(
-    parsed: DataFrame, path: str, schema: T.StructType, max_bad_records: int = 0, load_id: str | None = None, **options
-) -> tuple[int, str]:
+    parsed: DataFrame, path: str, schema: T.StructType, max_bad_records: int = 0, load_id: str | None = None,
+    key: str | None = None, **options
+) -> tuple[int, str, dict]:
     """Store the good rows of a parsed frame (``schema``, ``_reason``, ``_record``), written once.
 
     Good and bad records are written side by side, next to the table. If more are
     bad than allowed, that folder goes and the table stays as it was; otherwise the good files are
     moved into the table, and the bad ones to a folder of their own, all or none. Returns
-    how many were bad, and that folder; for a ``load_id`` stored before, those of that load.
+    how many were bad, that folder, and the ``fingerprint`` of the good rows' ``key`` as taken while they were
+    written; for a ``load_id`` stored before, those of that load.
     """
     spark = parsed.sparkSession
     before = None if load_id is None else _loaded(spark, path, load_id)
     if before is not None:
-        return before["bad"], before["kept"]
+        return before["bad"], before["kept"], before["written"]
     partition = options.get("partition")
     marked = [F.col(f.name).alias(f.name, metadata=f.metadata) for f in schema.fields]
     write = _planned(parsed.select(*marked), path, **options)
@@ -125,9 +162,9 @@ def write_parsed(
     rows = parsed.select(*write.columns, "_reason", "_record", (~good).alias(BAD))
     rows = _arranged(_guarded(rows, write, partition, good), write.partition_field, write.cluster_fields)
     parts = [BAD, DAY] if write.partition_field else [BAD]
-    beside = _beside(path)
+    beside, seen = _beside(path), Observation()
     with _gone_on_error(spark, beside):
-        rows.write.partitionBy(*parts).parquet(beside)
+        rows.observe(seen, *fingerprint(key, ~F.col(BAD))).write.partitionBy(*parts).parquet(beside)
         refused = _refused(spark, f"{beside}/{BAD}=true")
         bad = refused.count()
         if bad > max_bad_records:
@@ -135,8 +172,17 @@ def write_parsed(
             raise BadRecordsError(f"{bad} bad records, {max_bad_records} allowed; {sample}")
     kept = f"{path.rstrip('/')}__load_rejected/{uuid.uuid4().hex[:12]}"
     apart = [(f"{beside}/{BAD}=true", kept)] if bad else []
-    _put(spark, f"{beside}/{BAD}=false", path, write, partition, load_id, {"bad": bad, "kept": kept}, apart, beside)
-    return bad, kept
+    written = {name: int(value or 0) for name, value in seen.get.items()}
+    result = {"bad": bad, "kept": kept, "written": written}
+    _put(spark, f"{beside}/{BAD}=false", path, write, partition, load_id, result, apart, beside)
+    return bad, kept, written
+
+
+def fingerprint(key: str | None, only: Column | None = None) -> list[Column]:
+    """Aggregates that tell sets of rows apart in any order: their number, and a sum over hashes of a key."""
+    only = F.lit(True) if only is None else only
+    hashed = F.xxhash64(F.col(key)) if key else F.lit(0).cast("bigint")
+    return [F.count_if(only).alias("n_rows"), F.sum(F.when(only, hashed).cast("decimal(38,0)")).alias("key_sum")]
 
 
 def read_refused(spark: SparkSession, folder: str, count: int) -> DataFrame:
@@ -154,6 +200,7 @@ class _Write(NamedTuple):
     partition_field: str | None
     cluster_fields: list[str]
     replaces: bool  # the whole table, or the day that is written
+    expiration_ms: int | None = None
 
 
 def _planned(
@@ -165,6 +212,7 @@ def _planned(
     partition_field: str | None = None,
     partition: str | None = None,
     cluster_fields: Sequence[str] = (),
+    partition_expiration_ms: int | None = None,
 ) -> _Write:
     """What a write will do; raises if it may not be done."""
     options = check_write_options(
@@ -194,10 +242,14 @@ def _planned(
         if partition is not None and not partition_field:
             raise ValueError(f"{path} is not partitioned by day")
         cluster_fields = list(cluster_fields) or layout["cluster_fields"]
+        if partition_expiration_ms is None:
+            partition_expiration_ms = layout.get("expiration_ms")
     else:
         columns, schema = [F.col(c) for c in df.columns], df.schema
     replaces = not exists or write_disposition == "WRITE_TRUNCATE"
-    return _Write(columns, schema, partition_field, list(cluster_fields), replaces)
+    if partition_expiration_ms is not None and (not partition_field or partition_expiration_ms <= 0):
+        raise ValueError("an expiration needs partition_field and a positive time")
+    return _Write(columns, schema, partition_field, list(cluster_fields), replaces, partition_expiration_ms)
 
 
 def _put(
@@ -334,6 +386,9 @@ def copy_tables(
     shared = layouts[0] if all(x == layouts[0] for x in layouts) else {}
     if write_disposition != "WRITE_TRUNCATE" and table_exists(spark, destination):
         shared = {}  # rows that are added take the layout they find
+    if "expiration_ms" in shared:
+        shared = {**shared, "partition_expiration_ms": shared["expiration_ms"]}
+        del shared["expiration_ms"]
     write_table(rows, destination, write_disposition, create_disposition, **shared)
 
 
@@ -343,13 +398,14 @@ def create_empty_table(
     schema: T.StructType | Iterable[Mapping],
     partition_field: str | None = None,
     cluster_fields: Sequence[str] = (),
+    partition_expiration_ms: int | None = None,
 ) -> None:
     if not isinstance(schema, T.StructType):
         schema = schema_from_fields(schema)
     nullable = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
     write_table(
         spark.createDataFrame([], nullable), path,
-        partition_field=partition_field, cluster_fields=cluster_fields,
+        partition_field=partition_field, cluster_fields=cluster_fields, partition_expiration_ms=partition_expiration_ms,
     )
 
 
@@ -508,4 +564,6 @@ def describe_table(spark: SparkSession, path: str) -> tuple[T.StructType, dict]:
 def _description(write: _Write) -> str:
     nullable = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in write.schema.fields])
     layout = {"partition_field": write.partition_field, "cluster_fields": write.cluster_fields}
+    if write.expiration_ms is not None:
+        layout["expiration_ms"] = write.expiration_ms
     return json.dumps({"schema": nullable.jsonValue(), "layout": layout})

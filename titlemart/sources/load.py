@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from titlemart.schema import BadRecordsError, schema_from_fields
 from titlemart.session import shared_path
 from titlemart.sinks.tables import BAD, check_write_options, read_refused, read_table, write_parsed
+from titlemart.sources.quoted import decoded
 from titlemart.sources.parsing import parse_csv, parse_json_lines, parse_typed, skip_first_rows
 
 FORMATS = ("CSV", "NEWLINE_DELIMITED_JSON", "PARQUET", "AVRO")
@@ -25,6 +26,7 @@ class Loaded(NamedTuple):
     rejected: DataFrame
     rejected_count: int
     n_files: int
+    written: dict = {}  # the ``fingerprint`` of what was written
 
 
 def load_files(
@@ -78,6 +80,8 @@ def load_table(
     max_bad_records: int = 0,
     ignore_unknown_values: bool = False,
     load_id: str | None = None,
+    key: str | None = None,
+    partition_expiration_ms: int | None = None,
     **csv_options,
 ) -> Loaded:
     """Load files into a table; the write options are those of ``write_table``.
@@ -86,6 +90,8 @@ def load_table(
     budget holds; a load that fails leaves nothing behind. Rejected records stay
     readable in the folder ``<destination>__load_rejected``. A load repeated under its
     ``load_id`` after it broke off is stored once, and so is one repeated after it succeeded.
+    ``written`` of the result has the number of accepted rows and a sum of hashes of their
+    ``key``, taken while they were written, for ``check_written``.
     """
     options = {
         "write_disposition": write_disposition,
@@ -99,8 +105,9 @@ def load_table(
     parsed, schema, n_files = parsed_files(
         spark, paths, *checked(schema, source_format, autodetect, csv_options), ignore_unknown_values, csv_options
     )
-    count, folder = write_parsed(parsed, destination, schema, max_bad_records, load_id, **options)
-    return Loaded(read_table(spark, destination), read_refused(spark, folder, count), count, n_files)
+    options["partition_expiration_ms"] = partition_expiration_ms
+    count, folder, written = write_parsed(parsed, destination, schema, max_bad_records, load_id, key, **options)
+    return Loaded(read_table(spark, destination), read_refused(spark, folder, count), count, n_files, written)
 
 
 def checked(schema, source_format: str, autodetect: bool, csv_options: Mapping) -> tuple[T.StructType | None, str]:
@@ -163,10 +170,10 @@ def detect_csv(spark: SparkSession, paths: str | Sequence[str], **options) -> T.
         return reader.csv(paths).schema
     if quoted_newlines:
         raise ValueError("pass a schema: several leading rows and quoted newlines hide where rows begin")
-    lines = spark.read.option("encoding", encoding).text(paths)
-    header = spark.createDataFrame([skip_first_rows(lines, skip - 1).first()], "value string")
+    lines = spark.read.text(paths)
+    header = spark.createDataFrame([skip_first_rows(lines, skip - 1).select(decoded(encoding)).first()], "value string")
     names = _csv_schema(spark, reader.option("header", True), header).names
-    rest = skip_first_rows(lines, skip).where(F.length("value") > 0)
+    rest = skip_first_rows(lines, skip).select(decoded(encoding).alias("value")).where(F.length("value") > 0)
     kinds = _csv_schema(spark, reader.option("header", False), rest)
     return T.StructType([T.StructField(n, k.dataType) for n, k in zip(names, kinds.fields)])
 

@@ -6,19 +6,19 @@ record) and ``_record`` (the text of a rejected one).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from titlemart.schema import BadRecordsError, required_columns
-from titlemart.sources.quoted import quoted_records
+from titlemart.sources.quoted import decoded, quoted_records
 
 # Never occurs in text files; marks where a record ends.
 END = "\u0001end\u0001"
 CORRUPT = "_corrupt_record"
+SENT_FILES = 100_000
 
 
 def parse_json_lines(
@@ -109,8 +109,8 @@ def parse_csv(
         kept = records.where(F.length("value") > 0)
         raw = kept.select(F.from_csv("value", layout, options | {"multiLine": "true"}).alias("r")).select("r.*")
     elif skip_leading_rows > 1 and not allow_quoted_newlines:
-        lines = spark.read.option("encoding", encoding).text(paths)
-        kept = skip_first_rows(lines, skip_leading_rows).where(F.length("value") > 0)
+        lines = skip_first_rows(spark.read.text(paths), skip_leading_rows)
+        kept = lines.select(decoded(encoding).alias("value")).where(F.length("value") > 0)
         raw = kept.select(F.from_csv("value", layout, options).alias("r")).select("r.*")
     else:
         reader = spark.read.schema(layout).options(**options)
@@ -163,48 +163,26 @@ def parse_typed(rows: DataFrame, schema: T.StructType, ignore_unknown_values: bo
 def skip_first_rows(rows: DataFrame, n: int) -> DataFrame:
     """Drop the first n rows of every file.
 
-    A narrow step: a task reads the parts of a file in order, so counting rows
-    since the file began is enough, and nothing is shuffled or sorted. Must
-    follow the scan directly.
+    Rows of a file's first block are numbered without gaps in the order in which they are read, so its
+    first number and the position behind it say which ones go. Finding that number takes a further
+    scan that looks at no column; both run in the JVM. The numbers, one per file, are sent to the tasks up to SENT_FILES.
+    Must follow the scan directly.
     """
     columns = rows.columns
+    more = F.col("_metadata.file_block_start") + F.col("_metadata.file_block_length") < F.col("_metadata.file_size")
     placed = rows.select(
-        *columns,
-        F.col("_metadata.file_path").alias("__file"),
-        F.col("_metadata.file_block_start").alias("__start"),
-        (
-            F.col("_metadata.file_block_start") + F.col("_metadata.file_block_length")
-            < F.col("_metadata.file_size")
-        ).alias("__more"),
+        F.struct(*columns).alias("__row"), F.col("_metadata.file_path").alias("__file"), more.alias("__more"),
+        (F.col("_metadata.file_block_start") == 0).alias("__first"), F.monotonically_increasing_id().alias("__number"),
+    )
+    heads = placed.where("__first").groupBy(F.col("__file").alias("__of")).agg(
+        F.min("__number").alias("__begin"), F.count("*").alias("__n"), F.max("__more").alias("__goes_on")
     )
-    return placed.mapInArrow(_row_skipper(n, columns), rows.schema)
-
-
-def _row_skipper(n: int, columns: list[str]) -> Callable:
-    def skip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, seen, short = None, 0, False
-        for batch in batches:
-            files = batch.column("__file").dictionary_encode()
-            runs = files.indices.to_numpy()
-            cuts = [0, *((runs[1:] != runs[:-1]).nonzero()[0] + 1).tolist(), len(runs)]
-            for begin, end in zip(cuts, cuts[1:]):
-                if begin == end:
-                    continue
-                part = batch.slice(begin, end - begin)
-                path = part.column("__file")[0].as_py()
-                if path != current:
-                    if short:
-                        raise ValueError(f"{current}: leading rows run past the first part")
-                    current, seen = path, 0 if part.column("__start")[0].as_py() == 0 else n
-                drop = min(n - seen, part.num_rows)
-                seen += drop
-                short = seen < n and part.column("__more")[0].as_py()
-                if drop < part.num_rows:
-                    yield part.slice(drop).select(columns)
-        if short:
-            raise ValueError(f"{current}: leading rows run past the first part")
-
-    return skip
+    heads = F.broadcast(heads) if len(rows.inputFiles()) <= SENT_FILES else heads
+    joined = placed.join(heads, placed["__first"] & (placed["__file"] == heads["__of"]), "left")
+    short = F.col("__goes_on") & (F.col("__n") < n)
+    message = F.concat("__file", F.lit(": leading rows run past the first part"))
+    kept = F.when(short, F.raise_error(message).cast("boolean")).otherwise(~F.col("__first") | (F.col("__number") - F.col("__begin") >= n))
+    return joined.where(kept).select("__row.*")
 
 
 def _judged(
