@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from titlemart.schema import required_columns, schema_from_fields, schema_from_json, titles_schema
 from titlemart.sinks import read_table
 from titlemart.sources.parsing import parse_csv
+from titlemart.sources import paging
 from titlemart.sources import (
     BadRecordsError,
     create_external_table,
@@ -358,9 +359,29 @@ def test_pages(spark):
         assert [r.k for r in read_page(text, "k", start_index=start).collect()] == places[start:]
 
 
+def test_large_pages_are_ranges(spark, monkeypatch):
+    """A page that ends at a looked-up key has the rows of one that ends at a count."""
+    monkeypatch.setattr(paging, "SMALL_PAGE", 2)
+    df = spark.range(0, 3000, 3).select(F.col("id").cast("string").alias("k")).repartition(8)
+    text = df.unionByName(spark.createDataFrame([(None,)], "k string"))
+    places = [None, *sorted(str(k) for k in range(0, 3000, 3))]
+    for start, size in ((0, 3), (0, 1001), (1, 500), (333, 5000), (998, 3), (1000, 3), (1001, 3), (5000, 3)):
+        assert [r.k for r in read_page(text, "k", size, start_index=start).collect()] == places[start:start + size]
+    token = places[700]
+    assert [r.k for r in read_page(text, "k", 30, page_token=token).collect()] == places[701:731]
+    assert [r.k for r in read_page(text, "k", 30, page_token=token, start_index=5).collect()] == places[706:736]
+    assert read_page(text.where("false"), "k", 30).count() == 0
+
+
 def test_pages_have_no_step_of_one_task(spark):
     df = spark.range(0, 50_000).select(F.md5(F.col("id").cast("string")).alias("k")).repartition(8)
     plan = lambda page: page._jdf.queryExecution().executedPlan().toString()
     rest = plan(read_page(df, "k", start_index=40_000))
     assert "SinglePartition" not in rest and "CollectLimit" not in rest and "offset" not in rest.lower()
     assert "TakeOrderedAndProject(limit=50," in plan(read_page(df, "k", 50, start_index=40_000))
+    million = spark.range(0, 1_200_000, 1, 8).withColumnRenamed("id", "k")
+    for start in (0, 100_000):
+        large = read_page(million, "k", 1_000_000, start_index=start)
+        text = plan(large)
+        assert "TakeOrdered" not in text and "Limit" not in text and "SinglePartition" not in text
+        assert large.agg(F.count("*"), F.min("k"), F.max("k")).first() == (1_000_000, start, start + 999_999)

@@ -34,6 +34,14 @@ def page_deep_text(spark, sf_dir):
     return read_page(orders, "code", 50, start_index=1234)
 
 
+def page_large(spark, sf_dir):
+    """A page of more rows than one task may hold: from a tenth of the table on, two thirds of it."""
+    lines = star_table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.sum("l_quantity").alias("qty"))
+    keyed = lines.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line"), "qty")
+    n = keyed.count()
+    return read_page(keyed, "line", n * 2 // 3, start_index=n // 10)
+
+
 def page_rest(spark, sf_dir):
     """Everything from a place on."""
     orders = star_table(spark, sf_dir, "orders")
@@ -124,6 +132,7 @@ QUERIES = {
     "exact_n_sample_null_keys": sample_null_keys,
     "paged_read": page_by_start,
     "paged_read_deep_text": page_deep_text,
+    "paged_read_large": page_large,
     "paged_read_rest": page_rest,
     "paged_read_token": page_by_token,
     "param_filter": param_filter,
@@ -145,6 +154,10 @@ r AS (SELECT key FROM k ORDER BY md5(coalesce(CAST(key AS VARCHAR), '') || '7'),
 SELECT count(*) AS n, count(DISTINCT key) AS n_keys FROM r""",
     "paged_read_deep_text": """
 SELECT md5(CAST(o_orderkey AS VARCHAR)) AS code, o_custkey FROM orders ORDER BY code LIMIT 50 OFFSET 1234""",
+    "paged_read_large": """
+WITH k AS (SELECT l_orderkey * 10 + l_linenumber AS line, sum(l_quantity) AS qty FROM lineitem GROUP BY 1)
+SELECT line, qty FROM k ORDER BY line
+LIMIT (SELECT count(*) * 2 // 3 FROM k) OFFSET (SELECT count(*) // 10 FROM k)""",
     "paged_read_rest": "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey OFFSET 700",
     "paged_read": """
 SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 50 OFFSET 1000""",
