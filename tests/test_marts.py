@@ -321,3 +321,41 @@ def test_files_to_marts(spark, tmp_path):
     whole = frame(spark, random_titles(4, 30))
     assert staged.select("id", "genres.name", "release_date", "popularity").exceptAll(
         whole.select("id", "genres.name", "release_date", "popularity")).isEmpty()
+
+
+@pytest.mark.parametrize("seed", [None, 1, 2])
+def test_best_of_together(spark, seed):
+    """The four marts out of two scans have the rows, columns and order of those built alone."""
+    rows = ROWS if seed is None else random_titles(seed)
+    titles = frame(spark, rows + [dict(r, title="again", production_countries=[country("Z", "Z")]) for r in rows[2:9]])
+    alone = {
+        "movies_most_fav_by_genre": marts.fav_by_genre, "movies_popular_movie_by_genre": marts.popular_by_genre,
+        "movies_most_fav_per_year": marts.fav_per_year, "movies_popular_released_per_year": marts.popular_per_year,
+    }
+    together = marts.best_of(titles)
+    assert together.keys() == alone.keys()
+    for name, build in alone.items():
+        want, got = build(titles), together[name]
+        assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema]
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+    assert all(not f.collect() for f in marts.best_of(titles.where("false")).values())
+
+
+def test_best_of_scans_twice(spark, tmp_path):
+    frame(spark, random_titles(3)).write.parquet(f"{tmp_path}/titles")
+    titles = spark.read.parquet(f"{tmp_path}/titles")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    best = marts.winners(titles)
+    narrow = plan(best)
+    assert narrow.count("FileScan") == 1 and "overview" not in narrow and "Window" not in narrow
+    assert plan(marts.winner_details(titles, spark.createDataFrame(best.collect(), best.schema))).count("FileScan") == 1
+    assert not any("titles" in plan(mart) for mart in marts.best_of(titles).values())
+
+
+@pytest.mark.parametrize("at_once", [1, 3])
+def test_best_of_marts_with_few_threads(spark, tmp_path, at_once):
+    titles = frame(spark, random_titles(4))
+    names = [*marts.BEST_OF, "movies_genres"]
+    titles.dropDuplicates(["id"]).write.parquet(f"{tmp_path}/titles")
+    built = build_marts(spark, spark.read.parquet(f"{tmp_path}/titles"), f"{tmp_path}/m", names, at_once)
+    assert [b.name for b in built] == names and all(b.passed for b in built if b.name in marts.BEST_OF)
