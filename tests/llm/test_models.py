@@ -64,6 +64,26 @@ def test_mix(shared):
     assert mixing.taken_words(docs.where("false")).count() == 0
 
 
+def test_mix_is_a_range_sort_cut_at_the_budget(shared, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i if i % 3 else None, rng.choice("aabbbc"), " ".join(prose(rng, rng.randrange(0, 40)))) for i in range(400)]
+    docs = shared.createDataFrame(rows, "doc_id long, source string, text string")
+    ordered, cuts = [], []
+    monkeypatch.setattr(mixing, "_cut_at", lambda parts, order, budget, cut=mixing._cut_at: ordered.append(parts) or cuts.append((order, budget)) or cut(parts, order, budget))
+    got = mixing.weighted_fair_mix(docs).collect()
+    (order, budget), left = cuts[0], cuts[0][1]
+    assert order[0] == "finish" and "rangepartitioning(finish" in ordered[0].repartitionByRange(*order)._jdf.queryExecution().executedPlan().toString()
+    for r in sorted(got, key=lambda r: [getattr(r, c) for c in order]):
+        assert r.taken == min(r.words, left)
+        left -= r.taken
+    assert left == 0 and sum(r.taken for r in got) == budget
+    # rows without id do not share a place in the queue
+    assert len({r.ticket for r in got if r.doc_id is None and r.size}) > 100
+    # any budget cuts there, inside a part too
+    few = mixing._cut_at(ordered[0], order, 777).collect()
+    assert sum(r.taken for r in few) == 777 and sum(0 < r.taken < r.words for r in few) <= 1
+
+
 def test_trees_learn_and_flatten():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 5))
