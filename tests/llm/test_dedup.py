@@ -100,6 +100,24 @@ def test_one_group_of_near_copies_in_several_lanes(shared, monkeypatch):
     assert got == brute_near(rows, 4)
 
 
+def test_members_of_the_largest_component_meet_only_others(shared):
+    """A bucket of many near copies with few outsiders makes rows in line with its members, and every pair across is met."""
+    kinds = [0] * 6000 + [7001, 7002, 7002]
+    rows = [(1, 0, i, 9, c) for i, c in enumerate(kinds)] + [(2, 0, i, 9, 0) for i in range(50)]
+    placed = shared.createDataFrame(rows, "key long, band int, node long, n long, component long")
+    lanes = minhash._in_lanes(placed).collect()
+    assert len(lanes) == 6003 + 3 * -(-6000 // minhash.LANE) and {r.key for r in lanes} == {1}
+    groups = {}
+    for r in lanes:
+        groups.setdefault((r.lane_a, r.lane_b), {}).setdefault(r.lane, set()).add(r.node)
+    met = set()
+    for (a, b), members in groups.items():
+        left, right = members.get(a, ()), members.get(b, ())
+        assert max(map(len, members.values())) < 2 * minhash.LANE
+        met.update((min(x, y), max(x, y)) for x in left for y in right if kinds[x] != kinds[y])
+    assert met == {(x, y) for y in range(6000, 6003) for x in range(y) if kinds[x] != kinds[y]}
+
+
 def test_sketches_fill_every_coordinate_and_estimate():
     rng = np.random.default_rng(5)
     a = rng.integers(0, 1 << 62, 300, dtype=np.uint64)

@@ -16,7 +16,7 @@ from titlemart.llm.tables import components, settled, stored
 COORDINATES = 256  # of the sketch that is banded; a power of two
 ROWS, BANDS = 5, 40
 FINE = 1024  # coordinates, a byte each, by which members of a bucket are compared
-NEAR, ROUGHLY = 4.5, 6.0  # standard errors below the threshold at which the fine and the banded sketch drop a pair
+NEAR, ROUGHLY = 4.5, 6.0  # standard errors below the threshold at which the fine sketch and its first COORDINATES drop a pair
 LANE = 512  # bucket members that one task compares with as many others
 
 SENT_IDS = 1_000_000  # of nodes in shared buckets that are sent to the tasks; beyond, their texts are joined by shuffle
@@ -108,22 +108,22 @@ def profiles(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """Signature, sorted shingle hashes, banded and fine sketch (two and one byte a value) of ``docs(doc_id, text)``."""
+    """Signature, sorted shingle hashes, band keys and fine sketch (one byte a value) of ``docs(doc_id, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
             for first, end, hashes, bounds in shingle_sets(tx.texts_of(batch.column(1)), k):
                 s1, s2 = _signature(hashes, bounds)
-                banded = tx.mix(sketches(hashes, bounds)[:, : ROWS * BANDS]).astype(np.uint16)
+                bands = band_keys(sketches(hashes, bounds))
                 fine = tx.mix(sketches(hashes, bounds, FINE)).astype(np.uint8)
                 sets = [hashes[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, end - first), pa.array(s1), pa.array(s2), *(tx.binary_list(x) for x in (sets, [r.tobytes() for r in banded], [r.tobytes() for r in fine]))],
-                    names=["node", "s1", "s2", "hashes", "banded", "fine"],
+                    [ids.slice(first, end - first), pa.array(s1), pa.array(s2), *(tx.binary_list(x) for x in (sets, [r.tobytes() for r in bands], [r.tobytes() for r in fine]))],
+                    names=["node", "s1", "s2", "hashes", "bands", "fine"],
                 )
 
-    return docs.mapInArrow(run, "node long, s1 long, s2 long, hashes binary, banded binary, fine binary")
+    return docs.mapInArrow(run, "node long, s1 long, s2 long, hashes binary, bands binary, fine binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -157,30 +157,25 @@ def _near_pairs(lanes: DataFrame, percent: int) -> DataFrame:
     """Pairs of a bucket that lie in different components and whose sketches are near.
 
     Each group is two lanes of at most about LANE rows, or one lane with itself. A pair
-    that shares several buckets comes from the first of them only.
+    that shares several buckets comes from the first of them only, by its band keys.
     """
-    want, used = percent / 100, ROWS * BANDS
+    want = percent / 100
     least = (want - NEAR * (want * (1 - want) / FINE) ** 0.5) * FINE
-    roughly = (want - ROUGHLY * (want * (1 - want) / used) ** 0.5) * used
+    roughly = (want - ROUGHLY * (want * (1 - want) / COORDINATES) ** 0.5) * COORDINATES
 
     def run(key, table):
         lane = np.asarray(table["lane"])
         left, right = (np.flatnonzero(lane == key[i].as_py()) for i in (1, 2))
         node, group, band = (np.asarray(table[c]) for c in ("node", "component", "band"))
         size = np.asarray(table["n"])
-        banded = np.frombuffer(b"".join(table["banded"].to_pylist()), np.uint16).reshape(len(node), used)
+        bands = np.frombuffer(b"".join(table["bands"].to_pylist()), np.uint64).reshape(len(node), BANDS)
         fine = np.frombuffer(b"".join(table["fine"].to_pylist()), np.uint8).reshape(len(node), FINE)
         out_a, out_b = [], []
         for i in left:
             js = right if key[1] != key[2] else right[node[right] > node[i]]
             js = js[(group[js] != group[i]) & (100 * np.minimum(size[js], size[i]) >= percent * np.maximum(size[js], size[i]))]
-            same = banded[js] == banded[i]
-            near = np.count_nonzero(same, axis=1) >= roughly
-            js, same = js[near], same[near]
-            if not len(js):
-                continue
-            shared = same.reshape(len(js), BANDS, ROWS).all(axis=2)
-            js = js[shared.argmax(axis=1) == band[i]]
+            js = js[np.count_nonzero(fine[js, :COORDINATES] == fine[i, :COORDINATES], axis=1) >= roughly]
+            js = js[(bands[js] == bands[i]).argmax(axis=1) == band[i]]
             js = js[np.count_nonzero(fine[js] == fine[i], axis=1) >= least]
             out_a.append(np.minimum(node[js], node[i]))
             out_b.append(np.maximum(node[js], node[i]))
@@ -190,6 +185,24 @@ def _near_pairs(lanes: DataFrame, percent: int) -> DataFrame:
     return lanes.groupBy("key", "lane_a", "lane_b").applyInArrow(run, "a long, b long")
 
 
+def _in_lanes(placed: DataFrame) -> DataFrame:
+    """Members ``key, node, component, ...`` of buckets with several components, once per pair of lanes they are compared in.
+
+    The members of a bucket's largest component have lanes of their own, compared with those of the others only, never
+    with each other: m members beside r others make (m + r) * ceil(r / LANE) + r * ceil(m / LANE) rows.
+    """
+    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("m"))
+    most = F.max(F.struct("m", (-F.col("component")).alias("c")))
+    apart = sizes.groupBy("key").agg(most.alias("most"), F.sum("m").alias("all"), F.count("*").alias("kinds")).where("kinds > 1")
+    lanes_of = lambda n: F.ceil(n / LANE).cast("int")
+    apart = apart.select("key", (-F.col("most.c")).alias("largest"), lanes_of(F.col("most.m")).alias("own"), lanes_of(F.col("all") - F.col("most.m")).alias("others"))
+    own = F.col("component") == F.col("largest")
+    lane = F.when(own, F.pmod(F.xxhash64("node"), F.col("own"))).otherwise(F.col("own") + F.pmod(F.xxhash64("node"), F.col("others")))
+    rows = placed.join(apart, "key").withColumn("lane", lane.cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.when(own, F.col("own")).otherwise(F.lit(0)), F.col("own") + F.col("others") - 1)))
+    return rows.select(*placed.columns, "lane", F.least("lane", "other").alias("lane_a"), F.greatest("lane", "other").alias("lane_b"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """Classes of near-equal texts of ``docs(doc_id, text)``.
 
@@ -203,7 +216,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     1. in each bucket, all members are verified against the most central one (whose
        buckets are largest in sum), which joins groups of copies with few pairs;
     2. members of a bucket that are still in different components are compared by
-       finer sketches (1024 coordinates), in lanes of 512, and those less than 4.5 standard
+       finer sketches (1024 coordinates), in lanes of 512 (the largest component's with the others' only), and those less than 4.5 standard
        errors below the threshold are verified on their full sets. No pair of a bucket goes
        unexamined; one at the threshold is dropped here three times in a million.
 
@@ -243,12 +256,7 @@ def _near_duplicates(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     # what the stars left apart
     placed = shared.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    apart = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    rest = placed.join(apart, "key").join(sets.select("node", "banded", "fine"), "node")
-    n_lanes = F.ceil(F.col("size") / LANE).cast("int")
-    lane = F.pmod(F.xxhash64("node"), n_lanes).cast("int")
-    lanes = rest.withColumn("n_lanes", n_lanes).withColumn("lane", lane).withColumn("other", F.explode(F.expr("sequence(0, n_lanes - 1)")))
-    lanes = lanes.select("key", "band", "node", "n", "component", "banded", "fine", "lane", F.least("lane", "other").alias("lane_a"), F.greatest("lane", "other").alias("lane_b"))
+    lanes = _in_lanes(placed.select("key", "band", "node", "n", "component")).join(sets.select("node", "bands", "fine"), "node")
     near = stored(_near_pairs(lanes, percent), "near")
     more = stored(_verified(near, sets, percent), "more-links")
     final = components(links.union(more))
