@@ -207,6 +207,51 @@ def test_discussion_longer_than_article():
     assert html_text.main_text(f"<body><article><h2>Floods</h2><p>{STORY}</p></article>{thread}</body>") == f"Floods\n{STORY.strip()}"
 
 
+SHORT = "The bridge over the river is closed from Monday for eleven weeks, the town says in a letter to all."
+BOILERPLATE = [
+    'div class="cookie-banner"', 'div class="cookieBanner"', 'div id="gdpr_consent"', 'section class="newsletter-signup"', 'div class="sidebar"',
+    'div class="sidebar-content"', 'div class="sidebar__inner"', 'div class="related-posts"', 'ul class="relatedArticles"', 'div class="share-block"',
+    'ol class="commentlist"', 'div id="comments"', 'div class="comment-list"', 'section class="post-comments"', 'div id="disqus_thread"',
+    'div class="comments-area"', 'div class="ad-container"', 'div class="sponsored-content"', 'div class="site-notice"', 'div role="complementary"',
+]
+
+
+@pytest.mark.parametrize("wrapper", BOILERPLATE)
+@pytest.mark.parametrize("before", [True, False])
+def test_short_article_beside_longer_boilerplate(wrapper, before):
+    """A heading with its paragraph speaks for the article, however long the rest is."""
+    tag = wrapper.split()[0]
+    inner, end = ("<li><p>", "</p></li>") if tag in ("ul", "ol") else ("<p>", "</p>")
+    for times in (1, 4, 40):
+        rest = f"<{wrapper}>{(inner + STORY + end) * times}</{tag}>"
+        for kind in ("div", "article", "section"):
+            story = f"<{kind}><h2>Bridge</h2><p>{SHORT}</p></{kind}>"
+            page = f"<body><nav><a href=1>Home</a></nav>{rest + story if before else story + rest}</body>"
+            assert html_text.main_text(page) == f"Bridge\n{SHORT}", (times, kind)
+
+
+def test_without_an_article_a_name_does_not_drop_the_text():
+    for name in ("widget", "side", "notice", "comments"):
+        page = f'<body><h1>Board</h1><div class="{name}"><p>{STORY}</p><p>{STORY}</p></div><div class="footer">Imprint</div></body>'
+        assert STORY.strip() in html_text.main_text(page)
+    # a doubtful name on what outweighs the rest by far
+    page = f'<body><div><h3>Site</h3><p>{SHORT}</p></div><div class="widget"><h2>Floods</h2>{f"<p>{STORY}</p>" * 9}</div></body>'
+    assert html_text.main_text(page).count(STORY.strip()) == 9
+
+
+@pytest.mark.parametrize("source", [
+    "<div>" * 100_000 + "text" + "</div>" * 100_000,
+    "<div>" * 20_000 + "text</p></span></li></em></table>" * 40_000,
+    "<ul><li><ul>" + "<div>" * 20_000 + "<li>x</li>" * 40_000,
+    "<main>" + "<header>x" * 60_000,
+    "<table><tr>" + "<td><div>y" * 60_000,
+])
+def test_deep_pages_take_linear_time(source):
+    start = time.perf_counter()
+    html_text.main_text(source)
+    assert time.perf_counter() - start < 8
+
+
 def test_links_inside_an_article():
     """Link paragraphs, items, cells and single links are text; a row of links in a div is not."""
     long = "A report of three hundred pages on the floods of the last century " * 4

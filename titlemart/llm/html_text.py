@@ -32,12 +32,24 @@ NOT_TEXT_NAME = re.compile(
     r"share|sharing|social|related|recommend\w*|search|login|signup",
     re.I,
 )
-DISCUSSION_NAME = re.compile(r"comments?|replies|respond|disqus|discussion", re.I)
+DISCUSSION_NAME = re.compile(r"comments?|comment(?:list|area|section|thread|box|form|wrap)s?|replies|respond|disqus|discussion", re.I)
+# names that no wrapper of an article has: they never hold it where something else speaks for one
+CERTAIN_NAME = re.compile(
+    r"ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|popup|modal|newsletter|subscri\w+|sidebar|breadcrumbs?|pagination|pager|"
+    r"copyright|share|sharing|social|related|recommend\w*|search|login|signup|comment\w*|replies|respond|disqus|discussion",
+    re.I,
+)
 FORM_NAME = re.compile(r"site|main|global|top|bottom|left|right|bar|box|links?|buttons?|icons?|list|form|body|item|\d+", re.I)
-PART = re.compile(r"[_-]+")
+# words of form after a word of boilerplate, and of what readers comment on before one of discussion
+AFTER_NAME = re.compile(r"posts?|content|area|section|wrap(?:per)?|container|inner|block|articles?|stories|thread|panel|module|group|row|col(?:umn)?|title|text|holder", re.I)
+BEFORE_NAME = re.compile(r"post|article|story|page|user|reader|fb|facebook", re.I)
+PART = re.compile(r"[_-]+|(?<=[a-z])(?=[A-Z])")
 LARGE_SHARE = 0.5  # of the page's unlinked text: what a name cannot drop
 ALL_BUT = 0.98  # the share that a discussion needs beside a heading, main part or article
-NAMED, DISCUSSION = 1, 2
+SPOKEN = 60  # characters of unlinked paragraph text beside a heading that speak for an article
+OUTWEIGHS = 4  # times such text that an element with a doubtful name must hold to be the article all the same
+NAMED, CERTAIN, DISCUSSION = 1, 2, 3
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 # a container of one of these with text is not a mere row of links
 TEXT_TAGS = set("p li dt dd td th h1 h2 h3 h4 h5 h6 blockquote pre figcaption caption summary address".split())
 LINK_BLOCKS = {"div", "section", "header", "center"}
@@ -65,10 +77,6 @@ class Page:
         return len(self.tag) - 1
 
 
-def _no_text(tag: str, parents: list[int], page: Page) -> bool:
-    return tag in NOT_TEXT or tag == "header" and not any(page.tag[p] in SCOPE for p in parents)
-
-
 def _named(tag: str, attributes: str, in_article: bool = False) -> int:
     if tag in ("html", "body", "main") or "=" not in attributes:
         return 0
@@ -80,22 +88,50 @@ def _named(tag: str, attributes: str, in_article: bool = False) -> int:
             continue
         for token in value.split():
             parts = [p for p in PART.split(token) if p and not FORM_NAME.fullmatch(p)]
+            if len(parts) == 2 and BEFORE_NAME.fullmatch(parts[0]) and DISCUSSION_NAME.fullmatch(parts[1]):
+                return DISCUSSION
+            parts = [p for i, p in enumerate(parts) if not i or not AFTER_NAME.fullmatch(p)]
             if not parts or not all(DISCUSSION_NAME.fullmatch(p) or NOT_TEXT_NAME.fullmatch(p) for p in parts):
                 continue
             if DISCUSSION_NAME.fullmatch(parts[0]):
                 return DISCUSSION
             if tag != "article" and not (in_article and parts[0].lower() == "header"):
-                return NAMED
+                return CERTAIN if any(CERTAIN_NAME.fullmatch(p) for p in parts) else NAMED
     return 0
 
 
+def _spoken(page: Page, off: list[bool], own: list[int]) -> tuple[list[int], int]:
+    """Paragraph text beside headings or in article elements, below each node, and in no named element at all.
+
+    An article element counts by its paragraphs even without a heading; less than ``SPOKEN`` characters of one
+    parent do not count.
+    """
+    n = len(page.tag)
+    paragraphs, heads = [0] * n, [False] * n
+    for i in range(1, n):
+        up = page.parent[i]
+        if not off[i] and page.tag[i] == "p":
+            paragraphs[up] += own[i]
+        heads[up] |= not off[i] and page.tag[i] in HEADINGS
+    spoken = [t if t >= SPOKEN and (h or tag == "article") else 0 for t, h, tag in zip(paragraphs, heads, page.tag)]
+    inside, outside = [bool(x) for x in page.named], 0
+    for i in range(1, n):
+        inside[i] = inside[i] or inside[page.parent[i]]
+        outside += 0 if inside[i] or off[i] else spoken[i]
+    for i in range(n - 1, 0, -1):
+        spoken[page.parent[i]] += spoken[i]
+    return spoken, outside
+
+
 def _settle(page: Page) -> None:
     """Drop what lies in dropped elements, and named ones where nothing speaks for them.
 
     A name is a hint. It does not drop an element that holds a heading, a main part or an
     article (unless that is named itself), or over half of the page's unlinked text and four times what
     articles elsewhere hold. A discussion may be longer than the article, so beside such an element
-    it must be all but the whole text.
+    it must be all but the whole text. Where something outside speaks for an article (a heading beside paragraphs,
+    or an article element, in no named element), certain names drop what they are on at any length, and
+    doubtful ones unless it has a heading beside paragraphs itself and ``OUTWEIGHS`` times that text.
     """
     n = len(page.tag)
     off, own, holds = list(page.dropped), [0] * n, [0] * n
@@ -114,12 +150,16 @@ def _settle(page: Page) -> None:
     for i in range(1, n):
         around[i] = around[page.parent[i]] or (i if page.tag[i] == "article" and holds[i] else 0)
     articles = sum(size[i] for i in range(1, n) if around[i] == i)
+    spoken, outside = _spoken(page, off, own)
     for i in range(1, n):
-        if page.named[i] == DISCUSSION:
-            large = size[i] > (ALL_BUT if holds[0] else LARGE_SHARE) * size[0]
+        name = page.named[i]
+        if name == DISCUSSION:
+            stays = holds[i] or size[i] > (ALL_BUT if holds[0] else LARGE_SHARE) * size[0]
         else:
-            large = size[i] > LARGE_SHARE * size[0] and size[i] >= 4 * (articles - (size[around[i]] if around[i] else 0))
-        page.dropped[i] = page.dropped[i] or page.dropped[page.parent[i]] or bool(page.named[i]) and not (holds[i] or large)
+            stays = holds[i] or size[i] > LARGE_SHARE * size[0] and size[i] >= 4 * (articles - (size[around[i]] if around[i] else 0))
+        if outside and not holds[i] and not around[i]:
+            stays = stays and name == NAMED and spoken[i] >= OUTWEIGHS * outside
+        page.dropped[i] = page.dropped[i] or page.dropped[page.parent[i]] or bool(name) and not stays
     gone = set()
     for span in page.spans:
         if sum(len(page.pieces[k][1].strip()) for k in span if not page.pieces[k][2]) <= LARGE_SHARE * size[0]:
@@ -130,9 +170,18 @@ def _settle(page: Page) -> None:
 
 def parse(source: str) -> Page:
     page, stack, links, at = Page(), [0], 0, 0
+    opened: dict[str, list[int]] = {}  # places of open elements in the stack, by tag
     skipped: list[str] = []  # open phrase elements whose name says that they hold no text
     lowered = None
     end = len(source)
+
+    def close_from(depth: int) -> None:
+        while len(stack) > depth:
+            opened[page.tag[stack.pop()]].pop()
+
+    def last(tags: set[str]) -> int:
+        return max((opened[t][-1] for t in tags if opened.get(t)), default=0)
+
     while at < end:
         match = TOKEN.search(source, at)
         text = source[at : match.start() if match else end]
@@ -170,25 +219,21 @@ def parse(source: str) -> Page:
                 page.spans.append([])
         elif closing:
             links, skipped = 0, []
-            for depth in range(len(stack) - 1, 0, -1):
-                if page.tag[stack[depth]] == tag:
-                    del stack[depth:]
-                    break
+            if depth := last({tag}):
+                close_from(depth)
             page.pieces.append((stack[-1], "", False))
         else:
             links, skipped = 0, []
             if page.tag[stack[-1]] == "p":  # a paragraph ends where the next block begins
-                stack.pop()
+                close_from(len(stack) - 1)
             if tag in SELF_CLOSING:
                 ends, within = SELF_CLOSING[tag]
-                for depth in range(len(stack) - 1, 0, -1):
-                    if page.tag[stack[depth]] in within:
-                        break
-                    if page.tag[stack[depth]] in ends:
-                        del stack[depth:]
-                        break
-            named = _named(tag, attributes, any(page.tag[p] in SCOPE for p in stack))
-            stack.append(page.open(tag, stack[-1], _no_text(tag, stack, page), named))
+                if (depth := last(ends)) > last(within):
+                    close_from(depth)
+            in_article = last(SCOPE) > 0
+            named = _named(tag, attributes, in_article)
+            opened.setdefault(tag, []).append(len(stack))
+            stack.append(page.open(tag, stack[-1], tag in NOT_TEXT or tag == "header" and not in_article, named))
     _settle(page)
     return page
 
