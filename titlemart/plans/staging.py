@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlemart.schema import titles_schema
-from titlemart.session import shared_dir
+from titlemart.session import folder_size, shared_dir
 
 _STAGING = threading.Lock()
+SHARE = 4 << 20  # bytes of the lines' files whose rows one task collects, so that it holds them at any size of the input
 
 
 def star_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,21 +22,26 @@ def star_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def titles_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested title per order; its lines give the arrays.
 
-    The distinct lines of an order are collected once, combined on the map side
-    before the shuffle; each array is a projection of them. The dimension joins
-    are left to Catalyst, which knows the file sizes.
+    Lines are laid by order before the distinct ones of each are collected: an aggregation
+    before the shuffle would combine nearly nothing, as a task sees few lines of one order, and
+    hold all it reads. Their partitions grow in number with the input. Nation and region come
+    after the shuffle and the customer before the lines, so that what is shuffled is narrow.
+    Every dimension is joined by itself: Catalyst knows the size of its file and broadcasts it
+    or not, which it could not tell of a join of two.
     """
     table = lambda name: star_table(spark, sf_dir, name)
-    place = table("nation").join(
-        table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
-    )
-    supplier = table("supplier").join(
-        place, F.col("s_nationkey") == F.col("n_nationkey"), "left"
-    )
+    n = max(spark.sparkContext.defaultParallelism, folder_size(spark, f"{sf_dir}/lineitem.parquet") // SHARE + 1)
     lines = (
         table("lineitem")
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        .select(
+            "l_orderkey", "l_discount", "l_linenumber", "l_quantity", "l_extendedprice",
+            "p_size", "p_type", "s_suppkey", "s_name", "s_nationkey", "s_acctbal",
+        )
+        .repartition(n, "l_orderkey")
+        .join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
     )
     line = F.struct(
         F.nullif(F.col("p_size") % 7, F.lit(0)).cast("bigint").alias("genre_id"),
@@ -85,8 +91,8 @@ def titles_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     image = F.when(status != "P", F.concat(F.lit("/"), key.cast("string"), F.lit(".jpg")))
     shaped = (
         table("orders")
-        .join(per_order, key == F.col("l_orderkey"), "left")
         .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(per_order, key == F.col("l_orderkey"), "left")
         .withColumns(arrays)
         .withColumns(
             {
