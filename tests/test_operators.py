@@ -152,6 +152,17 @@ def test_the_cut_leaves_k_rows_and_little_more(spark):
     assert best.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first()[:] == (1, 50_000, 50_000)
 
 
+def test_the_cut_moves_no_rows_by_group(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") % 4 > 0, F.col("id") % 2).alias("g"), F.xxhash64("id").alias("v"), "id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cut = topk.above_cut(df, ["g"], "v", 1000)
+        assert "BroadcastHashJoin" in plan(cut) and "SortMergeJoin" not in plan(cut)
+        assert all(1000 <= r["count"] < 1200 for r in cut.groupBy("g").count().collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_functions_on_batches_only(spark):
     doubled = F.pandas_udf(lambda v: v * 2, "long")
     attach_functions(spark, python_functions={"doubled": doubled})
