@@ -2,12 +2,16 @@
 
 import datetime as dt
 import gzip
+import hashlib
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from titlemart.catalog import loading
 from titlemart.schema import required_columns, schema_from_fields, schema_from_json, titles_schema
+from titlemart.session import shared_dir
 from titlemart.sinks import read_table
 from titlemart.sources.parsing import parse_csv
 from titlemart.sources import paging
@@ -385,3 +389,26 @@ def test_pages_have_no_step_of_one_task(spark):
         text = plan(large)
         assert "TakeOrdered" not in text and "Limit" not in text and "SinglePartition" not in text
         assert large.agg(F.count("*"), F.min("k"), F.max("k")).first() == (1_000_000, start, start + 999_999)
+
+
+def test_split_newlines_are_written_by_several_tasks(spark, tmp_path):
+    """No task writes the whole table: each that reads a part of it writes a file below the heading."""
+    rows = [(i, f'a "{i}"\nb, c', "en", None, i) for i in range(40)] + [(None, None, None, "s", None), (41, "", "", "", 0)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    documents.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    block = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    made = _headed_files(spark)
+    try:
+        found = loading.csv_quoted_newlines_split(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    assert {r.n for r in found} == {42} and len(found) == 42
+    digest = lambda t: hashlib.md5(t.encode()).hexdigest()
+    assert {r.text for r in found if r.doc_id is not None and r.doc_id < 40} == {digest(r[1]) for r in rows[:40]}
+    assert len(_headed_files(spark) - made) > 1
+
+
+def _headed_files(spark):
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    return {str(p) for p in folder.glob("*-*/part-*.txt")}
