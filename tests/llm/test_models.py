@@ -145,6 +145,21 @@ def test_language_edges(shared):
     assert {r.lang_pred for r in language.predict_languages(docs, nothing).collect()} == {"und"}
 
 
+def test_language_is_calibrated_on_every_row(shared):
+    """Of 2,500 rows the last by hashed id, one odd text, counts like the others."""
+    ids = [r.id for r in shared.range(2500).orderBy(F.xxhash64("id"), "id").collect()]
+    texts = {i: "der schnelle braune Fuchs und der Hund" if i == ids[-1] else "the quick brown fox and the dog " * (1 + i % 3) for i in ids}
+    rows = [(i, "en" if i % 2 else "xx", t) for i, t in texts.items()]
+    models = language.fit_languages(shared.createDataFrame(rows, "doc_id long, lang string, text string"))
+    entropy, n = models.entropies([t for *_, t in rows])
+    truth = np.array([models.langs.index(x) for _, x, _ in rows])
+    for j in range(2):
+        own = entropy[truth == j, j]
+        assert models.limits[j] == pytest.approx(own.mean() + 4 * own.std(), abs=1e-3)
+    loss = lambda s: -np.log(np.maximum(models.confidence(entropy, n, s)[np.arange(len(n)), truth], 1e-6)).mean()
+    assert loss(models.sharpness) == pytest.approx(min(map(loss, language.SHARPNESSES)), abs=1e-5)
+
+
 def test_language_probabilities_sum_to_one():
     rng = random.Random(2)
     texts = {"xx": "abcab cab abba " * 40, "yy": "".join(rng.choice("abcdefgh ") for _ in range(500))}

@@ -17,7 +17,8 @@ ORDER = 4
 SYMBOL_BITS = 6  # 64 symbols, so there are at most 2^24 grams at any size of the input
 SYMBOLS = 1 << SYMBOL_BITS
 DISCOUNT = 0.75
-CALIBRATION_ROWS = 2_000  # training documents that confidence and rejection are calibrated on, at most
+SHARPNESSES = (0.125, 0.25, 0.5, 1.0, 2.0, 4.0)
+FINE = 1 << 30  # losses and entropies are summed as whole numbers of 1/FINE nat, so that the order of rows is of no account
 BATCH_SYMBOLS = 1 << 20
 
 
@@ -126,8 +127,8 @@ class Models:
         out[full] = -np.add.reduceat(values, bounds[:-1][full], axis=0, dtype=np.float64) / n[full, None]
         return out, n
 
-    def confidence(self, entropy: np.ndarray, n: np.ndarray) -> np.ndarray:
-        x = -entropy * (self.sharpness * np.sqrt(n))[:, None]
+    def confidence(self, entropy: np.ndarray, n: np.ndarray, sharpness: float | None = None) -> np.ndarray:
+        x = -entropy * ((self.sharpness if sharpness is None else sharpness) * np.sqrt(n))[:, None]
         x = np.exp(x - x.max(axis=1, keepdims=True))
         return x / x.sum(axis=1, keepdims=True)
 
@@ -164,52 +165,61 @@ def build_models(counts: pa.Table) -> Models:
     return Models(langs, union.astype(np.uint32), seen, back, lower)
 
 
-def calibrate(models: Models, entropy: np.ndarray, n: np.ndarray, langs: list[str]) -> None:
-    """Sharpness of the confidence and each language's entropy limit, from labelled texts' entropies."""
-    truth = np.array([models.langs.index(x) for x in langs], int)
+def tally(models: Models, texts: list[str], langs: list[str]) -> np.ndarray:
+    """Row per language of what ``calibrate`` needs: texts with a letter, entropy, its square, loss by sharpness."""
+    out = np.zeros((len(models.langs), 3 + len(SHARPNESSES)), np.int64)
+    entropy, n = models.entropies(texts)
     use = n > 0
+    entropy, n, truth = entropy[use], n[use], np.searchsorted(np.array(models.langs), np.array(langs, str)[use])
+    row = np.arange(len(n))
+    own = entropy[row, truth]
+    values = [np.ones(len(n)), own * FINE, own * own * FINE]
+    for sharpness in SHARPNESSES:
+        values.append(-np.log(np.maximum(models.confidence(entropy, n, sharpness)[row, truth], 1e-6)) * FINE)
+    np.add.at(out, truth, np.rint(np.stack(values, axis=1)).astype(np.int64))
+    return out
+
+
+def calibrate(models: Models, tallies: np.ndarray) -> None:
+    """Sharpness of the confidence and each language's entropy limit, from the sums of ``tally`` over labelled texts."""
     models.limits = np.full(len(models.langs), np.inf)
-    if not use.any():
+    losses = tallies[:, 3:].sum(axis=0)
+    if not tallies[:, 0].any():
         return
-    entropy, n, truth = entropy[use], n[use], truth[use]
-    losses = {}
-    for sharpness in (0.125, 0.25, 0.5, 1.0, 2.0, 4.0):
-        models.sharpness = sharpness
-        losses[sharpness] = -np.log(np.maximum(models.confidence(entropy, n)[np.arange(len(n)), truth], 1e-6)).mean()
-    models.sharpness = min(losses, key=losses.get)
-    for j in range(len(models.langs)):
-        own = entropy[truth == j, j]
-        if len(own) > 1:
-            models.limits[j] = own.mean() + 4 * own.std()
+    models.sharpness = SHARPNESSES[int(losses.argmin())]
+    for j, (count, total, squares) in enumerate(tallies[:, :3]):
+        if count > 1:
+            mean = total / FINE / count
+            models.limits[j] = mean + 4 * np.sqrt(max(squares / FINE / count - mean * mean, 0.0))
 
 
 def fit_languages(docs: DataFrame) -> Models:
-    """Models of every language in ``docs(doc_id, lang, text)``, all rows counted.
+    """Models of every language in ``docs(lang, text)``, counted and calibrated on all rows.
 
     What reaches the driver is one count per gram and language, at most 2^24 grams at any
-    size of the corpus, and the entropies of CALIBRATION_ROWS texts of lowest hashed id.
+    size of the corpus, and one row of sums per language.
     """
-    labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    labelled = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     labelled = labelled.where("lang is not null and text is not null")
     models = build_models(gram_counts(labelled).toArrow())
-    ids = labelled.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
-    sample = labelled.select("doc_id", "lang", "text").join(F.broadcast(ids), "doc_id")
     sent = docs.sparkSession.sparkContext.broadcast(models)
+    width = 3 + len(SHARPNESSES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = sent.value
+        total = np.zeros((len(m.langs), width), np.int64)
         for batch in batches:
-            texts = batch.column(2).to_pylist()
+            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in _slices(texts):
-                entropy, n = sent.value.entropies(texts[a:b])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(entropy.tolist(), pa.list_(pa.float64()))],
-                    names=["doc_id", "lang", "n", "entropy"],
-                )
-
-    measured = sample.mapInArrow(run, "doc_id long, lang string, n long, entropy array<double>")
-    table = measured.orderBy("doc_id", "lang", "n").limit(CALIBRATION_ROWS).toArrow()
-    entropy = np.array(table["entropy"].to_pylist(), float).reshape(table.num_rows, len(models.langs))
-    calibrate(models, entropy, np.asarray(table["n"]), table["lang"].to_pylist())
+                total += tally(m, texts[a:b], langs[a:b])
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(m.langs)), pa.int32()), *[pa.array(c) for c in total.T]], names=["lang", *names])
+
+    names = [f"s{i}" for i in range(width)]
+    summed = labelled.mapInArrow(run, "lang int, " + ", ".join(f"{c} long" for c in names)).groupBy("lang").agg(*[F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in names])
+    tallies = np.zeros((len(models.langs), width))
+    for lang, *sums in summed.collect():
+        tallies[lang] = [float(x) for x in sums]
+    calibrate(models, tallies)
     return models
 
 
